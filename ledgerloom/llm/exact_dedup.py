@@ -53,7 +53,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     filled.unpersist()
     alone = rows.where(~F.col("_dd_again")).select(F.col("_dd_id").alias(id_col), F.col("_dd_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("_dd_sha").alias("text_sha256"))
     again = rows.where("_dd_again").groupBy("_dd_sha", "_dd_id").agg(F.count(F.lit(1)).alias("_dd_n"))
-    groups = again.groupBy("_dd_sha").agg(F.max("_dd_id").alias("keep_id"), F.sum("_dd_n").alias("group_size"))
+    groups = settle(again.groupBy("_dd_sha").agg(F.max("_dd_id").alias("keep_id"), F.sum("_dd_n").alias("group_size")))
     members = again.join(groups, "_dd_sha").withColumn("_dd_copy", F.explode(F.sequence(F.lit(1), F.col("_dd_n"))))
     kept = F.col("_dd_id").eqNullSafe(F.col("keep_id")) & (F.col("_dd_copy") == 1)
     return alone.unionByName(members.select(F.col("_dd_id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.col("_dd_sha").alias("text_sha256")))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, ngram_join
+from ledgerloom.llm import exact_dedup, langid, ngram_join, packing, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +17,31 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.components(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs)).select("doc_id", "pii.base", "pii.spans")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_exact_dedup)}
+def op7_best_fit_packing(spark, sf_dir):
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), payload="crc32")
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, F.when(langid.learns(), F.col("lang")))
+    judged = langid.identify(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", (~langid.learns()).alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_pii, op3_exact_dedup, op7_best_fit_packing, op9_language_id)}
 
 ORACLES = {
     "op3_exact_dedup": """
