@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, langid, ngram_join, packing, pii
+from ledgerloom.llm import brown, exact_dedup, langid, ngram_join, packing, pii, piece_sampling, quality_rules, toxicity, url_filter
+from ledgerloom.plans.scratch import settle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +30,37 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    texts = docs.where(F.coalesce(brown.learns(), F.lit(False))).select("text")
+    words = settle(brown.word_counts(texts))
+    model = brown.fit(texts, words)
+    scored = brown.score(docs, model, words)
+    held = F.coalesce(~brown.learns(), F.lit(True))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
+def op5_quality_rules(spark, sf_dir):
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reason")
+
+
+def op6_toxicity_chain(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), payload="crc32")
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_url_filter(spark, sf_dir):
+    pages, labels = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels")
+    rules = url_filter.mine(url_filter.labelled_pages(pages, labels))
+    return url_filter.judge(pages.select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
 def op9_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs, F.when(langid.learns(), F.col("lang")))
@@ -41,7 +68,15 @@ def op9_language_id(spark, sf_dir):
     return judged.select("doc_id", (~langid.learns()).alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_pii, op3_exact_dedup, op7_best_fit_packing, op9_language_id)}
+def op10_piece_sampling(spark, sf_dir):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = piece_sampling.decode(piece_sampling.encode(docs, path), path)
+    ids = F.array_join("pieces", ",")
+    return both.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.sha2(ids, 256).alias("pieces_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_pii, op3_exact_dedup, op4_lm_scoring, op5_quality_rules, op6_toxicity_chain, op7_best_fit_packing, op8_url_filter, op9_language_id, op10_piece_sampling)}
 
 ORACLES = {
     "op3_exact_dedup": """

@@ -11,6 +11,9 @@ import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: White space and ASCII punctuation, for words without the marks around them.
+MARKS = SPACE.copy()
+MARKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWER = 0xD6E8FEB86659FD93
 _INVERSE = pow(_POWER, -1, 2**64)
@@ -64,9 +67,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def spans(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words; no word crosses one of ``cuts``."""
-    word = ~SPACE[data]
+def spans(data: np.ndarray, cuts: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words; no word crosses one of ``cuts``. ``gaps``: by byte, what parts words."""
+    word = ~gaps[data]
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
@@ -96,16 +99,17 @@ def _segments(data: np.ndarray, offsets: np.ndarray):
         at = to
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, tails: bool = False):
+def word_hashes(data: np.ndarray, offsets: np.ndarray, tails: bool = False, gaps: np.ndarray = SPACE):
     """Hash and row of every word, in order; with ``tails``, also its last two bytes as one number."""
+    values = _VALUES if gaps is SPACE else np.where(gaps, np.uint64(0), _VALUES)
     hashes, rows, ends_of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo, hi in _segments(data, offsets):
         part = data[lo:hi]
-        start, end = spans(part, offsets - lo)
+        start, end = spans(part, offsets - lo, gaps)
         if not len(start):
             continue
         up, down = _powers(len(part))
-        x = _VALUES[part]
+        x = values[part]
         x *= up[: len(part)]
         h = np.add.reduceat(x, start)
         h *= down[start]
