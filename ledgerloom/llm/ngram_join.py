@@ -9,15 +9,16 @@ first ``n - ceil(t * n) + 1`` of each; that holds for every order at once. So:
 2. Order A is rare-first by the sketch. Its prefixes are an inverted index: shingles met in one set
    only go at once; of those met in one input partition by many sets, one entry leaves the partition.
    Shingles whose lists of sets are equal are one list.
-3. Every set is paired with the least set of each of its lists (a star, not all pairs). A pair must
-   have fitting sizes, pass a parity bitmap whose Hamming distance bounds the symmetric difference,
-   then share a prefix shingle under the orders B and C too; the intersection of the three filters
-   goes to exact verification. Connected sets become one component.
-4. Then all pairs that a list holds between *different* components, in blocks, pass the same filters
+3. Every set is paired with the set of each of its lists that has the smallest share of leading
+   shingles of its own (a star around the most typical set, not all pairs). A pair must have fitting sizes, enough
+   shingles from the first shared one on, pass a parity bitmap whose Hamming distance bounds the symmetric
+   difference, then share a prefix shingle under the orders B and C too; the intersection of the
+   three filters goes to exact verification. Connected sets become one component.
+4. Then the pairs that a list holds between *different* components, in blocks, pass the same filters
    and verification. Pairs within a component need none, so no link that joins texts is lost.
 
 Defined cases: null or wordless text has size 0 and no link; its component is its own id. Rows that
-repeat an id each give a row. Very long texts are processed whole. Needed columns are id and text;
+repeat an id each give a row; a null id is the least of a component only where all are null. Very long texts are processed whole. Needed columns are id and text;
 others are not read.
 """
 
@@ -40,7 +41,7 @@ SKETCH_BITS = 20
 _SKETCH_BLOCKS = 64
 _FLUSH = 1 << 20
 _BUCKET = 400_000
-_CHUNK = 512
+_CHUNK = 256
 _ORDER_SEEDS = (0x51, 0xB2, 0xC3)
 MAX_FILTER_BYTES = 16 << 20
 
@@ -68,26 +69,42 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    """Parity of the shingles in each of about n bits (a power of two): folding halves keeps parity."""
-    bits = max(64, 1 << int(len(s) - 1).bit_length()) if len(s) else 64
+    """Parity of the shingles in each of 2n to 4n bits (a power of two): folding halves keeps parity."""
+    bits = max(64, 1 << int(2 * len(s) - 1).bit_length()) if len(s) else 64
     spots = (mix(s ^ np.uint64(0xD1)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(spots, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _fold(x: np.ndarray, n: int) -> np.ndarray:
-    while len(x) > n:
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return x
-
-
-def _may_link(nx: int, ny: int, bx: np.ndarray, by: np.ndarray, num: int, den: int) -> bool:
-    """Lossless: False only where sizes or bitmaps rule the link out."""
-    if min(nx, ny) * den < max(nx, ny) * num:
-        return False
-    k = min(len(bx), len(by))
-    apart = int(np.bitwise_count(_fold(bx, k) ^ _fold(by, k)).sum())
-    both = (nx + ny - apart) // 2  # at most so many in common
-    return den * both >= num * (nx + ny - both)
+def _may_link(n: np.ndarray, cap: np.ndarray, maps: list[np.ndarray], a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which of the pairs (a[k], b[k]) may link; lossless: False only where a bound rules the link out.
+
+    ``n``: sizes; ``cap``: shingles that can be common to a linked set; ``maps``: parity bitmaps as 64-bit words.
+    """
+    n = n.astype(np.int64)
+    both = n[a] + n[b]
+    least = -(-num * both // (num + den))  # the overlap that a link needs
+    ok = np.flatnonzero((np.minimum(n[a], n[b]) * den >= np.maximum(n[a], n[b]) * num) & (np.minimum(cap[a], cap[b]) >= least))
+    out = np.zeros(len(a), bool)
+    if not len(ok):
+        return out
+    size = np.array([len(m) for m in maps])
+    width = np.minimum(size[a[ok]], size[b[ok]])
+    for w in np.unique(width).tolist():
+        own = ok[width == w]
+        used, at = np.unique(np.concatenate([a[own], b[own]]), return_inverse=True)
+        folded = np.empty((len(used), w), np.uint64)
+        for k, i in enumerate(used.tolist()):
+            m = maps[i]
+            while len(m) > w:
+                m = m[: len(m) // 2] ^ m[len(m) // 2 :]
+            folded[k] = m
+        x, y = at[: len(own)], at[len(own) :]
+        step = max(1, (1 << 21) // w)
+        for k in range(0, len(own), step):
+            apart = np.bitwise_count(folded[x[k : k + step]] ^ folded[y[k : k + step]]).sum(1, dtype=np.int64)
+            part = own[k : k + step]
+            out[part] = (both[part] - apart) // 2 >= least[part]
+    return out
 
 
 def _keys(s: np.ndarray, order: int, sketch: np.ndarray) -> np.ndarray:
@@ -134,67 +151,64 @@ def _scan(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     return both.where("block is null").select("id", "n", "sid", "bitmap"), sketch
 
 
-def _index(docs: DataFrame, sketch, n_buckets: int, width: int, num: int, den: int) -> DataFrame:
-    """Pass 2: distinct (token, sid) of order A's prefixes, for tokens met in two sets at least."""
+def _index(docs: DataFrame, sketch, n_buckets: int, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pass 2: distinct (token, sid) of order A's prefixes, for tokens met in two sets at least, one
+    token for each distinct list; and by set how many tokens of its prefix come before the first such.
+    """
 
-    def flush(tokens, sids):
-        """Shared here: all entries go out as rows; to the buckets, one entry of each token."""
-        t, s = np.concatenate(tokens), np.concatenate(sids)
+    def ranked(t, s, p):
+        """Distinct entries by token, then set; where a token begins; and whether it has several sets."""
         order = np.lexsort((s, t))
-        t, s = t[order], s[order]
+        t, s, p = t[order], s[order], p[order]
         fresh = np.ones(len(t), bool)
         fresh[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
-        t, s = t[fresh], s[fresh]
+        t, s, p = t[fresh], s[fresh], p[fresh]
         first = np.ones(len(t), bool)
         first[1:] = t[1:] != t[:-1]
         sizes = np.diff(np.append(np.flatnonzero(first), len(t)))
-        shared = np.repeat(sizes > 1, sizes)
+        return t, s, p, first, np.repeat(sizes > 1, sizes)
+
+    def flush(parts):
+        """Shared here: all entries go out as rows; to the buckets, one entry of each token."""
+        t, s, p, first, shared = ranked(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         k = int(shared.sum())
-        yield pa.record_batch([pa.array(t[shared].view(np.int64)), pa.array(s[shared]), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
-        t, s = t[first], s[first]
-        cuts = np.searchsorted(t, (np.arange(n_buckets + 1, dtype=object) * (1 << 64) // n_buckets).clip(0, 2**64 - 1).astype(np.uint64))
-        cuts[-1] = len(t)
+        yield pa.record_batch([pa.array(t[shared].view(np.int64)), pa.array(s[shared]), pa.array(p[shared].astype(np.int32)), pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.binary())] * 3], names=names)
+        t, s, p = t[first], s[first], p[first]
+        cuts = np.searchsorted(t, np.array([(j << 64) // n_buckets for j in range(n_buckets)], np.uint64)).tolist() + [len(t)]
         own = [j for j in range(n_buckets) if cuts[j + 1] > cuts[j]]
         k = len(own)
-        yield pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(own, pa.int32()), pa.array([t[cuts[j] : cuts[j + 1]].tobytes() for j in own], pa.binary()), pa.array([s[cuts[j] : cuts[j + 1]].tobytes() for j in own], pa.binary())], names=names)
+        blobs = [pa.array([x[cuts[j] : cuts[j + 1]].tobytes() for j in own], pa.binary()) for x in (t, s, p)]
+        yield pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array(own, pa.int32()), *blobs], names=names)
 
     def run(batches):
-        tokens, sids, held = [], [], 0
+        parts, held = [], 0
         for b in batches:
             for _, s in _sets(b, width):
                 if len(s):
-                    tokens.append(_prefix(s, 0, sketch.value, num, den))
-                    sids.append(np.full(len(tokens[-1]), _digest(s), np.int64))
-                    held += len(tokens[-1])
+                    t = _prefix(s, 0, sketch.value, num, den)
+                    parts.append((t, np.full(len(t), _digest(s), np.int64), np.minimum(np.arange(len(t)), 65535).astype(np.uint16)))
+                    held += len(t)
                 if held > 2 * _FLUSH:
-                    yield from flush(tokens, sids)
-                    tokens, sids, held = [], [], 0
-        if tokens:
-            yield from flush(tokens, sids)
+                    yield from flush(parts)
+                    parts, held = [], 0
+        if parts:
+            yield from flush(parts)
 
     def meet(table: pa.Table) -> pa.Table:
         """Of a bucket: the entries of tokens that came from two sets at least."""
-        t = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("tokens")])
-        s = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("sids")])
-        order = np.lexsort((s, t))
-        t, s = t[order], s[order]
-        fresh = np.ones(len(t), bool)
-        fresh[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
-        t, s = t[fresh], s[fresh]
-        first = np.ones(len(t), bool)
-        first[1:] = t[1:] != t[:-1]
-        sizes = np.diff(np.append(np.flatnonzero(first), len(t)))
-        shared = np.repeat(sizes > 1, sizes)
-        return pa.table({"token": t[shared], "sid": s[shared]})
-
-    names = ["token", "sid", "bucket", "tokens", "sids"]
-    parts = settle(docs.mapInArrow(run, "token long, sid long, bucket int, tokens binary, sids binary"))
-    here = parts.where("bucket is null").select("token", "sid")
-    there = parts.where("bucket is not null").groupBy("bucket").applyInArrow(meet, "token long, sid long")
+        read = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)])
+        t, s, p, _, shared = ranked(read("tokens", np.uint64), read("sids", np.int64), read("places", np.uint16))
+        return pa.table({"token": t[shared].view(np.int64), "sid": s[shared], "pos": p[shared].astype(np.int32)})
+
+    names = ["token", "sid", "pos", "bucket", "tokens", "sids", "places"]
+    parts = settle(docs.mapInArrow(run, "token long, sid long, pos int, bucket int, tokens binary, sids binary, places binary"))
+    here = parts.where("bucket is null").select("token", "sid", "pos")
+    there = parts.where("bucket is not null").groupBy("bucket").applyInArrow(meet, "token long, sid long, pos int")
     live = settle(here.union(there).distinct())
-    lists = live.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(7))).alias("y"), F.min("sid").alias("pivot"))
-    one = lists.groupBy("k", "x", "y").agg(F.min_by(F.struct("token", "pivot"), "token").alias("p")).select("p.token", "p.pivot")
-    return settle(live.join(one, "token"))
+    lists = live.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(7))).alias("y"))
+    one = lists.groupBy("k", "x", "y").agg(F.min("token").alias("token")).select("token")
+    leading = live.groupBy("sid").agg(F.min("pos").alias("leading"))
+    return settle(live.select("token", "sid").join(one, "token")), leading
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, sketch, num: int, den: int) -> DataFrame:
@@ -216,46 +230,73 @@ def _checked(pairs: DataFrame, sets: DataFrame, sketch, num: int, den: int) -> D
 
 
 def _set_table(docs: DataFrame, wanted: DataFrame, n_wanted: int, width: int) -> DataFrame:
-    """Pass 3: the shingle sets of the wanted (id, sid); a Bloom filter of bounded size passes over the rest."""
-    filled = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted.select("id"), n_wanted, MAX_FILTER_BYTES))
+    """Pass 3: the shingle sets of the wanted (id, sid); a Bloom filter of bounded size passes over other ids."""
+    ids = wanted.select(F.coalesce("id", F.lit(0)).alias("id"))
+    filled = docs.sparkSession.sparkContext.broadcast(bloom.build(ids, n_wanted, MAX_FILTER_BYTES))
 
     def run(batches):
         for b in batches:
-            hit = bloom.member(np.asarray(pa.compute.fill_null(b.column(0).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)), filled.value)
-            b = b.filter(pa.array(hit))
-            grams = [s.tobytes() for _, s in _sets(b, width)]
-            yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(grams, pa.large_binary()).cast(pa.binary())], names=["id", "grams"])
+            keys = b.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array(bloom.member(keys, filled.value)))
+            found = [s for _, s in _sets(b, width) if len(s)]
+            yield pa.record_batch([pa.array([_digest(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["sid", "grams"])
 
-    return settle(docs.mapInArrow(run, "id long, grams binary").join(wanted, "id").groupBy("sid").agg(F.first("grams").alias("grams")))
+    sets = docs.mapInArrow(run, "sid long, grams binary").join(wanted.select("sid"), "sid")
+    return settle(sets.groupBy("sid").agg(F.first("grams").alias("grams")))
 
 
 def _across(live: DataFrame, comp: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """All pairs that a list holds between different components and that may link, in blocks of bounded size."""
+    """The pairs that a list holds between different components and that may link, in blocks of bounded size."""
     seen = live.join(comp, "sid", "left").select("token", "sid", F.coalesce("component", "sid").alias("c"))
     mixed = seen.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
     split = F.greatest(F.lit(1), F.ceil(F.col("m") / _CHUNK)).cast("int")
     part = F.pmod(F.xxhash64("sid"), F.col("split")).cast("int")
-    rows = seen.join(mixed.select("token", split.alias("split")), "token").join(nodes.select("sid", "n", "bitmap"), "sid")
-    other = F.explode(F.sequence(F.lit(0), F.col("split") - 1))
-    rows = rows.withColumn("part", part).withColumn("other", other)
-    rows = rows.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sid", "c", "n", "bitmap")
-
-    def pair(table: pa.Table) -> pa.Table:
-        """Within a block of a list; sorted by size, a set looks back only as far as sizes fit."""
-        table = table.sort_by([("n", "ascending"), ("sid", "ascending")])
-        n, c, sid, part = (table.column(k).to_numpy() for k in ("n", "c", "sid", "part"))
-        maps = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bitmap")]
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        a, b = [], []
-        low = np.searchsorted(n, -(-n.astype(np.int64) * num // den), "left")
-        for y in range(len(n)):
-            for x in range(int(low[y]), y):
-                if c[x] != c[y] and (i == j or part[x] != part[y]) and _may_link(int(n[x]), int(n[y]), maps[x], maps[y], num, den):
-                    a.append(min(sid[x], sid[y]))
-                    b.append(max(sid[x], sid[y]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return rows.groupBy("token", "i", "j").applyInArrow(pair, "a long, b long").distinct()
+    rows = seen.join(mixed.select("token", split.alias("split")), "token").join(nodes.select("sid", "n", "cap", "bitmap"), "sid")
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("split") - 1)))
+    rows = rows.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sid", "c", "n", "cap", "bitmap")
+
+    def pair(block: pa.Table):
+        """Within a block of a list: all pairs across components (and across parts, where it has two)."""
+        n, cap, c, sid, part = (block.column(k).to_numpy() for k in ("n", "cap", "c", "sid", "part"))
+        order = np.argsort(n, kind="stable")
+        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("bitmap")]
+        apart = block.column("i")[0].as_py() != block.column("j")[0].as_py()
+        own, most = n[order].astype(np.int64), cap[order].astype(np.int64)
+        low = np.searchsorted(own, -(-own * num // den), "left")  # the larger of a pair looks back so far
+        found = []
+        for y in range(len(own)):
+            x = order[low[y] : y]
+            near = (c[x] != c[order[y]]) & (most[low[y] : y] * (num + den) >= num * (own[low[y] : y] + own[y])) & (most[y] * (num + den) >= num * (own[low[y] : y] + own[y]))
+            x = x[near & (part[x] != part[order[y]]) if apart else near]
+            if len(x):
+                found.append((x, np.full(len(x), order[y])))
+        if not found:
+            return
+        a, b = (np.concatenate(z) for z in zip(*found, strict=True))
+        ok = _may_link(n, cap, maps, a, b, num, den)
+        a, b = sid[a[ok]], sid[b[ok]]
+        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches):
+        """Rows come sorted by block; a block may reach over batches."""
+        open_rows: list = []
+        for b in batches:
+            keys = np.stack([b.column(k).to_numpy() for k in ("token", "i", "j")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            edges = [0, *cuts.tolist(), b.num_rows]
+            if open_rows and b.num_rows and tuple(keys[:, 0]) != tuple(open_rows[0].column(k)[0].as_py() for k in ("token", "i", "j")):
+                yield from pair(pa.Table.from_batches(open_rows))
+                open_rows = []
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if lo:
+                    yield from pair(pa.Table.from_batches(open_rows))
+                    open_rows = []
+                open_rows.append(b.slice(lo, hi - lo))
+        if open_rows:
+            yield from pair(pa.Table.from_batches(open_rows))
+
+    blocks_of = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return blocks_of.mapInArrow(run, "a long, b long").distinct()
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -267,18 +308,23 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     nodes = settle(rows.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.min("id").alias("id")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(8, int(total * (den - num) / den / _BUCKET))
-    live = _index(docs, sketch, n_buckets, width, num, den)
+    live, leading = _index(docs, sketch, n_buckets, width, num, den)
+    # Two sets' first common token in order A lies in both prefixes, so it is met twice: what comes before it is in no common part.
+    nodes = settle(nodes.join(leading, "sid").select("sid", "id", "n", "bitmap", (F.col("n") - F.col("leading")).alias("cap")))
+    typical = F.struct((1 - F.col("cap") / F.col("n")).alias("own"), "sid")
+    pivots = live.join(nodes.select("sid", "n", "cap"), "sid").groupBy("token").agg(F.min_by("sid", typical).alias("pivot"))
 
     def passing(batches):
         for b in batches:
-            cols = [b.column(k) for k in ("na", "nb", "ma", "mb")]
-            ok = [_may_link(na.as_py(), nb.as_py(), np.frombuffer(ma.as_buffer(), np.uint8), np.frombuffer(mb.as_buffer(), np.uint8), num, den) for na, nb, ma, mb in zip(*cols, strict=True)]
+            n, cap = (np.concatenate([b.column(f"{k}a").to_numpy(), b.column(f"{k}b").to_numpy()]) for k in ("n", "c"))
+            maps = [np.frombuffer(x.as_buffer(), np.uint64) for k in ("ma", "mb") for x in b.column(k)]
+            ok = _may_link(n, cap, maps, np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, num, den)
             yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    star = live.where("sid <> pivot").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
-    left = nodes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ma"))
-    right = nodes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("mb"))
-    star = settle(star.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(passing, "a long, b long"))
+    star = live.join(pivots, "token").where("sid <> pivot").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
+    left = nodes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("cap").alias("ca"), F.col("bitmap").alias("ma"))
+    right = nodes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("cap").alias("cb"), F.col("bitmap").alias("mb"))
+    star = settle(star.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ca", "cb", "ma", "mb").mapInArrow(passing, "a long, b long"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         wanted = settle(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().join(nodes.select("sid", "id"), "sid"))
@@ -306,5 +352,5 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The document of the least id of each component, with all columns."""
-    keep = components(docs, id_col, text_col, **how).where(f"{id_col} = component_id").select(F.col(id_col).alias("_nj_id"))
-    return docs.join(keep, docs[id_col] == keep["_nj_id"], "left_semi")
+    keep = components(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_nj_id")).distinct()
+    return docs.join(keep, docs[id_col].eqNullSafe(keep["_nj_id"]), "left_semi")

@@ -9,7 +9,7 @@ them) that divide the labels best.
 Fitting uses a bounded sample of labelled documents: at most ``MAX_TOXIC`` and ``MAX_CLEAN``, the
 first by a hash of the id; every whole text is scored.
 
-Defined cases: a null or wordless text has no feature and gets the models' intercepts. Without labels
+Defined cases: a text with none of the features, a null or empty one too, has probability 0. Without labels
 of both classes nothing is learned and every probability is 0. Documents labelled both ways count as
 toxic. Rows that repeat repeat their result.
 """
@@ -62,10 +62,10 @@ class Chain:
     def probabilities(self, rows: np.ndarray, features: np.ndarray, n_rows: int) -> np.ndarray:
         """From distinct (row, feature) entries; a column per category."""
         out = np.zeros((n_rows, len(self.categories)))
-        k = len(self.words)
+        k, met = len(self.words), np.bincount(rows, minlength=n_rows) > 0
         for j, w in enumerate(self.weights):
             z = np.bincount(rows, w[features], n_rows) + out[:, :j] @ w[k : k + j] + w[-1]
-            out[:, j] = _sigmoid(z)
+            out[:, j] = np.where(met, _sigmoid(z), 0.0)
         return out
 
 
