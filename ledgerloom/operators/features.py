@@ -103,8 +103,14 @@ def prepare(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
 
 
 def stages(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> list:
-    """Unfitted stages from prepared columns to ``features``; medians and scales come from what they are fitted on."""
+    """Unfitted stages from prepared columns to ``features``; medians and scales come from what they are fitted on.
+
+    ``df`` are the training rows; a number that is null in all of them has no median and is left out.
+    """
     numbers = list(dict.fromkeys(c for c in (*cfg.numeric, *(n for n, _ in cfg.derived)) if c in df.columns))
+    if numbers:
+        known = df.agg(*[F.count(c).alias(c) for c in numbers]).first()
+        numbers = [c for c in numbers if known[c]]
     kinds = [c for c in cfg.categorical if c in df.columns]
     out, parts = [], []
     if numbers:

@@ -134,7 +134,7 @@ class MLPipeline:
             counts |= {n: p.count() for n, p in zip(("train", "validation", "test"), parts, strict=True)}
             stage = "train"
             with self.metrics.timer("model_training"):
-                model, summary = training.train(features.stages(ready, cfg.features), parts[0], cfg.training, parts[1] if counts["validation"] else None)
+                model, summary = training.train(features.stages(parts[0], cfg.features), parts[0], cfg.training, parts[1] if counts["validation"] else None)
             self.tracker.log_metrics({"train_rows": summary["train_rows"], "seconds": summary["seconds"]})
             metrics: dict = {}
             if not train_only and counts["test"]:

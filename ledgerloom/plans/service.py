@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ class Service:
         return {"status": "ok"}
 
     def query(self, filter_condition: str | None = None, limit: int = 100) -> list[dict]:
+        if not isinstance(filter_condition, str | None) or not isinstance(limit, int):
+            raise ValueError("filter_condition is a text and limit a number")
         return as_records(self.registry.query(filter_condition, limit), limit)
 
     def stats(self) -> dict:
@@ -66,7 +69,7 @@ class Service:
             return 404, {"error": f"no route {method} {path}"}
         try:
             return 200, call(body)
-        except (ValueError, KeyError, TypeError) as e:
+        except (ValueError, KeyError, TypeError, AnalysisException, ParseException) as e:
             return 400, {"error": str(e)}
 
 

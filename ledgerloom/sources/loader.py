@@ -42,10 +42,10 @@ def with_retry(action: Callable, attempts: int = 3, first_wait: float = 2.0, lon
 
 def read_raw(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     """Any Spark format. CSV columns stay text, so that leading zeros survive."""
-    reader = spark.read.format(cfg.format).options(**dict(cfg.options))
+    reader = spark.read.format(cfg.format)
     if cfg.format == "csv":
-        reader = reader.option("header", str(cfg.header).lower()).option("inferSchema", "false")
-    return reader.load(cfg.path)
+        reader = reader.option("header", str(cfg.header).lower()).option("inferSchema", "false").option("escape", '"')
+    return reader.options(**dict(cfg.options)).load(cfg.path)
 
 
 def schema_diff(have: T.StructType, want: T.StructType) -> tuple[set[str], set[str]]:
