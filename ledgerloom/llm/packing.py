@@ -19,12 +19,15 @@ gives an empty result. Texts are read whole.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -34,7 +37,9 @@ from ledgerloom.plans.scratch import settle
 
 CAPACITY = 2048
 END = 0
-_MEMO = 400_000
+_MEMO = 600_000
+_BATCH_CHARS = 1 << 20
+_JOINT = re.compile("(?<=[a-z])(?=[.,;:!?])")
 
 
 class _Lengths:
@@ -193,26 +198,59 @@ class WordTokenizer:
     """A tokenizers file whose pieces never cross a blank: ids by blank-separated chunk, remembered.
 
     The file's normaliser turns white space into blanks and its splitter drops them, so the ids of a
-    text are those of its chunks in order. Texts with odd white space are encoded whole.
+    text are those of its chunks in order. It lower-cases, so A-Z may be lowered before, and it parts
+    letters from marks, so a blank may go between a letter and a stop: fewer chunks differ. What is remembered lies in one flat array, and a whole batch is
+    put together from it at once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {"": 0}
+        self.sizes, self.starts, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, chunks: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        self.memo.update(zip(chunks, range(len(self.sizes), len(self.sizes) + len(chunks)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, with the end token."""
+        own = [_JOINT.sub(" ", t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").replace("\n", " ")).split(" ") for t in texts]
+        flat = [c for chunks in own for c in chunks]
+        if len(self.memo) > _MEMO:
+            self._forget()
+        known = list(map(self.memo.get, flat))
+        new = list(dict.fromkeys(c for c, k in zip(flat, known, strict=True) if k is None))
+        if new:
+            self._learn(new)
+            known = list(map(self.memo.get, flat))
+        chunk = np.array(known, np.int64)
+        n = self.sizes[chunk].astype(np.int64)
+        ends = np.cumsum(n)
+        out = self.ids[np.repeat(self.starts[chunk] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        totals = ends[np.cumsum([len(c) for c in own]) - 1]
+        return [np.append(x, np.uint32(END)) for x in np.split(out, totals[:-1])]
 
     def __call__(self, text: str) -> np.ndarray:
-        chunks = text.replace("\n", " ").split(" ")
-        memo = self.memo
-        new = [c for c in dict.fromkeys(chunks) if c not in memo]
-        if new:
-            if len(memo) + len(new) > _MEMO:
-                memo.clear()
-                new = list(dict.fromkeys(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, np.uint32)
-        return np.concatenate([memo[c] for c in chunks] + [np.array([END], np.uint32)])
+        return self.batch([text])[0]
+
+
+def _spans(texts: pa.Array):
+    """(first, count) of runs of rows with about ``_BATCH_CHARS`` bytes each."""
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _BATCH_CHARS, "right")))
+        yield at, to - at
+        at = to
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, payload: str = "ids") -> DataFrame:
@@ -226,11 +264,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def cut(batches):
         encode, met, part = WordTokenizer(tokenizer_path), Counter(), TaskContext.get().partitionId()
         for b in batches:
-            for at in range(0, b.num_rows, 512):
+            for at, n in _spans(b.column(1)):
                 rows: list[tuple] = []
-                own = b.slice(at, 512)
-                for key, text in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), strict=True):
-                    ids = encode(text or "")
+                own = b.slice(at, n)
+                for key, ids in zip(own.column(0).to_pylist(), encode.batch([t or "" for t in own.column(1).to_pylist()]), strict=True):
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         raw = ids[start : start + capacity].astype("<u4").tobytes()
                         length = len(raw) // 4

@@ -28,7 +28,8 @@ from ledgerloom.llm.words import mix
 ALPHA = 1.0
 BYTE_WEIGHT = -12.0
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-_MEMO = 250_000
+_MEMO = 500_000
+_MAYBE = 1 << 20
 _SLICE = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,6 +66,8 @@ class Sampler:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([i for _, i, _ in own])[order]
         self.weights = np.array([w for _, _, w in own])[order]
+        self.maybe = np.zeros(_MAYBE, bool)  # most strings that are no piece end here
+        self.maybe[(self.keys & np.uint64(_MAYBE - 1)).astype(np.int64)] = True
         self._reset()
 
     def _key(self, points: np.ndarray) -> np.uint64:
@@ -75,10 +78,10 @@ class Sampler:
 
     def _reset(self) -> None:
         self.memo: dict[str, int] = {}
-        self.length = np.zeros(0, np.int64)  # of each chunk
-        self.base = np.zeros(0, np.int64)  # its state at 0; position e is base + e
-        self.first = np.zeros(0, np.int64)  # of each state, its first edge
-        self.edges = (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))  # cumulative share, characters, piece or -1 - code point
+        self.length = np.zeros(0, np.int32)  # of each chunk
+        self.base = np.zeros(0, np.int32)  # its state at 0; position e is base + e
+        self.first = np.zeros(0, np.int32)  # of each state, its first edge
+        self.edges = (np.zeros(0, np.float32), np.zeros(0, np.int16), np.zeros(0, np.int32))  # cumulative share, characters, piece or -1 - code point
 
     def _learn(self, chunks: list[str]) -> None:
         """Forward filtering of new chunks, all at once."""
@@ -97,14 +100,16 @@ class Sampler:
                 break
             h[alive] = h[alive] * _MIX + mixed[alive + n - 1]
             keys = mix(h[alive] + np.uint64(n))
-            k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[k] == keys
-            tails.append(alive[hit])
-            heads.append(alive[hit] + n)
-            pieces.append(self.ids[k[hit]])
-            weights.append(self.weights[k[hit]])
+            some = np.flatnonzero(self.maybe[(keys & np.uint64(_MAYBE - 1)).astype(np.int64)])
+            k = np.minimum(np.searchsorted(self.keys, keys[some]), len(self.keys) - 1)
+            hit = self.keys[k] == keys[some]
+            own, k = alive[some[hit]], k[hit]
+            tails.append(own)
+            heads.append(own + n)
+            pieces.append(self.ids[k])
+            weights.append(self.weights[k])
             if n == 1:
-                single[alive[hit]] = True
+                single[own] = True
         bare = np.flatnonzero(~single)
         p = points[bare].astype(np.int64)
         tails.append(bare)
@@ -112,7 +117,7 @@ class Sampler:
         pieces.append(-1 - p)
         weights.append(BYTE_WEIGHT * (1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)))
         tail, head, piece, weight = (np.concatenate(x) for x in (tails, heads, pieces, weights))
-        order = np.lexsort((tail, head))
+        order = np.argsort(head * (self.longest + 1) - (head - tail), kind="stable")
         tail, head, piece, weight = tail[order], head[order], piece[order], weight[order]
         # a chunk of n characters has states 0..n; state of a head in chunk c is its place + c + 1
         chunk = np.searchsorted(at, tail, "right") - 1
@@ -138,10 +143,11 @@ class Sampler:
         share[last] = 2.0  # rounding never runs past a state's last edge
         base = len(self.first)
         counts = np.bincount(to, minlength=len(points) + len(chunks))
-        self.first = np.concatenate([self.first, np.cumsum(counts) - counts + len(self.edges[0])])
-        self.edges = tuple(np.concatenate(x) for x in zip(self.edges, (share, head - tail, piece), strict=True))
-        self.base = np.concatenate([self.base, at + np.arange(len(chunks)) + base])
-        self.length = np.concatenate([self.length, lens])
+        grow = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
+        self.first = grow(self.first, np.cumsum(counts) - counts + len(self.edges[0]))
+        self.edges = tuple(grow(*x) for x in zip(self.edges, (share, head - tail, piece), strict=True))
+        self.base = grow(self.base, at + np.arange(len(chunks)) + base)
+        self.length = grow(self.length, lens)
         known = len(self.memo)
         self.memo.update(zip(chunks, range(known, known + len(chunks)), strict=True))
 
@@ -170,11 +176,13 @@ class Sampler:
         def flush():
             if len(self.memo) > _MEMO:
                 self._reset()
-            new = list(dict.fromkeys(c for _, _, own in held for c in own if c not in self.memo))
+            flat = [c for _, _, own in held for c in own]
+            known = list(map(self.memo.get, flat))
+            new = list(dict.fromkeys(c for c, k in zip(flat, known, strict=True) if k is None))
             if new:
                 self._learn(new)
-            memo = self.memo
-            chunk = np.array([memo[c] for _, _, own in held for c in own])
+                known = list(map(self.memo.get, flat))
+            chunk = np.array(known)
             n = np.array([len(own) for _, _, own in held])
             place = np.concatenate([np.arange(a, a + k) for (_, a, _), k in zip(held, n, strict=True)]).astype(np.uint64)
             key = np.repeat(mix(np.array([keys[i] for i, _, _ in held], np.int64).view(np.uint64) + self.seed), n)
@@ -205,13 +213,13 @@ class Sampler:
         base, steps = self.base[chunk], np.zeros(len(chunk), np.int64)
         taken: list[tuple[np.ndarray, np.ndarray]] = []
         while len(who):
-            u = (mix(salt[who] + np.uint64(len(taken) + 1)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+            u = (mix(salt[who] + np.uint64(len(taken) + 1)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
             k = self.first[base[who] + left]
             late = np.flatnonzero(share[k] <= u)
             while len(late):
                 k[late] += 1
                 late = late[share[k[late]] <= u[late]]
-            taken.append((who, piece[k]))
+            taken.append((who, piece[k].astype(np.int64)))
             steps[who] += 1
             left = left - width[k]
             more = left > 0
