@@ -9,8 +9,8 @@ first ``n - ceil(t * n) + 1`` of each; that holds for every order at once. So:
 2. Order A is rare-first by the sketch. Its prefixes are an inverted index: shingles met in one set
    only go at once; of those met in one input partition by many sets, one entry leaves the partition.
    Shingles whose lists of sets are equal are one list.
-3. Every set is paired with the set of each of its lists that has the smallest share of leading
-   shingles of its own (a star around the most typical set, not all pairs). A pair must have fitting sizes, enough
+3. Every set is paired, in each of its lists and each band of sizes near its own, with the set
+   whose prefix shingles are the most frequent (a star around the most typical set, not all pairs). A pair must have fitting sizes, enough
    shingles from the first shared one on, pass a parity bitmap whose Hamming distance bounds the symmetric
    difference, then share a prefix shingle under the orders B and C too; the intersection of the
    three filters goes to exact verification. Connected sets become one component.
@@ -25,6 +25,7 @@ others are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,7 +154,8 @@ def _scan(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
 
 def _index(docs: DataFrame, sketch, n_buckets: int, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Pass 2: distinct (token, sid) of order A's prefixes, for tokens met in two sets at least, one
-    token for each distinct list; and by set how many tokens of its prefix come before the first such.
+    token for each distinct list; and by set how many tokens of its prefix come before the first such,
+    and the sum of the logarithms of its lists' lengths.
     """
 
     def ranked(t, s, p):
@@ -206,9 +208,10 @@ def _index(docs: DataFrame, sketch, n_buckets: int, width: int, num: int, den: i
     there = parts.where("bucket is not null").groupBy("bucket").applyInArrow(meet, "token long, sid long, pos int")
     live = settle(here.union(there).distinct())
     lists = live.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(7))).alias("y"))
-    one = lists.groupBy("k", "x", "y").agg(F.min("token").alias("token")).select("token")
-    leading = live.groupBy("sid").agg(F.min("pos").alias("leading"))
-    return settle(live.select("token", "sid").join(one, "token")), leading
+    one = lists.groupBy("k", "x", "y").agg(F.min("token").alias("token")).select("token", F.lit(True).alias("stands"))
+    placed = settle(live.join(lists.select("token", "k").join(one, "token", "left"), "token").select("token", "sid", "pos", "k", "stands"))
+    of_set = placed.groupBy("sid").agg(F.min("pos").alias("leading"), F.sum(F.log("k")).alias("mass"))
+    return placed.where("stands").select("token", "sid"), of_set
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, sketch, num: int, den: int) -> DataFrame:
@@ -308,11 +311,14 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     nodes = settle(rows.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.min("id").alias("id")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(8, int(total * (den - num) / den / _BUCKET))
-    live, leading = _index(docs, sketch, n_buckets, width, num, den)
+    live, of_set = _index(docs, sketch, n_buckets, width, num, den)
     # Two sets' first common token in order A lies in both prefixes, so it is met twice: what comes before it is in no common part.
-    nodes = settle(nodes.join(leading, "sid").select("sid", "id", "n", "bitmap", (F.col("n") - F.col("leading")).alias("cap")))
-    typical = F.struct((1 - F.col("cap") / F.col("n")).alias("own"), "sid")
-    pivots = live.join(nodes.select("sid", "n", "cap"), "sid").groupBy("token").agg(F.min_by("sid", typical).alias("pivot"))
+    nodes = settle(nodes.join(of_set, "sid").select("sid", "id", "n", "bitmap", "mass", (F.col("n") - F.col("leading")).alias("cap")))
+    typical = F.struct((-F.col("mass") / F.col("n")).alias("rare"), "sid")
+    # Linked sets lie in the same band of sizes or in neighbouring ones.
+    band = F.floor(F.log("n") / F.lit(math.log(den / num) if num < den else 1.0)).cast("int")
+    placed = live.join(nodes.select("sid", "mass", "n", band.alias("band")), "sid")
+    pivots = placed.groupBy("token", "band").agg(F.min_by("sid", typical).alias("pivot"))
 
     def passing(batches):
         for b in batches:
@@ -321,7 +327,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
             ok = _may_link(n, cap, maps, np.arange(b.num_rows), np.arange(b.num_rows) + b.num_rows, num, den)
             yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    star = live.join(pivots, "token").where("sid <> pivot").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
+    near = placed.select("token", "sid", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    star = near.join(pivots, ["token", "band"]).where("sid <> pivot").select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
     left = nodes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("cap").alias("ca"), F.col("bitmap").alias("ma"))
     right = nodes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("cap").alias("cb"), F.col("bitmap").alias("mb"))
     star = settle(star.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ca", "cb", "ma", "mb").mapInArrow(passing, "a long, b long"))
