@@ -16,21 +16,24 @@ into slices at chunk borders.
 from __future__ import annotations
 
 import re
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql import types as T
 
 from ledgerloom.llm.words import mix
 
 ALPHA = 1.0
 BYTE_WEIGHT = -12.0
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
-_MEMO = 500_000
+#: The same, with a border between a small letter and what follows it of these marks, for models without a piece that holds both.
+_SPLIT = re.compile(r" +[^ \n.,;:!?]*(?:(?<![a-z])[.,;:!?][^ \n.,;:!?]*)*|\n|[^ \n]+")
+_MEMO = 200_000
 _MAYBE = 1 << 20
-_SLICE = 2 << 20
+_SLICE = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,6 +64,7 @@ class Sampler:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_len = np.array([len(r) for r in raw])
         self.raw_at = np.concatenate([[0], np.cumsum(self.raw_len)[:-1]])
+        self.chunk = _CHUNK if any(re.search("[a-z][.,;:!?]", t) for t, _, _ in own) else _SPLIT
         self.longest = max((len(t) for t, _, _ in own), default=1)
         keys = np.array([self._key(np.frombuffer(t.encode("utf-32-le"), np.uint32)) for t, _, _ in own], np.uint64)
         order = np.argsort(keys)
@@ -88,7 +92,7 @@ class Sampler:
         lens = np.array([len(c) for c in chunks])
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
         at = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        end_of = np.repeat(at + lens, lens)
+        end_of, chunk_of = np.repeat(at + lens, lens), np.repeat(np.arange(len(chunks)), lens)
         mixed = mix(points.astype(np.uint64))
         h = np.zeros(len(points), np.uint64)
         tails, heads, pieces, weights = [], [], [], []
@@ -117,34 +121,36 @@ class Sampler:
         pieces.append(-1 - p)
         weights.append(BYTE_WEIGHT * (1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)))
         tail, head, piece, weight = (np.concatenate(x) for x in (tails, heads, pieces, weights))
-        order = np.argsort(head * (self.longest + 1) - (head - tail), kind="stable")
-        tail, head, piece, weight = tail[order], head[order], piece[order], weight[order]
-        # a chunk of n characters has states 0..n; state of a head in chunk c is its place + c + 1
-        chunk = np.searchsorted(at, tail, "right") - 1
-        to, came = head + chunk, tail + chunk
+        # A chunk of n characters has states 0..n; all edges are laid out by position, then by the state they lead to.
+        chunk = chunk_of[tail]
+        position, to = head - at[chunk], head + chunk
+        order = np.argsort(position * (len(points) + len(chunks) + 1) + to, kind="stable")
+        tail, head, piece, weight, chunk, position, to = (x[order] for x in (tail, head, piece, weight, chunk, position, to))
+        came = tail + chunk
         forward = np.full(len(points) + len(chunks), -np.inf)
         forward[at + np.arange(len(chunks))] = 0.0
-        position = head - at[chunk]
-        by_position = np.argsort(position, kind="stable")
+        starts_of = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        size_of = np.diff(np.append(starts_of, len(to)))
         share = np.zeros(len(tail))
-        for own in np.split(by_position, np.flatnonzero(np.diff(position[by_position])) + 1):
-            z = forward[came[own]] + weight[own]
-            state = to[own]
-            starts = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
+        cuts = np.append(np.searchsorted(position, np.arange(1, int(position[-1]) + 1)), len(position))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            z = forward[came[lo:hi]] + weight[lo:hi]
+            k0, k1 = np.searchsorted(starts_of, [lo, hi])
+            starts, sizes = starts_of[k0:k1] - lo, size_of[k0:k1]
             top = np.maximum.reduceat(z, starts)
-            sizes = np.diff(np.append(starts, len(z)))
             e = np.exp(z - np.repeat(top, sizes))
             total = np.add.reduceat(e, starts)
-            forward[state[starts]] = top + np.log(total)
+            forward[to[lo + starts]] = top + np.log(total)
             running = np.cumsum(e)
             running -= np.repeat(running[starts] - e[starts], sizes)
-            share[own] = running / np.repeat(total, sizes)
+            share[lo:hi] = running / np.repeat(total, sizes)
         last = np.append(to[1:] != to[:-1], True)
         share[last] = 2.0  # rounding never runs past a state's last edge
         base = len(self.first)
-        counts = np.bincount(to, minlength=len(points) + len(chunks))
+        first = np.zeros(len(points) + len(chunks), np.int64)
+        first[to[starts_of]] = starts_of + len(self.edges[0])
         grow = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
-        self.first = grow(self.first, np.cumsum(counts) - counts + len(self.edges[0]))
+        self.first = grow(self.first, first)
         self.edges = tuple(grow(*x) for x in zip(self.edges, (share, head - tail, piece), strict=True))
         self.base = grow(self.base, at + np.arange(len(chunks)) + base)
         self.length = grow(self.length, lens)
@@ -152,7 +158,7 @@ class Sampler:
         self.memo.update(zip(chunks, range(known, known + len(chunks)), strict=True))
 
     def _chunks(self, text: str):
-        """Lists of chunks, each of about a slice's length; a blank goes before the text."""
+        """(chunks, characters) of slices at borders; a blank goes before the text."""
         text, at = " " + text, 0
         border = lambda p: text[p] == "\n" or text[p - 1] == "\n" or (text[p] == " " and text[p - 1] != " ")
         while at < len(text):
@@ -164,7 +170,7 @@ class Sampler:
                     to += _SLICE
                     while to < len(text) and not border(to):
                         to += 1
-            yield _CHUNK.findall(text[at:to])
+            yield self.chunk.findall(text[at:to]), to - at
             at = to
 
     def encode(self, texts: list[str | None], keys: np.ndarray) -> list[np.ndarray | None]:
@@ -178,11 +184,11 @@ class Sampler:
                 self._reset()
             flat = [c for _, _, own in held for c in own]
             known = list(map(self.memo.get, flat))
-            new = list(dict.fromkeys(c for c, k in zip(flat, known, strict=True) if k is None))
+            new = list(dict.fromkeys(compress(flat, map(is_, known, repeat(None)))))
             if new:
                 self._learn(new)
                 known = list(map(self.memo.get, flat))
-            chunk = np.array(known)
+            chunk = np.fromiter(known, np.int64, len(known))
             n = np.array([len(own) for _, _, own in held])
             place = np.concatenate([np.arange(a, a + k) for (_, a, _), k in zip(held, n, strict=True)]).astype(np.uint64)
             key = np.repeat(mix(np.array([keys[i] for i, _, _ in held], np.int64).view(np.uint64) + self.seed), n)
@@ -195,10 +201,10 @@ class Sampler:
         for i, text in enumerate(texts):
             if text:
                 done = 0
-                for own in self._chunks(text):
+                for own, length in self._chunks(text):
                     held.append((i, done, own))
                     done += len(own)
-                    size += sum(map(len, own))
+                    size += length
                     if size > _SLICE:
                         flush()
                         size = 0
@@ -261,28 +267,39 @@ def _sampler(path: str, seed: int) -> Sampler:
     return _OPEN[path, seed]
 
 
+def _added(docs: DataFrame, column: str, kind: T.DataType, values, n_rows: int = 256) -> DataFrame:
+    """``docs`` with a column more, made from small runs of rows, so that a worker holds little at once."""
+    names = [c for c in docs.columns if c != column]
+    kept = docs.select(*[f"`{c}`" for c in names])
+    schema = T.StructType([*kept.schema, T.StructField(column, kind)])
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, n_rows):
+                part = b.slice(at, n_rows)
+                yield pa.record_batch([*part.columns, values(part)], names=[*names, column])
+
+    return kept.mapInArrow(run, schema)
+
+
 def encode(docs: DataFrame, model_path: str, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", out: str = "pieces") -> DataFrame:
     """Adds the array column ``out`` of sampled piece ids."""
 
-    @arrow_udf("array<int>")
-    def sampled(keys: pa.Array, texts: pa.Array) -> pa.Array:
-        sampler, rows = _sampler(model_path, seed), []
-        for at in range(0, len(texts), 1024):
-            own = keys.slice(at, 1024).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
-            rows += sampler.encode(texts.slice(at, 1024).to_pylist(), own)
+    def sampled(part: pa.RecordBatch) -> pa.Array:
+        keys = part.column(id_col).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+        rows = _sampler(model_path, seed).encode(part.column(text_col).to_pylist(), keys)
         offsets = np.concatenate([[0], np.cumsum([0 if r is None else len(r) for r in rows])]).astype(np.int32)
         values = np.concatenate([r for r in rows if r is not None] or [np.zeros(0)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array([r is None for r in rows]))
 
-    return docs.withColumn(out, sampled(F.col(id_col).cast("long"), F.col(text_col)))
+    return _added(docs, out, T.ArrayType(T.IntegerType()), sampled)
 
 
 def decode(docs: DataFrame, model_path: str, pieces_col: str = "pieces", out: str = "decoded") -> DataFrame:
     """Adds the text column ``out`` of piece ids."""
 
-    @arrow_udf("string")
-    def spelled(pieces: pa.Array) -> pa.Array:
+    def spelled(part: pa.RecordBatch) -> pa.Array:
         sampler = _sampler(model_path, 0)
-        return pa.array([None if not p.is_valid else sampler.decode(p.values.to_numpy()) for p in pieces], pa.string())
+        return pa.array([None if not p.is_valid else sampler.decode(p.values.to_numpy()) for p in part.column(pieces_col)], pa.string())
 
-    return docs.withColumn(out, spelled(pieces_col))
+    return _added(docs, out, T.StringType(), spelled)
