@@ -23,7 +23,8 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -228,11 +229,11 @@ class WordTokenizer:
         if len(self.memo) > _MEMO:
             self._forget()
         known = list(map(self.memo.get, flat))
-        new = list(dict.fromkeys(c for c, k in zip(flat, known, strict=True) if k is None))
+        new = list(dict.fromkeys(compress(flat, map(is_, known, repeat(None)))))
         if new:
             self._learn(new)
             known = list(map(self.memo.get, flat))
-        chunk = np.array(known, np.int64)
+        chunk = np.fromiter(known, np.int64, len(known))
         n = self.sizes[chunk].astype(np.int64)
         ends = np.cumsum(n)
         out = self.ids[np.repeat(self.starts[chunk] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
