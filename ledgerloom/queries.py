@@ -343,7 +343,7 @@ def json_rows(spark, sf_dir):
 def _money(spark, sf_dir) -> DataFrame:
     """Customers with revenue, profit (some null), year, and arrays of supplier and place names."""
     t = lambda n: table(spark, sf_dir, n)
-    orders = t("orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("revenue"), F.max(F.year("o_orderdate")).alias("fiscal_year"))
+    orders = t("orders").groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue"), F.max(F.year("o_orderdate")).alias("fiscal_year"))
     lines = t("lineitem").join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").join(t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey")), "l_suppkey").join(t("nation").select("n_nationkey", "n_name"), "n_nationkey")
     lists = lines.groupBy("o_custkey").agg(F.array_sort(F.collect_set("s_name")).alias("top_suppliers"), F.array_sort(F.collect_set("n_name")).alias("activity_places"))
     base = t("customer").select("c_custkey", F.when(F.col("c_custkey") % 11 != 0, F.col("c_acctbal") * 100).alias("profit"), F.col("c_mktsegment").alias("industry_sector"), "c_nationkey")
@@ -351,7 +351,7 @@ def _money(spark, sf_dir) -> DataFrame:
     return joined.withColumn("main_customers", F.when(F.col("c_custkey") % 4 != 0, F.array_repeat(F.lit("x"), (F.col("c_custkey") % 4).cast("int"))))
 
 
-_MONEY = """WITH o AS (SELECT o_custkey, sum(o_totalprice) AS revenue, max(year(o_orderdate)) AS fiscal_year FROM orders GROUP BY 1),
+_MONEY = """WITH o AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, max(year(o_orderdate)) AS fiscal_year FROM orders GROUP BY 1),
 l AS (SELECT o_custkey, count(DISTINCT s_name) AS suppliers, count(DISTINCT n_name) AS places FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1),
 m AS (SELECT c.c_custkey, CASE WHEN c.c_custkey % 11 <> 0 THEN c_acctbal * 100 END AS profit, c_mktsegment AS industry_sector, revenue, fiscal_year, coalesce(suppliers, 0) AS suppliers, coalesce(places, 0) AS places, c.c_custkey % 4 AS customers
       FROM customer c LEFT JOIN o ON c.c_custkey = o.o_custkey LEFT JOIN l ON c.c_custkey = l.o_custkey) """
@@ -363,12 +363,12 @@ def target_label(spark, sf_dir):
 
 
 @query(_MONEY + """SELECT c_custkey, CAST(suppliers AS INT) AS num_top_suppliers, CAST(customers AS INT) AS num_main_customers, CAST(places AS INT) AS num_activity_places,
-    round(CASE WHEN revenue IS NULL OR suppliers = 0 THEN NULL ELSE revenue / suppliers END, 2) AS revenue_per_supplier,
+    round(CASE WHEN revenue IS NULL OR suppliers = 0 THEN NULL ELSE revenue / suppliers END, 8) AS revenue_per_supplier,
     round(CASE WHEN revenue IS NULL OR revenue = 0 THEN NULL ELSE profit / revenue END, 6) AS profit_margin,
     round(CASE WHEN customers = 0 THEN NULL ELSE suppliers::DOUBLE / customers END, 6) AS supplier_customer_ratio FROM m""")
 def derived_features(spark, sf_dir):
     d = features.derive(_money(spark, sf_dir))
-    return d.select("c_custkey", "num_top_suppliers", "num_main_customers", "num_activity_places", F.round("revenue_per_supplier", 2).alias("revenue_per_supplier"), F.round("profit_margin", 6).alias("profit_margin"), F.round("supplier_customer_ratio", 6).alias("supplier_customer_ratio"))
+    return d.select("c_custkey", "num_top_suppliers", "num_main_customers", "num_activity_places", F.round("revenue_per_supplier", 8).alias("revenue_per_supplier"), F.round("profit_margin", 6).alias("profit_margin"), F.round("supplier_customer_ratio", 6).alias("supplier_customer_ratio"))
 
 
 @query(_MONEY + "SELECT 'revenue' AS feature, count(*) FILTER (revenue IS NULL) AS nulls, round(count(*) FILTER (revenue IS NULL) / count(*)::DOUBLE, 9) AS ratio FROM m UNION ALL SELECT 'profit', count(*) FILTER (profit IS NULL), round(count(*) FILTER (profit IS NULL) / count(*)::DOUBLE, 9) FROM m")
