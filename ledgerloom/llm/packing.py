@@ -19,6 +19,7 @@ gives an empty result. Texts are read whole.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from collections import Counter
@@ -205,6 +206,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
