@@ -31,7 +31,7 @@ BYTE_WEIGHT = -12.0
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: The same, with a border between a small letter and what follows it of these marks, for models without a piece that holds both.
 _SPLIT = re.compile(r" +[^ \n.,;:!?]*(?:(?<![a-z])[.,;:!?][^ \n.,;:!?]*)*|\n|[^ \n]+")
-_MEMO = 200_000
+_MEMO = 500_000
 _MAYBE = 1 << 20
 _SLICE = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
