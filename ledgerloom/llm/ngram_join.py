@@ -15,7 +15,9 @@ first ``n - ceil(t * n) + 1`` of each; that holds for every order at once. So:
    difference, then share a prefix shingle under the orders B and C too; the intersection of the
    three filters goes to exact verification. Connected sets become one component.
 4. Then the pairs that a list holds between *different* components, in blocks, pass the same filters
-   and verification. Pairs within a component need none, so no link that joins texts is lost.
+   and verification. Pairs within a component cannot change it, so no link that joins texts is lost.
+5. Every link lies within a component. ``components`` counts them there, over all pairs of each
+   component's sets in blocks of bounded size: exact intersections, each pair in one block.
 
 Defined cases: null or wordless text has size 0 and no link; its component is its own id. Rows that
 repeat an id each give a row; a null id is the least of a component only where all are null. Very long texts are processed whole. Needed columns are id and text;
@@ -43,6 +45,8 @@ _SKETCH_BLOCKS = 64
 _FLUSH = 1 << 20
 _BUCKET = 400_000
 _CHUNK = 256
+_BLOCK_GRAMS = 1 << 20
+_COLUMNS = 4096
 _ORDER_SEEDS = (0x51, 0xB2, 0xC3)
 MAX_FILTER_BYTES = 16 << 20
 
@@ -347,17 +351,75 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     return rows.select("id", "n", "sid"), comp
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """Per document: id, ``n_shingles``, ``component_id`` (least id reachable by links, itself included)."""
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets: products of slices of the membership matrix."""
+    grams, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    met = times[at] > 1
+    column = (np.cumsum(times > 1) - 1)[at[met]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[met][order]
+    both = np.zeros((len(sets), len(sets)), np.int64)
+    edges = [*range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS), int(column[-1]) + 1 if len(column) else 0]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        x, y = np.searchsorted(column, (lo, hi))
+        held = np.zeros((len(sets), hi - lo), np.float32)
+        held[owner[x:y], column[x:y] - lo] = 1
+        both += np.rint(held @ held.T).astype(np.int64)
+    return both
+
+
+def _link_counts(docs: DataFrame, rows: DataFrame, comp: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Per set with a link to another set: (sid, far), the number of documents with a different set that it links to."""
+    of_set = settle(rows.where("n > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.first("n").alias("n")).join(comp, "sid"))
+    wanted = settle(of_set.select("sid", "id"))
+    sizes = of_set.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    split = F.greatest(F.lit(1), F.ceil(F.col("m") / _CHUNK), F.ceil(F.col("total") / _BLOCK_GRAMS)).cast("int")
+    placed = of_set.join(sizes.select("component", split.alias("split")), "component")
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("split")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("split") - 1)))
+    placed = placed.select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sid", "copies")
+    blocks_of = placed.join(_set_table(docs, wanted, wanted.count(), width), "sid")
+
+    def count(block: pa.Table) -> pa.Table:
+        """Within a block: of each set, the copies of the sets it links to (of the other part, where it has two)."""
+        sid, part, copies = (block.column(k).to_numpy() for k in ("sid", "part", "copies"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in block.column("grams").chunks for x in c]
+        n = np.array([len(s) for s in sets])
+        both = _overlaps(sets)
+        linked = den * both >= num * (n[:, None] + n[None, :] - both)
+        np.fill_diagonal(linked, False)
+        if block.column("i")[0].as_py() != block.column("j")[0].as_py():
+            linked &= part[:, None] != part[None, :]
+        return pa.table({"sid": sid, "far": linked @ copies})
+
+    counted = blocks_of.groupBy("component", "i", "j").applyInArrow(count, "sid long, far long")
+    return settle(counted.groupBy("sid").agg(F.sum("far").alias("far")))
+
+
+def _members(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(rows, comp, found)``: of ``links``, and per document (id, n, sid, least)."""
     rows, comp = links(docs, id_col, text_col, width, num, den)
-    named = rows.join(comp, "sid", "left").select("id", "n", F.coalesce("component", "sid").alias("c"))
+    named = rows.join(comp, "sid", "left").select("id", "n", "sid", F.coalesce("component", "sid").alias("c"))
     least = named.where("n > 0").groupBy("c").agg(F.min("id").alias("least"))
-    found = named.where("n > 0").join(least, "c").select("id", "n", "least")
-    found = found.union(named.where("n = 0").select("id", "n", "id"))
-    return found.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"))
+    found = named.where("n > 0").join(least, "c").select("id", "n", "sid", "least")
+    return rows, comp, found.union(named.where("n = 0").select("id", "n", "sid", "id"))
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """Per document: id, ``n_shingles``, ``component_id`` (least id reachable by links, itself included)
+    and ``n_links``, the number of other documents that it links to.
+    """
+    rows, comp, found = _members(docs, id_col, text_col, width, num, den)
+    far = _link_counts(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, comp, width, num, den)
+    near = rows.where("n > 0").groupBy("sid").agg((F.count(F.lit(1)) - 1).alias("near"))
+    links_of = near.join(far, "sid", "left").select("sid", (F.col("near") + F.coalesce("far", F.lit(0))).alias("n_links"))
+    found = found.join(links_of, "sid", "left")
+    return found.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The document of the least id of each component, with all columns."""
-    keep = components(docs, id_col, text_col, **how).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_nj_id")).distinct()
+    how = {"width": 5, "num": 75, "den": 100} | how
+    _, _, found = _members(docs, id_col, text_col, **how)
+    keep = found.where(F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("_nj_id")).distinct()
     return docs.join(keep, docs[id_col].eqNullSafe(keep["_nj_id"]), "left_semi")

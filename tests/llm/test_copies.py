@@ -100,6 +100,27 @@ def test_join_at_low_threshold_goes_across_components(docs, monkeypatch):
     assert got == brute_components(rows, 40)
 
 
+def brute_links(rows, num, den):
+    sets = [shingle_set(t) for _, t in rows]
+    n = [0] * len(rows)
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and den * both >= num * len(sets[a] | sets[b]):
+            n[a] += 1
+            n[b] += 1
+    return Counter((i, k) for (i, _), k in zip(rows, n, strict=True))
+
+
+@pytest.mark.parametrize("num", [75, 40])
+def test_every_link_within_a_component_is_counted(docs, monkeypatch, num):
+    monkeypatch.setattr(ngram_join, "_CHUNK", 3)
+    monkeypatch.setattr(ngram_join, "_COLUMNS", 50)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = Counter((r["doc_id"], r["n_links"]) for r in ngram_join.components(docs, num=num, den=100).collect())
+    assert got == brute_links(rows, num, 100)
+    assert max(k for _, k in got) >= 3
+
+
 def test_filters_lose_no_link():
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
