@@ -42,3 +42,22 @@ def test_query_equals_sql(spark, duck, name):
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_components_of_all_edges_equal_union_find(spark, tmp_path):
+    """Two blocks of parts and suppliers, and edges that a predicate on quantity or discount would drop."""
+    rows = [(p, 10 * (p // 20) + p % 7, 1.0 + p % 50, (p % 11) / 100) for p in range(40)] + [(99, 50, 1.0, 0.0), (98, 50, 49.0, 0.09)]
+    spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_quantity double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for p, s, *_ in rows:
+        a, b = sorted((root(p), root(s + 1000000)))
+        parent[b] = a
+    got = {r["node"]: r["component"] for r in entry.queries()["graph_components_whole"](spark, str(tmp_path)).collect()}
+    assert got == {x: root(x) for x in list(parent)}
+    assert len(set(got.values())) > 2
