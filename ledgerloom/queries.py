@@ -130,6 +130,12 @@ def text_cleaning(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", clean_text(_name()).alias("name_clean"))
 
 
+@query()
+def text_cleaning_whole(spark, sf_dir):
+    """Whole texts, not only ASCII names of three words; the regex dialects differ on these."""
+    return table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+
+
 @query("WITH " + SOURCES + " SELECT doc_id, country_clean, postal_clean FROM clean")
 def country_postal_clean(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", clean_country(F.upper("lang")).alias("country_clean"), clean_postal((F.col("n_chars") % 97).cast("string")).alias("postal_clean"))

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import pytest
 
@@ -61,3 +62,16 @@ def test_components_of_all_edges_equal_union_find(spark, tmp_path):
     got = {r["node"]: r["component"] for r in entry.queries()["graph_components_whole"](spark, str(tmp_path)).collect()}
     assert got == {x: root(x) for x in list(parent)}
     assert len(set(got.values())) > 2
+
+
+def test_cleaning_reads_whole_texts(spark, tmp_path):
+    texts = ["Acme Corp. Ltd and the other Company of Zürich, INC", "one two three four\u00a0five  SIX", "co\u00e9 caf\u00e9co limited x", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def plain(t):
+        bare = re.sub(r"\b(inc|corp|ltd|llc|plc|co|company|limited)\b", "", (t or "").lower())
+        return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9\s]", "", bare)).strip(" ")
+
+    got = {r["doc_id"]: r["text_clean"] for r in entry.queries()["text_cleaning_whole"](spark, str(tmp_path)).collect()}
+    assert got == {k: plain(t) for k, t in enumerate(texts)}
+    assert got[0] == "acme and the other of zrich" and got[1] == "one two three four five six"
