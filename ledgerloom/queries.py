@@ -340,6 +340,12 @@ def registry_query(spark, sf_dir):
     return _registry(spark, sf_dir, 1).query("c_acctbal > 5000", 20)
 
 
+@query("SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_acctbal, t.c_acctbal) AS c_acctbal, coalesce(s.c_mktsegment, t.c_mktsegment) AS c_mktsegment FROM " + _MERGED + " t FULL JOIN " + _LOAD.format(k=2) + " s ON t.c_custkey = s.c_custkey WHERE coalesce(s.c_acctbal, t.c_acctbal) > 5000 ORDER BY 1 LIMIT 20")
+def registry_query_whole(spark, sf_dir):
+    """Over all three loads, so over every customer."""
+    return _registry(spark, sf_dir).query("c_acctbal > 5000", 20)
+
+
 @query("SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value FROM events")
 def sanitize_rows(spark, sf_dir):
     nan = F.when(F.col("event_id") % 10 == 0, F.lit(math.nan)).otherwise(F.col("value"))

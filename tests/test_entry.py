@@ -75,3 +75,8 @@ def test_cleaning_reads_whole_texts(spark, tmp_path):
     got = {r["doc_id"]: r["text_clean"] for r in entry.queries()["text_cleaning_whole"](spark, str(tmp_path)).collect()}
     assert got == {k: plain(t) for k, t in enumerate(texts)}
     assert got[0] == "acme and the other of zrich" and got[1] == "one two three four five six"
+
+
+def test_registry_query_reaches_every_customer(spark):
+    rows = entry.queries()["registry_query_whole"](spark, SMALL).collect()
+    assert {r["c_custkey"] % 3 for r in rows} == {0, 1, 2} and len(rows) == 20
