@@ -164,6 +164,12 @@ def test_exchange_separates_two_kinds():
     assert len(set(label[:10])) == 1 and len(set(label[10:20])) == 1 and label[0] != label[10]
 
 
+def test_exchange_ends_when_no_unit_moves():
+    pairs = np.random.default_rng(0).poisson(0.3, (121, 121))
+    label = brown.exchange(pairs, 6)
+    assert (label == brown.exchange(pairs, 6, 500)).all() and (label != brown.exchange(pairs, 6, 8)).any()
+
+
 def test_toxicity_chain(spark, docs, no_docs):
     rng = random.Random(6)
     clean = [" ".join(rng.choice(["house", "tree", "river", "stone", "cloud", "road"]) for _ in range(30)) for _ in range(300)]
