@@ -2,8 +2,9 @@
 
 DataFrame and SQL functions only. A URL is a set of tokens (labels of its host, its registered domain,
 path segments without numbers, names of query fields, scheme). Labelled URLs with the token of their
-label are the transactions; kept are rules ``tokens -> block`` of enough support and confidence, without
-those that a shorter one of no less confidence makes idle. Matching goes by an inverted index: URL tokens
+label are the transactions; kept are rules ``tokens -> block`` of enough support and confidence that
+``LEAST_PAGES`` labelled pages bear out at least, with any number of tokens, without those that a shorter
+one of no less confidence makes idle. Matching goes by an inverted index: URL tokens
 join rule tokens, and a rule holds where it met as many as it has.
 
 Defined cases: a URL that is null or has no ``://`` has empty host and path, no token, and the verdict
@@ -24,7 +25,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 4
+#: Blocked pages that a rule must hold for, however small the table: fewer pages say little of a confidence of 0.8.
+LEAST_PAGES = 5
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -62,11 +64,12 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (rule_id, items, confidence, support) from rows (tokens, bad)."""
     schema = "rule_id long, items array<string>, confidence double, support double"
-    if labelled.isEmpty():
+    n = labelled.count()
+    if n < LEAST_PAGES:
         return labelled.sparkSession.createDataFrame([], schema)
     bag = labelled.select(F.array_append("tokens", F.when(F.col("bad"), "=block").otherwise("=allow")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(bag)
-    rules = model.associationRules.where((F.col("consequent")[0] == "=block") & (F.size("antecedent") <= MAX_TOKENS))
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, (LEAST_PAGES - 0.5) / n), minConfidence=min_confidence).fit(bag)
+    rules = model.associationRules.where((F.col("consequent")[0] == "=block"))
     rules = settle(rules.select(F.array_sort("antecedent").alias("items"), "confidence", "support"))
     short = rules.select(F.col("items").alias("less"), F.col("confidence").alias("sure"))
     pairs = rules.select("items", "confidence", F.explode("items").alias("t")).join(short.select("less", "sure", F.explode("less").alias("t")), "t")

@@ -83,6 +83,15 @@ def test_mined_rules_match_like_plain_subsets(spark):
     assert sum(got[k] == "block" for k, u, _ in rows) == sum("spam" in u and "/ads/" in u for _, u, _ in rows)
 
 
+def test_rules_need_pages_and_may_be_long(spark):
+    four, five = [["h:x", "p:one"]] * 4, [["h:y", "p:two"]] * 5
+    need = [f"p:{k}" for k in range(5)]
+    lacking = [[x for x in need if x != k] for k in need for _ in range(5)]
+    rows = [(t, True) for t in four + five + [need] * 5] + [(t, False) for t in lacking]
+    got = {frozenset(r["items"]) for r in url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    assert got == {frozenset(["h:y"]), frozenset(["p:two"]), frozenset(need)}
+
+
 def plain_best_fit(lengths, capacity):
     rooms = []
     for x in sorted(lengths, reverse=True):
