@@ -9,29 +9,33 @@ key, place in the text and step. The same row gives the same pieces whatever the
 
 A character without a piece of its own becomes its UTF-8 bytes' pieces; so does a literal U+2581, which
 otherwise stands for the blank. Decoding therefore gives back the exact text. Defined cases: null
-encodes to null; the empty text to no piece; rows that repeat encode equally; long texts are cut
-into slices at chunk borders.
+encodes to null; the empty text to no piece; rows that repeat an id and text encode equally; a null id
+counts as -1; long texts are cut into slices at chunk borders; an empty table gives an empty result; other
+columns pass through, but a column named like a new one gives way to it. Between two pieces of equal
+weight the draw decides like between any others.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import compress, repeat
-from operator import is_
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.words import mix
+from ledgerloom.llm.words import Rows, mix
 
 ALPHA = 1.0
 BYTE_WEIGHT = -12.0
 _CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 #: The same, with a border between a small letter and what follows it of these marks, for models without a piece that holds both.
 _SPLIT = re.compile(r" +[^ \n.,;:!?]*(?:(?<![a-z])[.,;:!?][^ \n.,;:!?]*)*|\n|[^ \n]+")
-_MEMO = 500_000
+#: Bytes that a worker process remembers at most, chunks counted with ``_ENTRY`` bytes each.
+_MEMO_BYTES = 192 << 20
+_ENTRY = 150
+_LEARN = 20_000
 _MAYBE = 1 << 20
 _SLICE = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -82,10 +86,14 @@ class Sampler:
 
     def _reset(self) -> None:
         self.memo: dict[str, int] = {}
-        self.length = np.zeros(0, np.int32)  # of each chunk
-        self.base = np.zeros(0, np.int32)  # its state at 0; position e is base + e
-        self.first = np.zeros(0, np.int32)  # of each state, its first edge
-        self.edges = (np.zeros(0, np.float32), np.zeros(0, np.int16), np.zeros(0, np.int32))  # cumulative share, characters, piece or -1 - code point
+        self.length = Rows(np.int32)  # of each chunk
+        self.base = Rows(np.int32)  # its state at 0; position e is base + e
+        self.first = Rows(np.int32)  # of each state, its first edge
+        self.edges = Rows(np.float32), Rows(np.int16), Rows(np.int32)  # cumulative share, characters, piece or -1 - code point
+
+    def _held(self) -> int:
+        """Bytes of what is remembered, the chunks' dictionary entries included."""
+        return 10 * self.edges[0].n + 4 * self.first.n + _ENTRY * len(self.memo)
 
     def _learn(self, chunks: list[str]) -> None:
         """Forward filtering of new chunks, all at once."""
@@ -146,14 +154,13 @@ class Sampler:
             share[lo:hi] = running / np.repeat(total, sizes)
         last = np.append(to[1:] != to[:-1], True)
         share[last] = 2.0  # rounding never runs past a state's last edge
-        base = len(self.first)
         first = np.zeros(len(points) + len(chunks), np.int64)
-        first[to[starts_of]] = starts_of + len(self.edges[0])
-        grow = lambda old, new: np.concatenate([old, new.astype(old.dtype)])
-        self.first = grow(self.first, first)
-        self.edges = tuple(grow(*x) for x in zip(self.edges, (share, head - tail, piece), strict=True))
-        self.base = grow(self.base, at + np.arange(len(chunks)) + base)
-        self.length = grow(self.length, lens)
+        first[to[starts_of]] = starts_of + self.edges[0].n
+        self.base.add(at + np.arange(len(chunks)) + self.first.n)
+        self.first.add(first)
+        for rows, values in zip(self.edges, (share, head - tail, piece), strict=True):
+            rows.add(values)
+        self.length.add(lens)
         known = len(self.memo)
         self.memo.update(zip(chunks, range(known, known + len(chunks)), strict=True))
 
@@ -180,15 +187,17 @@ class Sampler:
         size = 0
 
         def flush():
-            if len(self.memo) > _MEMO:
+            if self._held() > _MEMO_BYTES:
                 self._reset()
-            flat = [c for _, _, own in held for c in own]
-            known = list(map(self.memo.get, flat))
-            new = list(dict.fromkeys(compress(flat, map(is_, known, repeat(None)))))
+            flat = list(chain.from_iterable(own for _, _, own in held))
+            chunk = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
+            new = np.flatnonzero(chunk < 0).tolist()
             if new:
-                self._learn(new)
-                known = list(map(self.memo.get, flat))
-            chunk = np.fromiter(known, np.int64, len(known))
+                missing = [flat[k] for k in new]
+                fresh = list(dict.fromkeys(missing))
+                for k in range(0, len(fresh), _LEARN):
+                    self._learn(fresh[k : k + _LEARN])
+                chunk[new] = list(map(self.memo.__getitem__, missing))
             n = np.array([len(own) for _, _, own in held])
             place = np.concatenate([np.arange(a, a + k) for (_, a, _), k in zip(held, n, strict=True)]).astype(np.uint64)
             key = np.repeat(mix(np.array([keys[i] for i, _, _ in held], np.int64).view(np.uint64) + self.seed), n)
@@ -214,13 +223,13 @@ class Sampler:
 
     def _sample(self, chunk: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward sampling of every occurrence at once: ids, and number of ids of each occurrence."""
-        share, width, piece = self.edges
-        who, left = np.arange(len(chunk)), self.length[chunk]
-        base, steps = self.base[chunk], np.zeros(len(chunk), np.int64)
+        share, width, piece = (e.all() for e in self.edges)
+        first, who, left = self.first.all(), np.arange(len(chunk)), self.length.all()[chunk]
+        base, steps = self.base.all()[chunk], np.zeros(len(chunk), np.int64)
         taken: list[tuple[np.ndarray, np.ndarray]] = []
         while len(who):
             u = (mix(salt[who] + np.uint64(len(taken) + 1)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-            k = self.first[base[who] + left]
+            k = first[base[who] + left]
             late = np.flatnonzero(share[k] <= u)
             while len(late):
                 k[late] += 1
@@ -267,39 +276,56 @@ def _sampler(path: str, seed: int) -> Sampler:
     return _OPEN[path, seed]
 
 
-def _added(docs: DataFrame, column: str, kind: T.DataType, values, n_rows: int = 256) -> DataFrame:
-    """``docs`` with a column more, made from small runs of rows, so that a worker holds little at once."""
-    names = [c for c in docs.columns if c != column]
+def _added(docs: DataFrame, more: dict[str, T.DataType], values, n_rows: int = 256) -> DataFrame:
+    """``docs`` with the columns ``more``, made from small runs of rows, so that a worker holds little at once.
+
+    A column of ``docs`` with the name of a new one gives way to it.
+    """
+    taken = {c.lower() for c in more}
+    names = [c for c in docs.columns if c.lower() not in taken]
     kept = docs.select(*[f"`{c}`" for c in names])
-    schema = T.StructType([*kept.schema, T.StructField(column, kind)])
+    schema = T.StructType([*kept.schema, *[T.StructField(c, kind) for c, kind in more.items()]])
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, n_rows):
                 part = b.slice(at, n_rows)
-                yield pa.record_batch([*part.columns, values(part)], names=[*names, column])
+                yield pa.record_batch([*part.columns, *values(part)], names=[*names, *more])
 
     return kept.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model_path: str, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", out: str = "pieces") -> DataFrame:
-    """Adds the array column ``out`` of sampled piece ids."""
+def _ids(path: str, seed: int, id_col: str, text_col: str, part: pa.RecordBatch) -> list[np.ndarray | None]:
+    keys = part.column(id_col).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
+    return _sampler(path, seed).encode(part.column(text_col).to_pylist(), keys)
+
+
+def _listed(rows: list[np.ndarray | None]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([0 if r is None else len(r) for r in rows])]).astype(np.int32)
+    values = np.concatenate([r for r in rows if r is not None] or [np.zeros(0)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array([r is None for r in rows], pa.bool_()))
 
-    def sampled(part: pa.RecordBatch) -> pa.Array:
-        keys = part.column(id_col).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
-        rows = _sampler(model_path, seed).encode(part.column(text_col).to_pylist(), keys)
-        offsets = np.concatenate([[0], np.cumsum([0 if r is None else len(r) for r in rows])]).astype(np.int32)
-        values = np.concatenate([r for r in rows if r is not None] or [np.zeros(0)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array([r is None for r in rows]))
 
-    return _added(docs, out, T.ArrayType(T.IntegerType()), sampled)
+def encode(docs: DataFrame, model_path: str, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", out: str = "pieces") -> DataFrame:
+    """Adds the array column ``out`` of sampled piece ids."""
+    return _added(docs, {out: T.ArrayType(T.IntegerType())}, lambda part: [_listed(_ids(model_path, seed, id_col, text_col, part))])
 
 
 def decode(docs: DataFrame, model_path: str, pieces_col: str = "pieces", out: str = "decoded") -> DataFrame:
     """Adds the text column ``out`` of piece ids."""
 
-    def spelled(part: pa.RecordBatch) -> pa.Array:
+    def spelled(part: pa.RecordBatch) -> list[pa.Array]:
         sampler = _sampler(model_path, 0)
-        return pa.array([None if not p.is_valid else sampler.decode(p.values.to_numpy()) for p in part.column(pieces_col)], pa.string())
+        return [pa.array([None if not p.is_valid else sampler.decode(p.values.to_numpy()) for p in part.column(pieces_col)], pa.string())]
+
+    return _added(docs, {out: T.StringType()}, spelled)
+
+
+def round_trip(docs: DataFrame, model_path: str, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", pieces: str = "pieces", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows, so a task has one worker and one model."""
+
+    def both(part: pa.RecordBatch) -> list[pa.Array]:
+        rows, sampler = _ids(model_path, seed, id_col, text_col, part), _sampler(model_path, seed)
+        return [_listed(rows), pa.array([None if r is None else sampler.decode(r) for r in rows], pa.string())]
 
-    return _added(docs, out, T.StringType(), spelled)
+    return _added(docs, {pieces: T.ArrayType(T.IntegerType()), decoded: T.StringType()}, both)

@@ -71,7 +71,7 @@ def op9_language_id(spark, sf_dir):
 def op10_piece_sampling(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = piece_sampling.decode(piece_sampling.encode(docs, path), path)
+    both = piece_sampling.round_trip(docs, path)
     ids = F.array_join("pieces", ",")
     return both.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.sha2(ids, 256).alias("pieces_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

@@ -54,6 +54,33 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+class Rows:
+    """A flat array that grows by doubling."""
+
+    def __init__(self, dtype):
+        self.data, self.n = np.zeros(1 << 12, dtype), 0
+
+    def add(self, values) -> None:
+        to = self.n + len(values)
+        if to > len(self.data):
+            wide = np.empty(max(to, len(self.data) * 3 // 2), self.data.dtype)
+            wide[: self.n] = self.data[: self.n]
+            self.data = wide
+        self.data[self.n : to] = values
+        self.n = to
+
+    def all(self) -> np.ndarray:
+        return self.data[: self.n]
+
+
+def free_name(columns, wish: str) -> str:
+    """``wish``, with underscores after it until no column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n+1 offsets of its rows; nulls become empty."""
     if isinstance(column, pa.ChunkedArray):
