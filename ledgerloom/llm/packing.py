@@ -19,13 +19,14 @@ gives an empty result. Texts are read whole.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain, compress, repeat
-from operator import is_
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.words import Rows
 from ledgerloom.plans.scratch import settle
 
 CAPACITY = 2048
 END = 0
-_MEMO = 600_000
+#: Bytes that a worker process remembers at most, each chunk counted with its entry.
+_MEMO_BYTES = 192 << 20
+_ENTRY = 150
 _BATCH_CHARS = 1 << 20
 _JOINT = re.compile("(?<=[a-z])(?=[.,;:!?])")
 
@@ -196,13 +200,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(capacity, first, sum(n for _, n in fixed), {k: np.array(v, np.int64) for k, v in starts.items()}, {k: np.array(v, np.int64) for k, v in slots.items()})
 
 
+#: What a file must say for its ids to be those of its chunks (fixed values).
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Chunks that are one word of the splitter and that the normaliser leaves alone.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
 class WordTokenizer:
-    """A tokenizers file whose pieces never cross a blank: ids by blank-separated chunk, remembered.
+    """A tokenizers file: ids of whole texts, from what was remembered of their blank-separated chunks.
 
-    The file's normaliser turns white space into blanks and its splitter drops them, so the ids of a
-    text are those of its chunks in order. It lower-cases, so A-Z may be lowered before, and it parts
-    letters from marks, so a blank may go between a letter and a stop: fewer chunks differ. What is remembered lies in one flat array, and a whole batch is
-    put together from it at once.
+    Where the file's normaliser turns white space into blanks and lower-cases, and its splitter drops blanks and
+    parts letters from marks, the ids of a text are those of its chunks in order; A-Z may be lowered
+    before, and a blank may go between a letter and a stop, so that fewer chunks differ. The file is read for that; with
+    any other file, and for a text that holds one of the file's added tokens in any case, the whole text goes
+    to the tokenizer as it is. Remembered ids lie in one flat array of bounded size.
     """
 
     def __init__(self, path: str):
@@ -210,42 +222,87 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        splits = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_chunk = said.get("normalizer") == _NORMALIZER and splits[0].get("pattern") == {"Regex": _SPLITTER} and splits[0].get("behavior") == "Removed" and not said.get("truncation")
+        self.added = [t["content"].lower() for t in said.get("added_tokens", [])]
+        suffix = said["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        if suffix:
+            for piece, k in self.tokenizer.get_vocab().items():
+                self.ends[k] = piece.endswith(suffix)
         self._forget()
 
     def _forget(self) -> None:
         self.memo: dict[str, int] = {"": 0}
-        self.sizes, self.starts, self.ids = np.zeros(1, np.int32), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.size = 0
+        self.sizes, self.starts, self.ids = Rows(np.int32), Rows(np.int64), Rows(np.uint32)
+        self.sizes.add([0])
+        self.starts.add([0])
+
+    def _remember(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.memo.update(zip(chunks, range(self.sizes.n, self.sizes.n + len(chunks)), strict=True))
+        self.starts.add(self.ids.n + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.ids.add(ids)
+        self.size += sum(map(len, chunks)) + 4 * len(ids) + _ENTRY * len(chunks)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        self.memo.update(zip(chunks, range(len(self.sizes), len(self.sizes) + len(chunks)), strict=True))
-        sizes = np.fromiter(map(len, found), np.int32, len(found))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        """Plain words go to the tokenizer many at once: each ends with the one id that ends a word."""
+        word = list(map(bool, map(_PLAIN.fullmatch, chunks)))
+        words, rest = list(compress(chunks, word)), list(compress(chunks, map(not_, word)))
+        for k in range(0, len(words), 2000):
+            own = words[k : k + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(own) and cuts[-1] == len(ids):
+                self._remember(own, ids, np.diff(cuts, prepend=0))
+            else:  # a vocabulary without such ids
+                rest += own
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._remember(rest, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with the end token."""
-        own = [_JOINT.sub(" ", t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").replace("\n", " ")).split(" ") for t in texts]
-        flat = [c for chunks in own for c in chunks]
-        if len(self.memo) > _MEMO:
+        if not texts:
+            return []
+        low = [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") for t in texts]
+        whole = [not self.by_chunk or any(a in t for a in self.added) for t in low]
+        own = [[] if w else _JOINT.sub(" ", t.replace("\n", " ")).split(" ") for t, w in zip(low, whole, strict=True)]
+        flat = list(chain.from_iterable(own))
+        if self.size > _MEMO_BYTES:
             self._forget()
-        known = list(map(self.memo.get, flat))
-        new = list(dict.fromkeys(compress(flat, map(is_, known, repeat(None)))))
+        chunk = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(chunk < 0).tolist()
         if new:
-            self._learn(new)
-            known = list(map(self.memo.get, flat))
-        chunk = np.fromiter(known, np.int64, len(known))
-        n = self.sizes[chunk].astype(np.int64)
+            missing = [flat[k] for k in new]
+            self._learn(list(dict.fromkeys(missing)))
+            chunk[new] = list(map(self.memo.__getitem__, missing))
+        n = self.sizes.all()[chunk].astype(np.int64)
         ends = np.cumsum(n)
-        out = self.ids[np.repeat(self.starts[chunk] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        totals = ends[np.cumsum([len(c) for c in own]) - 1]
-        return [np.append(x, np.uint32(END)) for x in np.split(out, totals[:-1])]
+        out = self.ids.all()[np.repeat(self.starts.all()[chunk] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        totals = np.concatenate([[0], ends])[np.cumsum([len(c) for c in own])]
+        found = np.split(out, totals[:-1])
+        for k in compress(range(len(texts)), whole):
+            found[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+        return [np.append(x, np.uint32(END)) for x in found]
 
     def __call__(self, text: str) -> np.ndarray:
         return self.batch([text])[0]
 
 
+_OPEN: dict[str, WordTokenizer] = {}
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process, with what it remembers, for all its tasks."""
+    if path not in _OPEN:
+        _OPEN[path] = WordTokenizer(path)
+    return _OPEN[path]
+
+
 def _spans(texts: pa.Array):
     """(first, count) of runs of rows with about ``_BATCH_CHARS`` bytes each."""
     sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -265,7 +322,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     schema = pa.schema(fields)
 
     def cut(batches):
-        encode, met, part = WordTokenizer(tokenizer_path), Counter(), TaskContext.get().partitionId()
+        encode, met, part = _tokenizer(tokenizer_path), Counter(), TaskContext.get().partitionId()
         for b in batches:
             for at, n in _spans(b.column(1)):
                 rows: list[tuple] = []
@@ -289,8 +346,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     planned = plan({r["length"]: r["n"] for r in met.groupBy("length").agg(F.sum("n").alias("n")).toLocalIterator()}, capacity)
     shared = docs.sparkSession.sparkContext.broadcast(planned)
     before = F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    shifts = met.select("part", "length", F.coalesce(before, F.lit(0)).alias("shift"))
-    ranked = cut.join(shifts, ["part", "length"]).select("id", "piece", "start", "length", "ids", "ids_crc32", (F.col("rank") + F.col("shift")).alias("rank"))
+    # A row for each part, however many lengths it has; the row's arrays never leave the join's projection.
+    by_length = met.select("part", F.struct("length", F.coalesce(before, F.lit(0)).alias("shift")).alias("s")).groupBy("part").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    shifts = settle(by_length.select("part", F.col("s.length").alias("lengths"), F.col("s.shift").alias("shifts")))
+    shift = F.get("shifts", (F.array_position("lengths", F.col("length")) - 1).cast("int"))
+    ranked = cut.join(shifts, "part").select("id", "piece", "start", "length", "ids", "ids_crc32", (F.col("rank") + shift).alias("rank"))
 
     def place(batches):
         for b in batches:

@@ -189,3 +189,27 @@ def test_pipeline_stages(spark, docs, tmp_path):
     kept = {r["doc_id"] for r in now.collect()}
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == kept
+
+
+def test_ids_equal_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, own = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    assert own.by_chunk and own.added == ["<|startoftext|>", "<|endoftext|>"]
+    rng = random.Random(12)
+    parts = ["<|startoftext|>", "<|STARTOFTEXT|>", "<|endoftext|>", "x<|EndOfText|>y", "<|", "|>", "It's", "WE'LL", "it’s", "Größe", "ŒUVRE", "İstanbul", "ŉ", "été", "中文", " ", "\t", "\r\n", "\x0b", "a,b", "end.", "(x)!", "3.14", "n°5", "ß", "µ", "́", "≠", "🎉", "word", " ", "  ", "\n\n", "ﬁn", "ÀÉ", "<b>", "l'année", "x" * 50]
+    texts = ["", *parts, *["".join(rng.choice(parts) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(1, 30))) for _ in range(1500)]]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    for k in range(0, len(texts), 97):
+        assert [x.tolist() for x in own.batch(texts[k : k + 97])] == want[k : k + 97]
+    own.size = packing._MEMO_BYTES + 1  # forgets, and learns again
+    assert own(texts[-1]).tolist() == want[-1] and own.size < 1 << 20 and own.batch([]) == []
+
+
+def test_other_tokenizer_files_get_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, text = packing.WordTokenizer(path), "Two  Words,\n<|endoftext|> É"
+    assert not own.by_chunk and own(text).tolist() == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 0]
