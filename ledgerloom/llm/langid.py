@@ -6,35 +6,46 @@ arrays sorted by hash. A text goes to the language of the lowest cross-entropy p
 rejected when that cross-entropy lies nearer to that of random letters than to the greatest one of the
 calibration texts, with an allowance for short texts that shrinks with the square root of the length.
 
-Training uses a bounded sample: at most ``MAX_DOCS_PER_LANG`` documents a language, the first by a hash
-of the id, none over ``MAX_TRAIN_CHARS`` characters; every fifth calibrates the rejection. Prediction
-covers every whole text.
+Training uses a bounded sample of every label: at most ``MAX_DOCS_PER_LANG`` documents a language, the first by a
+hash of the id, none over ``MAX_TRAIN_CHARS`` characters, and ``MAX_SAMPLE_CHARS`` characters shared evenly among the
+languages; every fifth document calibrates the rejection. Every letter of the sample has a symbol of its own
+(up to 65,533 of them, the most frequent ones). Prediction covers every whole text.
+
+The score is the softmax of the languages' log-probabilities as if the text had ``SCORE_SYMBOLS`` symbols at
+most, so that long texts do not all score 1.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; so is every
-text where nothing is labelled. Ties go to the language first by name. Very long texts are scored in
-slices and summed.
+text where nothing is labelled, and in an empty table there is nothing to judge. Ties go to the language first by name.
+Rows that repeat an id repeat their result; rows without id or label are not learned from. Very long texts are
+scored in slices whose sums are those of the whole. Other columns pass through; one named like ``out`` gives way to it.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass, field
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from ledgerloom.llm.words import mix
+from ledgerloom.plans.scratch import settle
 
 ORDER = 4
 MAX_DOCS_PER_LANG = 400
 MAX_TRAIN_CHARS = 200_000
-MAX_LANGS = 200
+MAX_SAMPLE_CHARS = 64_000_000
+SCORE_SYMBOLS = 100
 SHORT_ALLOWANCE = 3.0
 _SLICE = 1 << 20
 _CACHE = 1 << 20
+_BITS = 16  # of a symbol; a gram of ORDER symbols is one 64-bit number
+_UNKNOWN = (1 << _BITS) - 1
 RESULT = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
 
@@ -48,7 +59,7 @@ def _letter_table() -> np.ndarray:
 
 
 def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 @dataclass
@@ -61,8 +72,8 @@ class _Lm:
     def prob(self, packed: np.ndarray, n_symbols: int) -> np.ndarray:
         p = np.full(len(packed), 1.0 / n_symbols)
         for k in range(1, ORDER + 1):
-            gram = packed & np.uint64((1 << (8 * k)) - 1)
-            back = _lookup(self.contexts[k - 1], mix(gram >> np.uint64(8)), 1.0)
+            gram = packed & np.uint64((1 << (_BITS * k)) - 1)
+            back = _lookup(self.contexts[k - 1], mix(gram >> np.uint64(_BITS)), 1.0)
             p = _lookup(self.grams[k - 1], mix(gram), 0.0) + back * p
         return p
 
@@ -82,10 +93,10 @@ def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _pack(codes: np.ndarray) -> np.ndarray:
-    """The gram that ends at each symbol; the newest symbol takes the lowest byte."""
+    """The gram that ends at each symbol; the newest symbol takes the lowest bits."""
     out = codes.astype(np.uint64)
     for k in range(1, ORDER):
-        out[k:] |= codes[:-k].astype(np.uint64) << np.uint64(8 * k)
+        out[k:] |= codes[:-k].astype(np.uint64) << np.uint64(_BITS * k)
     return out
 
 
@@ -93,12 +104,12 @@ def _fit_lm(texts: list[np.ndarray]) -> _Lm:
     full, counts = np.unique(np.concatenate([_pack(c)[ORDER - 1 :] for c in texts if len(c) >= ORDER] or [np.zeros(0, np.uint64)]), return_counts=True)
     levels = [(full, counts)]
     for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts a shorter gram was met
-        levels.insert(0, np.unique(levels[0][0] & np.uint64((1 << (8 * k)) - 1), return_counts=True))
+        levels.insert(0, np.unique(levels[0][0] & np.uint64((1 << (_BITS * k)) - 1), return_counts=True))
     lm = _Lm()
     for grams, counts in levels:
         ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
         discount = ones / (ones + 2 * twos) if ones + twos else 0.5
-        contexts, inverse = np.unique(grams >> np.uint64(8), return_inverse=True)
+        contexts, inverse = np.unique(grams >> np.uint64(_BITS), return_inverse=True)
         total = np.bincount(inverse, counts, len(contexts)) if len(grams) else np.zeros(0)
         kinds = np.bincount(inverse, minlength=len(contexts)) if len(grams) else np.zeros(0)
         lm.grams.append(_sorted(grams, (counts - discount) / total[inverse] if len(grams) else np.zeros(0)))
@@ -122,15 +133,16 @@ class Model:
     def n_symbols(self) -> int:
         return len(self.symbols) + 2
 
-    def codes(self, points: np.ndarray) -> np.ndarray:
-        """0: gap, 255: a letter not met in training; runs of gaps are one."""
+    def codes(self, points: np.ndarray, before: int = _UNKNOWN) -> np.ndarray:
+        """0: gap, ``_UNKNOWN``: a letter not met in training; runs of gaps are one, also with a gap ``before``."""
         if self._table is None:
-            table = _letter_table() * np.uint8(255)
+            table = _letter_table().astype(np.uint16) * np.uint16(_UNKNOWN)
             table[self.symbols] = np.arange(1, len(self.symbols) + 1)
             self._table = table
         c = self._table[points]
-        keep = np.ones(len(c), bool)
-        keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
+        keep = c != 0
+        keep[1:] |= c[:-1] != 0
+        keep[:1] |= before != 0
         return c[keep]
 
     def _log_probs(self, grams: np.ndarray) -> np.ndarray:
@@ -159,19 +171,24 @@ class Model:
         def flush():
             grams, inverse = np.unique(np.concatenate([g for _, g in held]), return_inverse=True)
             own = self._log_probs(grams)[inverse]
-            rows = np.array([i for i, _ in held])
-            starts = np.concatenate([[0], np.cumsum([len(g) for _, g in held])[:-1]])
-            np.add.at(bits, rows, np.add.reduceat(own, starts))
-            np.add.at(n, rows, np.array([len(g) for _, g in held]))
+            lens = np.array([len(g) for _, g in held])
+            rows = np.array([i for i, _ in held])[lens > 0]
+            starts = (np.cumsum(lens) - lens)[lens > 0]
+            if len(rows):
+                np.add.at(bits, rows, np.add.reduceat(own, starts))
+                np.add.at(n, rows, lens[lens > 0])
 
         for i, text in enumerate(texts):
-            for at in range(0, len(text or ""), _SLICE):
-                part = _points(text[max(0, at - ORDER) : at + _SLICE])
-                codes = self.codes(part)
+            low = (text or "").lower()
+            context = np.zeros(ORDER - 1, np.uint16)
+            for at in range(0, len(low), _SLICE):
+                codes = self.codes(_points(low[at : at + _SLICE]), int(context[-1]) if at else _UNKNOWN)
                 letters[i] |= bool((codes != 0).any())
-                own = _pack(np.concatenate([np.zeros(ORDER - 1, np.uint8), codes, np.zeros(1, np.uint8)]))[ORDER - 1 :]
-                held.append((i, own))
-                size += len(own)
+                end = np.zeros(int(at + _SLICE >= len(low)), np.uint16)
+                context = np.concatenate([context, codes, end])
+                held.append((i, _pack(context)[ORDER - 1 :]))
+                size += len(held[-1][1])
+                context = context[-(ORDER - 1) :]
                 if size >= _SLICE:
                     flush()
                     held, size = [], 0
@@ -186,7 +203,7 @@ class Model:
         entropy, n, letters = self.entropies(texts)
         first = entropy.argmin(1) if len(texts) else np.zeros(0, int)
         best = entropy.min(1) if len(texts) else np.zeros(0)
-        gaps = (entropy - best[:, None]) * np.minimum(n, 100)[:, None]
+        gaps = (entropy - best[:, None]) * np.minimum(n, SCORE_SYMBOLS)[:, None]
         score = np.where(letters, 1 / np.exp(-gaps).sum(1), 0.0)
         rejected = ~letters | (best > self.limit + SHORT_ALLOWANCE / np.sqrt(np.maximum(n, 1)))
         return [self.langs[k] if ok else "und" for k, ok in zip(first.tolist(), letters.tolist(), strict=True)], score, best, rejected
@@ -196,12 +213,15 @@ def fit(labelled: dict[str, list[str]], calibrate: dict[str, list[str]] | None =
     """Models from texts by language; ``calibrate`` sets the rejection."""
     labelled = {k: v for k, v in sorted(labelled.items()) if v}
     letters = _letter_table()
-    points, counts = np.unique(np.concatenate([_points(t) for v in labelled.values() for t in v] or [np.zeros(0, np.uint32)]), return_counts=True)
-    own = letters[points] == 1
-    symbols = points[own][np.argsort(-counts[own], kind="stable")[:250]]
+    met = np.zeros(len(letters), np.int64)
+    for t in (t for v in labelled.values() for t in v):
+        points, counts = np.unique(_points(t.lower()), return_counts=True)
+        met[points] += counts
+    points = np.flatnonzero((met > 0) & (letters == 1))
+    symbols = points[np.argsort(-met[points], kind="stable")[: _UNKNOWN - 2]]
     model = Model(list(labelled), symbols, [])
-    pad = lambda c: np.concatenate([np.zeros(ORDER - 1, np.uint8), c, np.zeros(1, np.uint8)])
-    model.lms = [_fit_lm([pad(model.codes(_points(t))) for t in v]) for v in labelled.values()]
+    pad = lambda c: np.concatenate([np.zeros(ORDER - 1, np.uint16), c, np.zeros(1, np.uint16)])
+    model.lms = [_fit_lm([pad(model.codes(_points(t.lower()))) for t in v]) for v in labelled.values()]
     held = [t for v in (calibrate or {}).values() for t in v] or [t for v in labelled.values() for t in v]
     if held and model.langs:
         rng = np.random.default_rng(5)
@@ -216,15 +236,27 @@ def fit(labelled: dict[str, list[str]], calibrate: dict[str, list[str]] | None =
 
 def train(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS_PER_LANG) -> Model:
     """Fit on the bounded sample of rows whose ``label`` is not null."""
+    spark = docs.sparkSession
     spread = F.pmod(F.xxhash64(id_col), F.lit(1 << 40))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), label.alias("lang"), spread.alias("h")).where("lang is not null and id is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), label.cast("string").alias("lang"), spread.alias("h")).where("lang is not null and id is not null")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().toLocalIterator()}
+    if not counts:
+        return fit({})
+    # A language of the model is a row here; the model itself holds far more than that of each.
+    limits = F.broadcast(spark.createDataFrame([(k, int(min(1.0, 4 * max_docs / n) * (1 << 40))) for k, n in sorted(counts.items())], "lang string, least long"))
+    usable = F.col("text").isNotNull() & (F.length("text") <= MAX_TRAIN_CHARS)
+    sizes = rows.join(limits, "lang").where((F.col("h") < F.col("least")) & usable).select("lang", "h", "id", F.length("text").alias("chars"))
+    by = W.partitionBy("lang").orderBy("h", "id")
+    before = F.coalesce(F.sum("chars").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    chosen = sizes.select("lang", "h", "id", F.row_number().over(by).alias("k"), before.alias("before")).where((F.col("k") <= max_docs) & (F.col("before") < MAX_SAMPLE_CHARS // len(counts)))
+    keys = F.broadcast(settle(chosen.select("lang", "id").distinct()))
+    found = rows.where(usable).join(keys, ["lang", "id"], "left_semi").select("lang", "h", "id", "text")
+    sample = sorted(((r["lang"], r["h"], r["id"], r["text"]) for r in found.toLocalIterator()))
     fit_on: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    for lang, count in sorted(counts.items()):
-        own = rows.where((F.col("lang") == lang) & (F.col("h") < int(min(1.0, 4 * max_docs / count) * (1 << 40))) & F.col("text").isNotNull() & (F.length("text") <= MAX_TRAIN_CHARS))
-        for k, row in enumerate(own.orderBy("h", "id").select("text").limit(max_docs).collect()):
-            (held if k % 5 == 4 else fit_on).setdefault(lang, []).append(row["text"])
+    for lang, own in groupby(sample, lambda r: r[0]):
+        for k, row in enumerate(islice(own, max_docs)):
+            (held if k % 5 == 4 else fit_on).setdefault(lang, []).append(row[3])
     return fit(fit_on, held)
 
 

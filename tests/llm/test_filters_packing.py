@@ -84,12 +84,21 @@ def test_mined_rules_match_like_plain_subsets(spark):
 
 
 def test_rules_need_pages_and_may_be_long(spark):
-    four, five = [["h:x", "p:one"]] * 4, [["h:y", "p:two"]] * 5
+    nine, ten = [["h:x", "p:one"]] * 9, [["h:y", "p:two"]] * 10
     need = [f"p:{k}" for k in range(5)]
-    lacking = [[x for x in need if x != k] for k in need for _ in range(5)]
-    rows = [(t, True) for t in four + five + [need] * 5] + [(t, False) for t in lacking]
-    got = {frozenset(r["items"]) for r in url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
-    assert got == {frozenset(["h:y"]), frozenset(["p:two"]), frozenset(need)}
+    lacking = [[x for x in need if x != k] for k in need for _ in range(10)]
+    rows = [(t, True) for t in nine + ten + [need] * 10] + [(t, False) for t in lacking]
+    got = {frozenset(r["items"]): r["anchor"] for r in url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    assert set(got) == {frozenset(["h:y"]), frozenset(["p:two"]), frozenset(need)}
+    assert all(a in r for r, a in got.items())
+
+
+def test_labels_that_do_not_depend_on_the_url_give_no_rule(spark):
+    rng = random.Random(13)
+    rows = [([f"h:{rng.randrange(8)}", f"p:{rng.randrange(8)}", "s:https"], rng.random() < 0.3) for _ in range(3000)]
+    assert url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).count() == 0
+    mostly = [(["s:https", f"p:{k % 3}"], k % 20 > 0) for k in range(400)]  # 95 % are bad whatever the URL: no better than the base rate
+    assert url_filter.mine(spark.createDataFrame(mostly, "tokens array<string>, bad boolean")).count() == 0
 
 
 def plain_best_fit(lengths, capacity):

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -31,17 +32,75 @@ def test_language_models_by_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
-def test_kneser_ney_sums_to_one_and_slices_add_up(monkeypatch):
+def plain_symbols(text, letters):
+    """Gaps are None; a letter that was not trained is '?'."""
+    out = []
+    for c in text.lower():
+        x = (c if c in letters else "?") if unicodedata.category(c)[0] == "L" else None
+        if x is not None or not out or out[-1] is not None:
+            out.append(x)
+    return [None] * 3 + out + [None]
+
+
+def plain_kneser_ney(texts, letters):
+    """Interpolated Kneser-Ney of order 4 over symbols, by the book, with plain counters."""
+    levels = [Counter(tuple(s[k - 3 : k + 1]) for s in texts for k in range(3, len(s)))]
+    for _ in range(3):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    levels.reverse()
+    discounts = []
+    for c in levels:
+        one, two = (sum(v == k for v in c.values()) for k in (1, 2))
+        discounts.append(one / (one + 2 * two) if one + two else 0.5)
+
+    def prob(gram):
+        p = 1 / (len(letters) + 2)
+        for k, (c, d) in enumerate(zip(levels, discounts, strict=True), 1):
+            own = gram[4 - k :]
+            same = [v for g, v in c.items() if g[:-1] == own[:-1]]
+            if same:
+                p = max(0.0, c[own] - d if own in c else 0.0) / sum(same) + d * len(same) / sum(same) * p
+        return p
+
+    return prob
+
+
+def test_cross_entropy_equals_plain_kneser_ney(monkeypatch):
+    train = {lang: [lang_text(random.Random(k), lang, 12) + "! 12" for k in range(3)] for lang in LANGS}
+    model = langid.fit(train)
+    letters = {c for v in train.values() for t in v for c in t.lower() if unicodedata.category(c)[0] == "L"}
+    texts = ["lorem zwischen", "Über, ganz 12 niño??", "xyz", "ß", "a  b..c" * 30, "中文 ψ"]
+    want = []
+    for lang in sorted(train):
+        prob = plain_kneser_ney([plain_symbols(t, letters) for t in train[lang]], letters)
+        rows = [plain_symbols(t, letters) for t in texts]
+        want.append([-sum(math.log(max(prob(tuple(s[k - 3 : k + 1])), 1e-12)) for k in range(3, len(s))) / (len(s) - 3) for s in rows])
+    assert np.allclose(model.entropies(texts)[0], np.array(want).T)
+    for size in (1, 2, 5):
+        monkeypatch.setattr(langid, "_SLICE", size)
+        again = model.entropies(texts)
+        assert np.allclose(again[0], np.array(want).T) and again[1].tolist() == [len(plain_symbols(t, letters)) - 3 for t in texts]
+
+
+def test_kneser_ney_sums_to_one():
     model = langid.fit({"aa": [lang_text(random.Random(k), "aa", 20) for k in range(8)]})
-    codes = np.arange(model.n_symbols - 1)
-    context = np.uint64(3 << 24 | 2 << 16 | 5 << 8)
-    total = sum(model.lms[0].prob(np.array([context | np.uint64(c)]), model.n_symbols)[0] for c in [*codes.tolist(), 255])
+    context = np.uint64(3 << 48 | 2 << 32 | 5 << 16)
+    total = sum(model.lms[0].prob(np.array([context | np.uint64(c)]), model.n_symbols)[0] for c in [*range(model.n_symbols - 1), langid._UNKNOWN])
     assert abs(total - 1) < 1e-9
-    text = lang_text(random.Random(9), "aa", 400)
-    whole = model.entropies([text])
-    monkeypatch.setattr(langid, "_SLICE", 512)
-    parts = model.entropies([text])
-    assert abs(whole[0][0, 0] - parts[0][0, 0]) < 0.05
+
+
+def test_thousands_of_letters_and_hundreds_of_languages(spark):
+    """Two languages that share a script of 3000 letters, told apart by letters beyond the 250 most frequent; 230 labels."""
+    rng = random.Random(4)
+    script = [chr(0x4E00 + k) for k in range(3000)]
+    rows = [(k, "".join(rng.choice(script[(k % 2) * 1500 :][:1500]) for _ in range(300)), f"h{k % 2}") for k in range(60)]
+    letters = "abcdefghijklmnop"
+    rows += [(1000 + k, " ".join(letters[j // 16] + letters[j % 16] * 3 + letters[(j * 7 + 3) % 16] for _ in range(12)), f"n{j:03}") for k, j in enumerate(x for x in range(230) for _ in range(5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, langid.F.col("lang"))
+    assert len(model.langs) == 232 and len(model.symbols) > 2900
+    got = {r["doc_id"]: r["language"]["lang_pred"] for r in langid.identify(df, model).collect()}
+    assert sum(got[k] == lang for k, _, lang in rows) >= 0.97 * len(rows)
 
 
 def test_languages_without_labels_and_empty(spark, docs, no_docs):
@@ -179,13 +238,62 @@ def test_toxicity_chain(spark, docs, no_docs):
     chain = toxicity.train(df, labels)
     got = {r["doc_id"]: r for r in toxicity.classify(df, chain).collect()}
     assert all(got[k]["toxic"] == (k % 3 == 0) for k in range(200, 300))
-    assert got[300 - 3]["p_insult"] > 0.5 and len(got) == 302 and not got[900]["toxic"]
+    assert len(got) == 302 and got[900]["p_toxic"] == got[901]["p_toxic"] == 0
+    assert max(got[297]["p_kind1"], got[297]["p_kind2"]) > 0.5
     assert [len(w) - len(chain.words) for w in chain.weights] == [1, 2, 3]
     assert toxicity.train(df, labels.where("toxic = 0")) is None
     assert not any(r["toxic"] for r in toxicity.classify(docs, None).collect())
     assert toxicity.classify(no_docs, chain).count() == 0
 
 
+def test_chain_scores_equal_plain_python(spark):
+    rng = random.Random(16)
+    vocabulary = [f"w{k}" for k in range(30)]
+    rows = [(k, " ".join(rng.choice(vocabulary[: 30 if k % 4 else 12]) for _ in range(8)) + rng.choice(["", "!", " W3?"])) for k in range(240)]
+    df = spark.createDataFrame([*rows, (900, None), (901, " "), (902, "unmet words")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(240)], "doc_id long, toxic int")
+    chain = toxicity.train(df, labels, kinds=3)
+    assert chain.categories == ["kind1", "kind2", "kind3", "toxic"]
+    data = [w.encode() for w in vocabulary]
+    hashes = toxicity.word_hashes(np.frombuffer(b" ".join(data), np.uint8), np.array([0, len(b" ".join(data))]), gaps=toxicity.MARKS)[0]
+    feature = {w: int(np.flatnonzero(chain.words == h)[0]) for w, h in zip(vocabulary, hashes, strict=True) if h in chain.words}
+    got = {r["doc_id"]: r for r in toxicity.classify(df, chain).collect()}
+    for k, text in [*rows, (900, None), (901, " "), (902, "unmet words")]:
+        own = {feature[w] for w in re.findall("[a-z0-9]+", (text or "").lower()) if w in feature}
+        seen = []
+        for w in chain.weights:
+            z = sum(w[f] for f in own) + sum(p * c for p, c in zip(seen, w[len(chain.words) :], strict=False)) + w[-1]
+            seen.append(1 / (1 + math.exp(-z)) if (text or "").strip() else 0.0)
+        assert np.allclose([got[k][f"p_{c}"] for c in chain.categories], seen), k
+
+
+def test_out_of_fold_probabilities_do_not_see_their_fold():
+    rng = np.random.default_rng(3)
+    x = (rng.random((80, 6)) < 0.4).astype(np.float32)
+    y = np.stack([x[:, 0], x[:, 0] * x[:, 1]], 1)
+    seen = []
+    fit = toxicity.fit_linear
+    toxicity.fit_linear = lambda x, y, **how: seen.append(x) or fit(x, y, **how)
+    try:
+        toxicity.fit_chain(["a", "b"], np.arange(6).astype(np.uint64), x, y)
+        flipped = y.copy()
+        flipped[::4, 0] = 1 - flipped[::4, 0]  # the labels of fold 0
+        first, seen[:] = seen[5], []
+        toxicity.fit_chain(["a", "b"], np.arange(6).astype(np.uint64), x, flipped)
+    finally:
+        toxicity.fit_linear = fit
+    assert first.shape == (80, 7) and (first[::4, 6] == seen[5][::4, 6]).all() and (first[1::4, 6] != seen[5][1::4, 6]).any()
+
+
+def test_kinds_are_the_clusters_of_toxic_words():
+    x = np.zeros((30, 6), np.float32)
+    x[:20, :3] = np.random.default_rng(1).random((20, 3)) < 0.8
+    x[20:, 3:] = 1
+    got = toxicity.clusters(x, 2)
+    assert (got[20:] == 1).all() and (got[:20][x[:20].any(1)] == 0).all()
+    assert len(toxicity.clusters(x[:0], 2)) == 0 and (toxicity.clusters(x[:1], 3) < 3).all()
+
+
 @pytest.fixture(scope="module")
 def sampler():
     return piece_sampling.Sampler(public_tokenizers.path("piece_bpe_32k.model"), 3)
