@@ -2,14 +2,18 @@
 
 DataFrame and SQL functions only. A URL is a set of tokens (labels of its host, its registered domain,
 path segments without numbers, names of query fields, scheme). Labelled URLs with the token of their
-label are the transactions; kept are rules ``tokens -> block`` of enough support and confidence that
-``LEAST_PAGES`` labelled pages bear out at least, with any number of tokens, without those that a shorter
-one of no less confidence makes idle. Matching goes by an inverted index: URL tokens
-join rule tokens, and a rule holds where it met as many as it has.
+label are the transactions; kept are rules ``tokens -> block`` of enough support and confidence, with any
+number of tokens, without those that a shorter one of no less confidence makes idle. However small the table, a rule
+must hold for ``LEAST_PAGES`` blocked pages, and the lower end of its confidence's 95 % interval (Wilson's)
+must lie above the share of blocked pages among all labelled ones: labels that do not depend on the URL give no rule.
+
+Matching goes by an inverted index: each rule stands once, under the one of its tokens that the fewest labelled
+URLs have; a URL that has this token is tested for the others.
 
 Defined cases: a URL that is null or has no ``://`` has empty host and path, no token, and the verdict
-"allow". Rows that repeat each keep a row. With no labelled URL no rule is mined. Very long URLs are
-read whole. Only the named columns are read.
+"allow". Rows that repeat each keep a row. Of rules that hold for a URL the surest is named, then the one of most
+support, then the least by its tokens. With no labelled URL no rule is mined; an empty table of pages gives an
+empty result. Very long URLs are read whole. Other columns pass through; those named like an added one give way to it.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.words import free_name
 from ledgerloom.plans.scratch import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,7 +31,9 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.8
 #: Blocked pages that a rule must hold for, however small the table: fewer pages say little of a confidence of 0.8.
-LEAST_PAGES = 5
+LEAST_PAGES = 10
+_Z = 1.96
+_SALTS = 32
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -61,44 +68,54 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, found).otherwise(F.array().cast("array<string>"))
 
 
+def _least_confidence(confidence: Column, n: Column) -> Column:
+    """Lower end of the Wilson interval of a share found in n rows."""
+    z2 = _Z * _Z
+    return (confidence + z2 / (2 * n) - _Z * F.sqrt(confidence * (1 - confidence) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, items, confidence, support) from rows (tokens, bad)."""
-    schema = "rule_id long, items array<string>, confidence double, support double"
-    n = labelled.count()
+    """Rules (rule_id, items, anchor, confidence, support) from rows (tokens, bad)."""
+    schema = "rule_id long, items array<string>, anchor string, confidence double, support double"
+    n, bad = labelled.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     if n < LEAST_PAGES:
         return labelled.sparkSession.createDataFrame([], schema)
     bag = labelled.select(F.array_append("tokens", F.when(F.col("bad"), "=block").otherwise("=allow")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=max(min_support, (LEAST_PAGES - 0.5) / n), minConfidence=min_confidence).fit(bag)
-    rules = model.associationRules.where((F.col("consequent")[0] == "=block"))
-    rules = settle(rules.select(F.array_sort("antecedent").alias("items"), "confidence", "support"))
-    short = rules.select(F.col("items").alias("less"), F.col("confidence").alias("sure"))
-    pairs = rules.select("items", "confidence", F.explode("items").alias("t")).join(short.select("less", "sure", F.explode("less").alias("t")), "t")
-    met = pairs.where((F.size("less") < F.size("items")) & (F.col("sure") >= F.col("confidence"))).groupBy("items", "less").count()
-    idle = met.where(F.col("count") == F.size("less")).select("items").distinct()
-    kept = rules.join(idle, "items", "left_anti")
-    return settle(kept.select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support"))
+    rules = model.associationRules.where(F.col("consequent")[0] == "=block").select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    rules = settle(rules.where(_least_confidence(F.col("confidence"), F.col("support") * n / F.col("confidence")) > bad / n))
+    # Every subset of a rule's tokens was frequent, so every token of a rule has its frequency.
+    met = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("t"), "freq")
+    rarest = rules.select("items", F.explode("items").alias("t")).join(met, "t").groupBy("items").agg(F.min_by("t", F.struct("freq", "t")).alias("anchor"))
+    rules = settle(rules.join(rarest, "items").select(F.xxhash64("items").alias("rule_id"), "items", "anchor", "confidence", "support"))
+    short = rules.select(F.col("items").alias("less"), F.col("confidence").alias("sure"), F.col("anchor").alias("t"))
+    near = rules.select("items", "confidence", F.explode("items").alias("t")).join(short, "t")
+    idle = near.where((F.size("less") < F.size("items")) & (F.col("sure") >= F.col("confidence")) & (F.size(F.array_except("less", "items")) == 0)).select("items").distinct()
+    return settle(rules.join(idle, "items", "left_anti").select("rule_id", "items", "anchor", "confidence", "support"))
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Of rows (url, tokens), distinct by url: the surest rule that holds, as (url, items, confidence)."""
-    index = rules.select("rule_id", F.explode("items").alias("token"), F.size("items").alias("need"), "items", "confidence", "support")
-    met = urls.select("url", F.explode("tokens").alias("token")).join(index, "token")
-    held = met.groupBy("url", "rule_id").agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need"), F.first("items").alias("items"), F.first("confidence").alias("confidence"), F.first("support").alias("support")).where("n = need")
-    best = held.groupBy("url").agg(F.max_by(F.struct("items", "confidence"), F.struct("confidence", "support", "rule_id")).alias("b"))
+    met = urls.select("url", "tokens", F.explode("tokens").alias("anchor")).join(rules, "anchor")
+    held = met.where(F.size(F.array_except("items", "tokens")) == 0)
+    best = held.groupBy("url").agg(F.max_by(F.struct("items", "confidence"), F.struct("confidence", "support", (-F.col("rule_id")).alias("rank"))).alias("b"))
     return best.select("url", "b.items", "b.confidence")
 
 
 def judge(pages: DataFrame, rules: DataFrame, listed_rules=RULES, url_col: str = "url") -> DataFrame:
     """Adds host, path, rule, verdict, and of a mined rule that decided: mined_rule, confidence."""
-    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "mined_rule", "confidence")]
-    host, path = split_url(F.col(url_col))
-    rows = pages.select(*names, host.alias("host"), path.alias("path"))
-    verdict, text = listed(F.col("host"), F.col("path"), listed_rules)
-    rows = rows.withColumns({"rule": text, "verdict": verdict})
-    urls = rows.where("rule is null").select(F.col(url_col).alias("url"), "host", "path").distinct()
+    added = ("host", "path", "rule", "verdict", "mined_rule", "confidence")
+    names = [c for c in pages.columns if c.lower() not in added]
+    spot, same, salt = (free_name([*pages.columns, *added], c) for c in ("_row", "_url", "_salt"))
+    host, path = split_url(F.col(f"`{url_col}`"))
+    verdict, text = listed(host, path, listed_rules)
+    rows = pages.select(*[F.col(f"`{c}`") for c in names], host.alias("host"), path.alias("path"), text.alias("rule"), verdict.alias("verdict"), F.when(text.isNull(), F.col(f"`{url_col}`")).alias(same))
+    urls = rows.where(F.col(same).isNotNull()).select(F.col(same).alias("url"), "host", "path").distinct()
     found = matches(urls.select("url", tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")), rules)
-    found = found.select(F.col("url").alias("_url"), F.concat_ws(" ", "items").alias("mined_rule"), "confidence")
-    joined = rows.join(found, (F.col(url_col) == F.col("_url")) & F.col("rule").isNull(), "left").drop("_url")
+    # The rows of one common URL meet its rule in several tasks, and so do rows whose listed rule decided.
+    found = found.select(F.col("url").alias(same), F.concat_ws(" ", "items").alias("mined_rule"), "confidence", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias(salt))
+    dealt = rows.withColumn(spot, F.monotonically_increasing_id()).withColumn(salt, F.pmod(F.xxhash64(spot), F.lit(_SALTS)).cast("int"))
+    joined = dealt.join(found, [same, salt], "left").drop(same, salt, spot)
     decided = F.coalesce("verdict", F.when(F.col("mined_rule").isNotNull(), "block").otherwise("allow"))
     return joined.withColumn("verdict", decided)
 
