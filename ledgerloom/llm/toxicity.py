@@ -1,17 +1,20 @@
 """Toxicity by a classifier chain: a linear model per category, each fed the probabilities of those before.
 
-Categories come in a fixed order, the labelled one (``toxic``) last; a category before it holds for a
-labelled toxic document with one of the category's seed words. While training, a later model sees
-out-of-fold probabilities of the earlier categories, so what it learns to trust is what it gets when
-scoring new text. Features are the presence of words (A-Z lower-cased, without the marks around
-them) that divide the labels best.
+Labels say ``toxic`` only; the kinds of toxicity before it in the chain come from the labelled data: toxic documents are
+clustered by the words that mark toxicity (spherical k-means, ``KINDS`` clusters), and a category ``kind1``,
+``kind2``.. holds for the toxic documents of its cluster, the largest first. The labelled category is the last of the
+chain. While training, a later model sees out-of-fold probabilities of the earlier categories, so what it
+learns to trust is what it gets when scoring new text. Features are the presence of words (A-Z lower-cased,
+without the marks around them) that divide the labels best.
 
 Fitting uses a bounded sample of labelled documents: at most ``MAX_TOXIC`` and ``MAX_CLEAN``, the
 first by a hash of the id; every whole text is scored.
 
-Defined cases: a text with none of the features, a null or empty one too, has probability 0. Without labels
-of both classes nothing is learned and every probability is 0. Documents labelled both ways count as
-toxic. Rows that repeat repeat their result.
+Defined cases: a null text, or one without a word, has probability 0; one without any feature has the models'
+intercepts. Without labels of both classes nothing is learned and every probability is 0. Documents labelled both
+ways count as toxic; rows with a null id are scored, not learned from; of rows that repeat an id one is learned
+from, and all get their result. Equally good words go by their hash. An empty table gives an empty result. Only
+the id and the text are read.
 """
 
 from __future__ import annotations
@@ -26,8 +29,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.words import MARKS, text_bytes, word_hashes
 from ledgerloom.plans.scratch import settle
 
-#: Seed words of the categories before the labelled one, in the chain's order.
-CATEGORIES = {"insult": ("idiot", "moron", "stupid", "loser", "clown", "fool"), "contempt": ("scum", "trash", "worthless", "pathetic", "disgusting", "filth")}
+KINDS = 2
 MAX_TOXIC = 2500
 MAX_CLEAN = 5000
 MAX_FEATURES = 400
@@ -59,16 +61,36 @@ class Chain:
     words: np.ndarray  # sorted hashes of the features
     weights: list[np.ndarray]  # of each category: features, earlier categories, intercept
 
-    def probabilities(self, rows: np.ndarray, features: np.ndarray, n_rows: int) -> np.ndarray:
-        """From distinct (row, feature) entries; a column per category."""
-        out = np.zeros((n_rows, len(self.categories)))
-        k, met = len(self.words), np.bincount(rows, minlength=n_rows) > 0
+    def probabilities(self, rows: np.ndarray, features: np.ndarray, worded: np.ndarray) -> np.ndarray:
+        """From distinct (row, feature) entries, and which rows hold a word; a column per category."""
+        out = np.zeros((len(worded), len(self.categories)))
+        k = len(self.words)
         for j, w in enumerate(self.weights):
-            z = np.bincount(rows, w[features], n_rows) + out[:, :j] @ w[k : k + j] + w[-1]
-            out[:, j] = np.where(met, _sigmoid(z), 0.0)
+            z = np.bincount(rows, w[features], len(worded)) + out[:, :j] @ w[k : k + j] + w[-1]
+            out[:, j] = np.where(worded, _sigmoid(z), 0.0)
         return out
 
 
+def clusters(x: np.ndarray, k: int, rounds: int = 30) -> np.ndarray:
+    """Spherical k-means of the rows of ``x``, the largest cluster first; centres begin as far apart as rows can be."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = unit[[int(np.linalg.norm(x, axis=1).argmax())]]
+    while len(centres) < k:
+        centres = np.vstack([centres, unit[int((unit @ centres.T).max(1).argmin())]])
+    own = np.full(len(x), -1)
+    for _ in range(rounds):
+        now = (unit @ centres.T).argmax(1)
+        if (now == own).all():
+            break
+        own = now
+        sums = np.stack([unit[own == j].sum(0) for j in range(k)])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    rank = np.argsort(np.argsort(-np.bincount(own, minlength=k), kind="stable"))
+    return rank[own]
+
+
 def fit_chain(categories: list[str], words: np.ndarray, x: np.ndarray, y: np.ndarray, folds: int = FOLDS) -> Chain:
     """``x``: documents by features; ``y``: documents by categories, in the chain's order."""
     own = np.arange(len(x)) % folds
@@ -97,12 +119,7 @@ def _entries(batch, column: int):
         at = to
 
 
-def _hash_of(word: str) -> np.uint64:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return word_hashes(data, np.array([0, len(data)]), gaps=MARKS)[0][0]
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", categories: dict[str, tuple[str, ...]] = CATEGORIES) -> Chain | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: int = KINDS) -> Chain | None:
     """Fit on a bounded sample of the labelled documents."""
     spark = docs.sparkSession
     spread = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
@@ -143,14 +160,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     hit = place[inverse] >= 0
     x = np.zeros((len(rows), len(best)), np.float32)
     x[owner[hit], place[inverse[hit]]] = 1
-    seeds = {c: {_hash_of(w) for w in own} for c, own in categories.items()}
-    y = np.stack([*[np.array([t > 0 and any(h in s for h in w[np.isin(w, list(s))]) for t, w in rows], np.float32) for s in seeds.values()], toxic], 1)
-    return fit_chain([*categories, "toxic"], words[best], x, y)
+    marks = rate_bad[best] > rate_good[best]
+    kind = np.full(len(rows), -1)
+    kind[toxic > 0] = clusters(x[toxic > 0][:, marks], kinds)
+    y = np.stack([*[(kind == j).astype(np.float32) for j in range(kinds)], toxic], 1)
+    return fit_chain([*categories(kinds)], words[best], x, y)
+
+
+def categories(kinds: int = KINDS) -> list[str]:
+    """Names of the categories in the chain's order."""
+    return [*[f"kind{j + 1}" for j in range(kinds)], "toxic"]
 
 
-def classify(docs: DataFrame, chain: Chain | None, categories: dict[str, tuple[str, ...]] = CATEGORIES, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def classify(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: id, ``p_<category>`` in the chain's order, ``p_toxic``, ``toxic``."""
-    names = [*categories, "toxic"]
+    names = chain.categories if chain else categories()
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches):
@@ -162,7 +186,7 @@ def classify(docs: DataFrame, chain: Chain | None, categories: dict[str, tuple[s
                     at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
                     hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
                     pairs = np.unique(rows[hit] * max(1, len(words)) + at[hit])
-                    p = shared.value.probabilities(pairs // max(1, len(words)), pairs % max(1, len(words)), n)
+                    p = shared.value.probabilities(pairs // max(1, len(words)), pairs % max(1, len(words)), np.bincount(rows, minlength=n) > 0)
                 yield pa.record_batch([b.column(0).slice(first, n), *[pa.array(p[:, j]) for j in range(len(names))]], names=["id", *names])
 
     kind = dict(docs.dtypes)[id_col]
