@@ -70,7 +70,7 @@ class Tagger:
         return np.exp(fore + back - z[None, :, None]), fore, back, z
 
     def decode(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Viterbi tags and their marginals."""
+        """Viterbi tags, and for each symbol the probability that it has any tag but 0 (where a row has such a tag)."""
         e = self.emissions(symbols)
         best, prev = e[0] + self.p["first"], []
         for t in range(1, len(e)):
@@ -82,11 +82,11 @@ class Tagger:
         rows = np.arange(symbols.shape[1])
         for t in range(len(e) - 2, -1, -1):
             tags[t] = prev[t][rows, tags[t + 1]]
-        sure = np.ones(symbols.shape, np.float32)
+        sure = np.zeros(symbols.shape, np.float32)
         some = (tags > 0).any(0)
         if some.any():
             m = self.marginals(e[:, some])[0]
-            sure[:, some] = np.take_along_axis(m, tags[:, some][:, :, None], 2)[:, :, 0]
+            sure[:, some] = 1 - m[:, :, 0]
         return tags, sure
 
     def _gradient(self, symbols: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:

@@ -1,24 +1,31 @@
 """Personal data: fixed rules, and spans that a character BiLSTM-CRF adds to them.
 
 Rules (``base_spans``) find, leftmost and non-overlapping within a kind, emails, IPv4 addresses,
-payment cards that pass the Luhn check, and phones. The tagger learns from these labelled spans on a
-bounded sample of documents and reads windows of ``WINDOW`` characters that overlap by half. Every
-span of the four kinds holds a digit or an at sign, so a window without either can't hold one; all
-other windows of the whole text are read. Decoded spans of all windows of a document are reconciled at
-once: base spans stay, and of the others the set of non-overlapping spans of greatest total confidence
-joins them (weighted interval scheduling).
-
-Defined cases: a null text is empty and has no span. Texts of any length are read whole. Rows that
-repeat give repeated results. Where no document has a base span there is nothing to learn from, and
-the base spans are the result.
+payment cards that pass the Luhn check, and phones. The tagger adds what the rules can't say: phones without a
+plus, addresses with ``(at)`` or letters beyond ASCII, IPs with ``[.]``, cards with other marks between the digits.
+
+It learns from labelled spans of a bounded sample of documents: the rules' spans as they stand, rewritten into
+such forms with their label, and rewritten into forms that are no personal data (a part over 255,
+dates, five-part versions) without one; the Luhn check is left to the shape. It reads windows of ``WINDOW`` characters that overlap by half, so
+an added span of up to ``LONGEST`` characters lies whole within a window wherever it begins; longer ones are not added.
+Every span holds a digit, an at sign or ``(at)``, so a window without any can't hold one; all other windows of the
+whole text are read. Around what is decoded,
+a span is what has a kind's shape (``shaped``), with a mean probability of ``SURE`` over its characters. The spans of all
+windows of a document are reconciled at once: base spans stay, and of the others the set of non-overlapping spans
+of greatest total confidence joins them (weighted interval scheduling).
+
+Defined cases: a null text is empty and has no span; an empty table gives an empty result. Texts of any length are read
+whole. Rows that repeat give repeated results; of rows with equal hash and id the sample takes any, as their texts' order
+says. Where no document has a base span there is nothing to learn from, and the base spans are the result. Other
+columns pass through; one named like ``out`` gives way to it.
 """
 
 from __future__ import annotations
 
 import bisect
-import hashlib
+import random
 import re
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +36,14 @@ from pyspark.sql.pandas.functions import arrow_udf
 from ledgerloom.llm.bilstm_crf import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 64
+WINDOW = 96
+LONGEST = WINDOW // 2 - 1
 MAX_TRAIN_DOCS = 900
-MAX_TRAIN_WINDOWS = 1800
+MAX_TRAIN_WINDOWS = 3200
+TRAIN_WINDOW = 48
+MAX_DOC_WINDOWS = 24
 MAX_TRAIN_CHARS = 200_000
-SURE = 0.9
-#: Digits that an added span must hold at least, by kind; an email must hold an at sign.
-LEAST_DIGITS = {"email": 0, "ip": 4, "card": 13, "phone": 7}
+SURE = 0.6
 SPAN = "array<struct<kind:string,start:int,stop:int>>"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,6 +53,18 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
+_WIDE_HINT = re.compile(r"[0-9@\uff10-\uff19\uff20]|[(\[]at[)\]]")
+#: Of a document that likely holds a base span.
+_LIKELY = r"@[A-Za-z0-9-]+[.]|[+][0-9]|[0-9][.][0-9]+[.][0-9]+[.][0-9]|[0-9]([ -]?[0-9]){13}"
+_FOLD = {0xFF01 + k: 0x21 + k for k in range(94)}  # full-width forms
+_AT, _DOT = r"(?:@|[ ]?[(\[]at[)\]][ ]?)", r"(?:\.|[ ]?[(\[]dot[)\]][ ]?)"
+_SHAPES = {
+    "email": re.compile(rf"[\w.%+-]+{_AT}[\w-]+(?:{_DOT}[\w-]+)+"),
+    "ip": re.compile(r"([0-9]{1,3})(?:(?:\.|\[\.\]|\(\.\)|\[dot\])([0-9]{1,3})){3}"),
+    "card": re.compile(r"[0-9](?:[ ./-]{0,2}[0-9]){13,18}"),
+    "phone": re.compile(r"(?:00|[+(])?[0-9][0-9 ()./-]*[0-9]"),
+}
+_DATE = re.compile(r"[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}")
 _DIGITS = re.compile(r"[^0-9]")
 
 
@@ -89,6 +109,7 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 def symbols(text: str) -> np.ndarray:
     """0 pads; printable ASCII has its own symbols, with one for each of: white space, other letters, the rest."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.where((points > 0xFF00) & (points < 0xFF5F), points - 0xFEE0, points)  # full-width forms
     out = np.where((points > 32) & (points < 127), points - 32 + 3, np.where(points > 127, 2, 3))
     return np.where((points == 32) | ((points >= 9) & (points <= 13)), 1, out).astype(np.int16)
 
@@ -96,16 +117,16 @@ def symbols(text: str) -> np.ndarray:
 N_SYMBOLS = 98
 
 
-def windows(text: str) -> list[int]:
-    """Starts of the windows, half a window apart over the whole text, that hold a digit or an at sign."""
-    half = WINDOW // 2
-    blocks = {m.start() // half for m in _HINT.finditer(text)}
+def windows(text: str, size: int = WINDOW) -> list[int]:
+    """Starts of the windows of ``size``, half a window apart over the whole text, that hold a hint of a span."""
+    half = size // 2
+    blocks = {at // half for m in _WIDE_HINT.finditer(text) for at in (m.start(), m.end() - 1)}
     return [b * half for b in sorted(blocks | {b - 1 for b in blocks if b})]
 
 
-def _cut(codes: np.ndarray, start: int) -> np.ndarray:
-    out = np.zeros(WINDOW, np.int16)
-    own = codes[start : start + WINDOW]
+def _cut(codes: np.ndarray, start: int, size: int = WINDOW) -> np.ndarray:
+    out = np.zeros(size, np.int16)
+    own = codes[start : start + size]
     out[: len(own)] = own
     return out
 
@@ -119,53 +140,131 @@ def _tags(text_len: int, spans) -> np.ndarray:
     return tags
 
 
-def fit(texts: list[str], epochs: int = 8) -> Tagger | None:
-    """Train on the windows of ``texts`` (bounded), labelled by their base spans."""
-    xs, ys = [], []
-    for text in texts:
-        spans = base_spans(text)
-        codes, tags = symbols(text), _tags(len(text), spans)
-        for start in windows(text):
-            if len(xs) == MAX_TRAIN_WINDOWS:
-                break
-            xs.append(_cut(codes, start))
-            ys.append(np.pad(tags[start : start + WINDOW], (0, max(0, start + WINDOW - len(text)))))
+def shaped(kind: str, text: str, start: int, stop: int) -> bool:
+    """Whether what the tagger found can be of its kind, and stands apart from what is around it."""
+    own = text[start:stop].translate(_FOLD)
+    around = text[max(0, start - 2) : start].translate(_FOLD) + "\0" + text[stop : stop + 2].translate(_FOLD)
+    before, after = around.split("\0")
+    if not _SHAPES[kind].fullmatch(own) or before[-1:].isalnum() or after[:1].isalnum():
+        return False
+    digits = _DIGITS.sub("", own)
+    if kind == "email":
+        return any(c.isalpha() for c in own)
+    if re.search("[0-9][.]$", before) or re.match("[.][0-9]", after):  # a part of something longer
+        return False
+    if kind == "ip":
+        return all(int(part) <= 255 for part in re.findall("[0-9]+", own))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    parted = re.search("[ ()/-]", own) or own.count(".") >= 2
+    return 9 <= len(digits) <= 15 and bool(parted) and not _DATE.match(own) and not re.fullmatch("[0-9]+(?:[.][0-9]+){3,}", own)
+
+
+def _rewritten(kind: str, own: str, rng: random.Random) -> tuple[str, bool]:
+    """Another form of a span of the rules, and whether it still is of its kind."""
+    digits = _DIGITS.sub("", own)
+    if kind == "email":
+        local, _, domain = own.partition("@")
+        return rng.choice([(f"{local}(at){domain}", True), (f"{local} [at] {domain.replace('.', ' [dot] ')}", True), (f"{local}(at){domain.replace('.', '(dot)')}", True), (f"{local[:1]}ü{local[1:]}ñ@{domain[:1]}é{domain[1:]}", True), (f"@{local}", False), (f"{local}@", False)])
+    if kind == "ip":
+        parts = own.split(".")
+        wrong = [*parts[:3], str(rng.randrange(256, 1000))] if rng.random() < 0.5 else [*parts, str(rng.randrange(20))]
+        return rng.choice([("[.]".join(parts), True), ("(.)".join(parts), True), ("[dot]".join(parts), True), (".".join(wrong), False), (".".join(parts[:3]), False)])
+    if kind == "card":
+        groups = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        return rng.choice([(".".join(groups), True), ("/".join(groups), True), ("  ".join(groups), True), ("-".join(groups), True)])
+    area, middle, last = digits[-10:-7], digits[-7:-4], digits[-4:]
+    date = f"{rng.randrange(1900, 2100)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
+    return rng.choice([(f"{area}-{middle}-{last}", True), (f"({area}) {middle}-{last}", True), (f"{area}.{middle}.{last}", True), (f"0{area} {middle}{last}", True), (f"{area} {middle} {last}", True), (f"00{digits[:2]} {area} {middle} {last}", True), (date, False), (f"{middle}-{last[:2]}", False), (f"{middle},{last[:3]}.{area[:2]}", False)])
+
+
+def examples(text: str, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows (symbols, tags) to learn from: of the text with its spans, and of two texts with rewritten ones."""
+    rng, base, out = random.Random(f"{seed}:{len(text)}:{text[:64]}"), base_spans(text), []
+    apart, done = [], 0
+    for s in base:  # spans of different kinds may overlap; the first one counts
+        if s[1] >= done:
+            apart.append(s)
+            done = s[2]
+    for k in range(3 if apart else 1):
+        pieces, spans, at, size = [], [], 0, 0
+        for kind, a, b in apart:
+            own, is_one = (text[a:b], True) if k == 0 else _rewritten(kind, text[a:b], rng)
+            pieces += [text[at:a], own]
+            size += a - at
+            if is_one:
+                spans.append((kind, size, size + len(own)))
+            size, at = size + len(own), b
+        now = "".join([*pieces, text[at:]])
+        codes, tags, starts = symbols(now), _tags(len(now), spans), windows(now, TRAIN_WINDOW)
+        starts.sort(key=lambda s: not tags[s : s + TRAIN_WINDOW].any())  # stable: those with a span first
+        for start in starts[: MAX_DOC_WINDOWS // 3]:
+            out.append((_cut(codes, start, TRAIN_WINDOW), np.pad(tags[start : start + TRAIN_WINDOW], (0, max(0, start + TRAIN_WINDOW - len(now))))))
+    return out
+
+
+def _trained(xs: list[np.ndarray], ys: list[np.ndarray], epochs: int) -> Tagger | None:
     if not xs or not any(y.any() for y in ys):
         return None
     tagger = Tagger(N_SYMBOLS, 1 + 2 * len(KINDS))
-    tagger.fit(np.stack(xs).astype(np.int64), np.stack(ys).astype(np.int64), epochs)
+    tagger.fit(np.stack(xs).astype(np.int64), np.stack(ys).astype(np.int64), epochs, 32)
     return tagger
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
-    """Fit on the first ``MAX_TRAIN_DOCS`` documents, by a hash of the id, that hold a digit or an at sign."""
+def fit(texts: list[str], epochs: int = 12) -> Tagger | None:
+    """Train on the first ``MAX_TRAIN_WINDOWS`` windows of ``texts``, labelled by their base spans."""
+    found = list(islice((e for k, t in enumerate(texts) for e in examples(t, k)), MAX_TRAIN_WINDOWS))
+    return _trained([x for x, _ in found], [y for _, y in found], epochs)
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epochs: int = 12) -> Tagger | None:
+    """Fit on documents that come first by a hash of the id: ``MAX_TRAIN_DOCS`` that likely hold a span, and a third as many with a digit or at sign.
+
+    Executors cut the windows, so the driver gets ``MAX_TRAIN_WINDOWS`` windows and no text.
+    """
     spread = F.pmod(F.xxhash64(id_col), F.lit(1 << 40))
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"), spread.alias("h")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= MAX_TRAIN_CHARS))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"), spread.alias("h")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= MAX_TRAIN_CHARS))
     count = docs.count()
-    share, found = min(1.0, 60 * MAX_TRAIN_DOCS / max(count, 1)), []
-    while True:  # a sample that turns out too thin is drawn again, wider
-        found = rows.where(F.col("h") < int(share * (1 << 40))).orderBy("h", "id").limit(MAX_TRAIN_DOCS).collect()
-        if len(found) == MAX_TRAIN_DOCS or share == 1.0:
-            return fit([r["text"] for r in found])
-        share = min(1.0, share * 8)
+
+    def cut(batches):
+        for b in batches:
+            for h, text in zip(b.column("h").to_pylist(), b.column("text").to_pylist(), strict=True):
+                found = examples(text, h)
+                k = len(found)
+                yield pa.record_batch([pa.array([h] * k, pa.int64()), pa.array(range(k), pa.int32()), pa.array([x.tobytes() for x, _ in found], pa.binary()), pa.array([y.tobytes() for _, y in found], pa.binary())], names=["h", "k", "x", "y"])
+
+    def sample(own: DataFrame, most: int, per_row: int) -> list:
+        share = min(1.0, per_row * most / max(count, 1))
+        while True:  # a sample that turns out too thin is drawn again, wider
+            picked = own.where(F.col("h") < int(share * (1 << 40))).orderBy("h", "id", "text").limit(most)
+            found = picked.mapInArrow(cut, "h long, k int, x binary, y binary").orderBy("h", "k", "x").limit(MAX_TRAIN_WINDOWS * 3 // 4 if per_row > 9 else MAX_TRAIN_WINDOWS // 4).collect()
+            if share == 1.0 or len({r["h"] for r in found}) * 2 > most or len(found) >= MAX_TRAIN_WINDOWS // 4:
+                return found
+            share = min(1.0, share * 8)
+
+    found = sample(rows.where(F.col("text").rlike(_LIKELY)), MAX_TRAIN_DOCS, 30) + sample(rows, MAX_TRAIN_DOCS // 3, 9)
+    return _trained([np.frombuffer(r["x"], np.int16) for r in found], [np.frombuffer(r["y"], np.int8) for r in found], epochs)
 
 
 def _candidates(text: str, start: int, tags: np.ndarray, sure: np.ndarray):
-    """Whole spans of a window; one cut off at its edge is left to the neighbour that holds it whole."""
-    n, k = min(WINDOW, len(text) - start), 0
-    while k < n:
-        if tags[k] % 2 == 1:
-            stop = k + 1
-            while stop < n and tags[stop] == tags[k] + 1:
-                stop += 1
-            cut = (k == 0 and start > 0) or (stop == WINDOW and start + stop < len(text))
-            mean = float(sure[k:stop].mean())
-            kind, own = KINDS[tags[k] // 2], text[start + k : start + stop]
-            if not cut and mean >= SURE and len(_DIGITS.sub("", own)) >= LEAST_DIGITS[kind] and (kind != "email" or "@" in own):
-                yield kind, start + k, start + stop, mean
-            k = stop
-        else:
-            k += 1
+    """Spans of a window: what has a kind's shape where the tagger marked more than half of it.
+
+    One that touches the window's edge is left to the neighbour that holds it whole. The tagger's kind is tried
+    first, then the others as listed.
+    """
+    n = min(WINDOW, len(text) - start)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], tags[:n] > 0, [0]]).astype(np.int8)))
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        said = KINDS[(int(np.bincount(tags[a:b]).argmax()) - 1) // 2]
+        low, high = max(0, a - LONGEST), min(n, b + LONGEST)
+        around = text[start + low : start + high].translate(_FOLD)
+        for kind in (said, *(k for k in KINDS if k != said)):
+            met = [(m.start() + low, m.end() + low) for m in _SHAPES[kind].finditer(around) if m.start() + low < b and m.end() + low > a]
+            met = [(x, y) for x, y in met if (x > 0 or start == 0) and (y < WINDOW or start + y == len(text)) and y - x <= LONGEST and 2 * int((tags[x:y] > 0).sum()) > y - x]
+            found = [(x, y) for x, y in met if float(sure[x:y].mean()) >= SURE and shaped(kind, text, start + x, start + y)]
+            if found:
+                yield from ((kind, start + x, start + y, float(sure[x:y].mean())) for x, y in found)
+                break
 
 
 def reconcile(base, candidates) -> list[tuple[str, int, int]]:
@@ -265,6 +364,3 @@ def redacted(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") ->
 
     return docs.withColumn(text_col, clean(text_col))
 
-
-def digest(spans: list) -> str:
-    return hashlib.sha256(joined(spans).encode()).hexdigest()

@@ -165,6 +165,79 @@ def test_tagger_finds_what_it_learned_and_base_stays(spark):
     assert clean[1] is None and not pii.base_spans(clean[0])
 
 
+def planted(n, seed):
+    """Texts with forms that the rules miss, and the spans that must be added; and forms that are nothing."""
+    rng = random.Random(seed)
+    words = ["the", "old", "house", "on", "a", "hill", "call", "write", "to", "section", "page", "and", "Größe"]
+    fill = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(2, 14)))
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        body = "4" + num(14)
+        return body + next(c for c in "0123456789" if pii.luhn(body + c))
+
+    octets = lambda: [str(rng.randrange(256)) for _ in range(4)]
+    name = lambda: rng.choice(["anna", "bob", "carl.d", "eve9"]) + num(2)
+    yes = [
+        lambda: ("phone", f"{rng.randrange(200, 999)}-{num(3)}-{num(4)}"),
+        lambda: ("phone", f"({rng.randrange(200, 999)}) {num(3)}-{num(4)}"),
+        lambda: ("email", f"{name()}(at)mail{num(1)}.example.com"),
+        lambda: ("email", f"{name()}ñ@é{num(1)}mail.org"),
+        lambda: ("ip", "[.]".join(octets())),
+        lambda: ("card", re.sub("(....)(?=.)", r"\1.", card())),
+    ]
+    no = [lambda: f"{rng.randrange(1900, 2100)}-0{rng.randrange(1, 9)}-1{num(1)}", lambda: f"{num(2)}.{num(2)}.{num(2)}.{rng.randrange(256, 999)}", lambda: f"section {num(3)}", lambda: f"{num(3)}.{num(4)}", lambda: f"v{num(1)}.{num(1)}.{num(1)}.{num(1)}.{num(1)}", lambda: "@" + name()]
+    out = []
+    for _ in range(n):
+        text, want = fill(), set()
+        for _ in range(rng.randrange(1, 4)):
+            if rng.random() < 0.6:
+                kind, own = rng.choice(yes)()
+                want.add((kind, len(text) + 1, len(text) + 1 + len(own)))
+            else:
+                own = rng.choice(no)()
+            text += f" {own} {fill()}"
+        out.append((text, want))
+    return out
+
+
+def test_added_spans_have_precision_and_recall():
+    learned = [*pii_texts(300, 1), *cards(120, 5)]
+    random.Random(1).shuffle(learned)
+    tagger, texts = pii.fit(learned), planted(400, 9)
+    right = wrong = missed = 0
+    for (_, want), (base, spans) in zip(texts, pii.find_batch([t for t, _ in texts], tagger), strict=True):
+        added = set(spans) - set(base)
+        want = want - set(base)
+        right, wrong, missed = right + len(added & want), wrong + len(added - want), missed + len(want - added)
+    assert right / (right + wrong) >= 0.9 and right / (right + missed) >= 0.9, (right, wrong, missed)
+
+
+def cards(n, seed):
+    rng = random.Random(seed)
+    out = []
+    while len(out) < n:
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+        if pii.luhn(digits):
+            out.append(f"card {digits if len(out) % 2 else ' '.join(digits[k : k + 4] for k in range(0, 16, 4))} was used on the hill")
+    return out
+
+
+def test_spans_of_a_stated_length_lie_whole_in_a_window():
+    for start in range(0, 200):
+        for length in (1, 20, pii.LONGEST):
+            text = "x" * start + "1" * length + "x" * (200 - length)
+            assert any((s < start or s == 0) and start + length < s + pii.WINDOW for s in pii.windows(text)), (start, length)
+
+
+def test_shapes():
+    ok = lambda kind, own, text=None: pii.shaped(kind, text or own, (text or own).index(own), (text or own).index(own) + len(own))
+    assert ok("phone", "415-555-1234") and ok("phone", "(415) 555-1234") and not ok("phone", "2024-05-17") and not ok("phone", "4155551234")
+    assert ok("ip", "10[.]0[.]0[.]3") and not ok("ip", "10.0.0.300") and not ok("ip", "1.2.3.4", "1.2.3.4.5") and not ok("ip", "4111111111111112")
+    assert ok("card", "4111.1111.1111.1111") and not ok("card", "4111111111111112") and ok("email", "jürgen@müller.de") and ok("email", "a.b(at)c.de") and not ok("email", "a at b")
+    assert ok("phone", "４１５-555-1234") and not ok("phone", "415-555-1234", "x415-555-1234")
+
+
 def test_reconcile_is_best_and_disjoint():
     base = [("email", 10, 20)]
     got = pii.reconcile(base, [("phone", 15, 30, 0.99), ("card", 30, 40, 0.6), ("card", 30, 36, 0.5), ("ip", 36, 44, 0.5), ("ip", 0, 10, 0.9)])
