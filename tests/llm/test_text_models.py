@@ -253,7 +253,7 @@ def test_word_model_counts_and_scores(spark, docs, no_docs):
     rows = [(r["doc_id"], (r["text"] or "").encode().lower().split()) for r in docs.collect()]
     texts = docs.where(brown.learns()).select("text")
     counts = brown.word_counts(texts).cache()
-    model = brown.fit(texts, counts, shared_words=20)
+    model = brown.fit(texts, counts, shared_words=20, seeds=10)
     plain = Counter()
     for i, w in rows:
         if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
@@ -271,19 +271,111 @@ def test_word_model_counts_and_scores(spark, docs, no_docs):
     assert all(math.isfinite(r["score"]) for r in brown.score(docs, nothing, empty).collect())
 
 
-def test_class_model_is_a_distribution(docs):
+def class_of(m, word, tail):
+    k = brown._find(m.shared, np.array([word]))[0]
+    return m.classes[k] if k >= 0 else m.tail_class[tail]
+
+
+@pytest.mark.parametrize("shared", [60, 400_000])
+def test_class_model_is_a_distribution(docs, shared):
     texts = docs.where(brown.learns()).select("text")
     counts = brown.word_counts(texts).cache()
-    m = brown.fit(texts, counts)
+    m = brown.fit(texts, counts, shared, seeds=20)
     assert np.allclose((10**m.step).sum(1), 1)
     emitted = np.zeros(len(m.class_tokens))
     for r in counts.collect():
-        k = m.label[brown._units(np.array([r["word"]]).view(np.uint64), np.array([r["tail"]]), m.clustered)[0]]
+        k = class_of(m, r["word"], r["tail"])
         emitted[k] += 10 ** m.emit(r["n"], k)
     unseen = np.array([10 ** m.emit(0, k) for k in range(len(emitted))])
     assert np.allclose((emitted + unseen)[:-1], 1)
 
 
+@pytest.mark.parametrize("shared", [60, 400_000])
+def test_score_equals_plain_class_model(docs, shared):
+    """The classes taken from the model; all counts, probabilities and sums from plain Python."""
+    texts = docs.where(brown.learns()).select("text")
+    counts = brown.word_counts(texts).cache()
+    m = brown.fit(texts, counts, shared, seeds=20)
+    rows = [(r["doc_id"], (r["text"] or "").encode().lower().split()) for r in docs.collect()]
+    names = sorted({w for _, own in rows for w in own})
+    data = b" ".join(names)
+    hashes, _, last = brown.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), tails=True)
+    own_class = {w: int(class_of(m, h, t)) for w, h, t in zip(names, hashes.view(np.int64), brown._tail(last), strict=True)}
+    own_class[None] = len(m.step) - 1
+    train = [[*w, None] for i, w in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    n, pairs = Counter(w for t in train for w in t), Counter()
+    for t in train:
+        pairs.update(zip([own_class[None], *[own_class[w] for w in t[:-1]]], [own_class[w] for w in t], strict=True))
+    k = len(m.step)
+    before = [sum(pairs[a, b] for b in range(k)) for a in range(k)]
+    kinds = [max(1, sum(pairs[a, b] > 0 for b in range(k))) for a in range(k)]
+    alone = [(sum(pairs[a, b] for a in range(k)) + 0.1) / (sum(before) + 0.1 * k) for b in range(k)]
+    tokens, distinct = Counter(), Counter()
+    for w, c in n.items():
+        tokens[own_class[w]] += c
+        distinct[own_class[w]] += w is not None
+
+    def score(own):
+        at, total = own_class[None], 0.0
+        for w in [*own, None]:
+            c = own_class[w]
+            total += math.log10((pairs[at, c] + kinds[at] * alone[c]) / (before[at] + kinds[at]))
+            if w is not None:
+                total += math.log10((n[w] + 0.5) / (tokens[c] + 0.5 * (distinct[c] + 1)))
+            at = c
+        return total
+
+    got = sorted(((r["doc_id"] is None, r["doc_id"], r["n_tokens"]), r["score"]) for r in brown.score(docs, m, counts).collect())
+    want = sorted(((i is None, i, len(w) + 1), score(w)) for i, w in rows)
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want])
+
+
+def test_gains_are_differences_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    pairs = rng.poisson(0.6, (31, 31))
+    label = np.append(rng.integers(0, 5, 30), 5)
+    hot = np.eye(6)[label]
+    table = hot.T @ pairs @ hot
+    word = np.arange(30)
+    apart = pairs * (1 - np.eye(31))
+    got = brown.gains(table, (apart @ hot)[:30], (apart.T @ hot)[:30], np.diag(pairs)[:30], label[:30])
+    for u in word:
+        want = []
+        for c in range(5):
+            own = label.copy()
+            own[u] = c
+            h = np.eye(6)[own]
+            want.append(brown.likelihood(h.T @ pairs @ h))
+        assert np.allclose(got[u] - got[u][label[u]], np.array(want) - want[label[u]])
+
+
+def test_exchange_ends_where_no_single_move_helps():
+    pairs = np.random.default_rng(6).poisson(0.4, (41, 41))
+    label = brown.exchange(pairs, 5)
+    hot = np.eye(6)[label]
+    table = hot.T @ pairs @ hot
+    apart = pairs * (1 - np.eye(41))
+    got = brown.gains(table, (apart @ hot)[:40], (apart.T @ hot)[:40], np.diag(pairs)[:40], label[:40])
+    assert (got.max(1) <= got[np.arange(40), label[:40]] + 1e-6).all()
+
+
+def test_every_shared_word_is_placed_by_its_contexts(spark):
+    """Words of two kinds take turns; the rare ones, alike in spelling, get the class of their kind and not of their ending."""
+    rng = random.Random(2)
+    kinds = [[f"{a}{k:03}xx" for k in range(300)] for a in "pq"]
+    texts = [" ".join(rng.choice(kinds[j % 2][: 12 if rng.random() < 0.5 else 300]) for j in range(400)) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    counts = brown.word_counts(df).cache()
+    m = brown.fit(df, counts, classes=2, seeds=24)
+    names = kinds[0] + kinds[1]
+    data = " ".join(names).encode()
+    hashes, _, last = brown.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), tails=True)
+    got = [class_of(m, h, t) for h, t in zip(hashes.view(np.int64), brown._tail(last), strict=True)]
+    one = round(sum(got[:300]) / 300)
+    right = sum(c == one for c in got[:300]) + sum(c == 1 - one for c in got[300:])
+    assert len(m.shared) == len({w for t in texts for w in t.split()}) and right >= 0.98 * 600
+
+
 def test_exchange_separates_two_kinds():
     rng = np.random.default_rng(1)
     pairs = np.zeros((21, 21), np.int64)
