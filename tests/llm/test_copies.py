@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import bloom, exact_dedup, ngram_join, words
+from tests.llm.conftest import prose
 
 
 def shingle_set(text):
@@ -138,10 +140,38 @@ def test_filters_lose_no_link():
                 assert np.isin(ngram_join._prefix(sets[x], o, sketch, 75, 100), ngram_join._prefix(sets[y], o, sketch, 75, 100)).any()
 
 
+def test_sets_that_share_a_name_get_another(docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.components(docs, sid_bits=5).collect())
+    assert got == brute_components(rows)
+
+
+def test_orders_are_three(spark):
+    s = np.sort(np.random.default_rng(2).integers(0, 2**63, 400).astype(np.uint64))
+    sketch = np.zeros(1 << 10, np.uint32)
+    first = [set(ngram_join._prefix(s, o, sketch, 75, 100).tolist()) for o in range(3)]
+    assert all(len(x & y) < 0.5 * len(x) for x, y in combinations(first, 2))
+
+
+def test_hot_lists_are_dealt_to_several_parts():
+    sketch = np.ones(1 << 10, np.uint32)
+    sketch[7] = 6000
+    assert ngram_join._splits(np.array([7, 8, 7 + (1 << 10)], np.uint64), sketch).tolist() == [12, 1, 12]
+
+
+def test_repeated_ids_are_decided_by_row(spark):
+    text, other = prose(random.Random(1), 60), prose(random.Random(2), 60)
+    rows = [(0, text, "x"), (1, text, "y"), (1, other, "z"), (2, "", "e"), (2, "", "e"), (5, other + " end", "w"), (7, prose(random.Random(3), 30), "r"), (7, prose(random.Random(3), 30), "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _nj_id string").repartition(3)
+    got = sorted((r["doc_id"], r["_nj_id"]) for r in ngram_join.drop_near_duplicates(df).collect())
+    assert got == [(0, "x"), (1, "z"), (2, "e"), (2, "e"), (7, "r")]
+
+
 def test_drop_near_duplicates_and_empty(docs, no_docs):
     got = ngram_join.drop_near_duplicates(docs)
     comp = {r["component_id"] for r in ngram_join.components(docs).collect()}
-    assert {r["doc_id"] for r in got.collect()} == comp
+    kept = [r["doc_id"] for r in got.collect()]
+    assert set(kept) == comp and len([k for k in kept if k is not None]) == len(comp - {None})
     assert ngram_join.components(no_docs).count() == 0
     assert exact_dedup.duplicate_groups(no_docs).count() == 0
     assert exact_dedup.drop_duplicates(no_docs).count() == 0
