@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Imputer, MinMaxScaler, OneHotEncoder, RobustScaler, StandardScaler, StringIndexer, UnivariateFeatureSelector, VectorAssembler
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Derived features by name, in order; later ones may use earlier ones.
+log = logging.getLogger(__name__)
+
+#: Derived features by name, in order; later ones may use earlier ones. Names and expressions.
 DERIVED = {
     "num_top_suppliers": "coalesce(size(top_suppliers), 0)",
     "num_main_customers": "coalesce(size(main_customers), 0)",
@@ -23,7 +26,7 @@ DERIVED = {
 
 @dataclass(frozen=True)
 class FeatureConfig:
-    """``legacy_assembly`` assembles raw columns only, without scaled and encoded ones."""
+    """``legacy_assembly`` assembles raw columns only, without scaled and encoded ones; ``median_error`` is the relative error of medians."""
 
     numeric: tuple[str, ...] = ("revenue",)
     categorical: tuple[str, ...] = ("country", "industry_sector")
@@ -36,6 +39,7 @@ class FeatureConfig:
     selection: str | None = None
     select: int = 20
     legacy_assembly: bool = False
+    median_error: float = 0.001
 
 
 def create_target(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
@@ -85,7 +89,7 @@ def split(df: DataFrame, key: str, parts=(0.7, 0.1, 0.2), seed: int = 42, target
     """
     mark = [F.col(key), F.lit(seed)] + ([F.col(target)] if target else [])
     rows = df.where(F.col(target).isin(0.0, 1.0)) if target else df
-    u = F.pmod(F.xxhash64(*mark), F.lit(1_000_000)) / 1_000_000
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", *[m.cast("string") for m in mark])), 1, 8), 16, 10).cast("double") / 2**32
     a, b = parts[0], parts[0] + parts[1]
     return rows.where(u < a), rows.where((u >= a) & (u < b)), rows.where(u >= b)
 
@@ -114,7 +118,7 @@ def stages(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> list:
     kinds = [c for c in cfg.categorical if c in df.columns]
     out, parts = [], []
     if numbers:
-        out.append(Imputer(strategy="median", inputCols=numbers, outputCols=[f"{c}_filled" for c in numbers]))
+        out.append(Imputer(strategy="median", relativeError=cfg.median_error, inputCols=numbers, outputCols=[f"{c}_filled" for c in numbers]))
         parts += [f"{c}_filled" for c in numbers]
     scalers = {"standard": StandardScaler(withMean=True, withStd=True), "minmax": MinMaxScaler(), "robust": RobustScaler()}
     if numbers and cfg.scaler in scalers and not cfg.legacy_assembly:
@@ -142,5 +146,15 @@ def correlations(df: DataFrame, vector: str = "features"):
     return Correlation.corr(df, vector).first()[0].toArray()
 
 
-def validate_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> bool:
-    return cfg.target in df.columns
+def validate_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), most_nulls: float = 0.5, least_class: float = 0.05) -> bool:
+    """Whether the target is there with both classes. Many nulls in a feature, or a class rarer than ``least_class``, are logged."""
+    if cfg.target not in df.columns:
+        return False
+    numbers = [c for c in (*cfg.numeric, *(n for n, _ in cfg.derived), *cfg.categorical) if c in df.columns]
+    for r in null_audit(df, numbers).collect() if numbers else ():
+        if (r["ratio"] or 0) > most_nulls:
+            log.warning("%s is null in %.0f %% of the rows", r["feature"], 100 * r["ratio"])
+    shares = {r["label"]: r["ratio"] for r in class_balance(df, cfg.target).collect() if r["label"] is not None}
+    if shares and min(shares.values()) < least_class:
+        log.warning("classes are far from even: %s", shares)
+    return len(shares) > 1

@@ -130,6 +130,11 @@ def attach(entities: DataFrame, findings: DataFrame) -> DataFrame:
     return entities.join(findings.drop("corporate_name"), "corporate_id", "left")
 
 
+def adverse(entities: DataFrame) -> DataFrame:
+    """The entities with adverse media."""
+    return entities.where("has_adverse_media")
+
+
 def without_findings(entities: DataFrame) -> DataFrame:
     """The skipped stage: typed nulls, so that a merge keeps what earlier runs found."""
     kinds = {f.name: f.dataType for f in RESULT if f.name not in ("corporate_id", "corporate_name")}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, resolve, risk, training
 from ledgerloom.operators.quality import Rule, validate
@@ -34,7 +35,7 @@ class IngestionConfig:
     error_threshold: float = 0.05
     matching: resolve.MatchConfig = field(default_factory=resolve.MatchConfig)
     risk: risk.RiskConfig = field(default_factory=risk.RiskConfig)
-    adverse_media_limit: int = 20
+    adverse_media_limit: int | None = None  # None: every entity that has no finding yet
     checkpoint_dir: str | None = None
 
 
@@ -48,9 +49,17 @@ class IngestionPipeline:
     def _enriched(self, entities: DataFrame, run: bool) -> DataFrame:
         if not run:
             return risk.without_findings(entities)
-        sample = entities.orderBy("corporate_id").limit(self.cfg.adverse_media_limit)
-        named = sample.selectExpr("corporate_id", "coalesce(corporate_name_S1, corporate_name_S2) as corporate_name", "country", "industry_sector")
-        asked = self.context(named) if self.context else named.withColumn("context", risk.prompt(named["corporate_name"], named["country"], named["industry_sector"], self.cfg.risk.keywords))
+        asked_for = entities
+        if self.registry.exists() and self.registry.manifest()["snapshots"]:
+            known = self.registry.at().where("adverse_media_last_checked is not null").select("corporate_id")
+            asked_for = entities.join(known, "corporate_id", "left_anti")
+        if self.cfg.adverse_media_limit is not None:
+            asked_for = asked_for.orderBy("corporate_id").limit(self.cfg.adverse_media_limit)
+        named = asked_for.selectExpr("corporate_id", "coalesce(corporate_name_S1, corporate_name_S2) as corporate_name", "country", "industry_sector")
+        # The prompt lists the keywords, so the keyword scorer reads what is known of the entity instead.
+        known_text = F.concat_ws(" ", "corporate_name", "country", "industry_sector")
+        prompt = risk.prompt(named["corporate_name"], named["country"], named["industry_sector"], self.cfg.risk.keywords)
+        asked = self.context(named) if self.context else named.withColumn("context", known_text if self.scorer is risk.keyword_scorer else prompt)
         return risk.attach(entities, settle(risk.analyse(asked, self.scorer, self.cfg.risk)))
 
     def run(self, run_adverse_media: bool = True, optimize_table: bool = False) -> Result:
@@ -78,6 +87,9 @@ class IngestionPipeline:
             stage = "adverse_media"
             with self.metrics.timer("adverse_media"):
                 enriched = self._enriched(entities, run_adverse_media)
+                if run_adverse_media:
+                    enriched = settle(enriched)
+                    counts["adverse_entities"] = risk.adverse(enriched).count()
             stage = "upsert"
             with self.metrics.timer("registry_upsert"):
                 counts["snapshot_id"] = self.registry.upsert(enriched)

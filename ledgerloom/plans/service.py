@@ -14,13 +14,10 @@ from ledgerloom.functions.text import rows_as_json, sanitize
 from ledgerloom.plans.pipeline import IngestionPipeline, MLPipeline
 from ledgerloom.sources.registry import Registry
 
-MAX_ROWS = 10_000
-
-
-def as_records(df: DataFrame, limit: int = MAX_ROWS) -> list[dict]:
-    """At most ``limit`` rows as dicts; NaN as null, null fields left out."""
-    clean = sanitize(df.limit(min(limit, MAX_ROWS)))
-    return [json.loads(r[0]) for r in clean.select(rows_as_json(clean)).collect()]
+def as_records(df: DataFrame, limit: int | None = None) -> list[dict]:
+    """All rows, or ``limit`` of them, as dicts, read one partition at a time; NaN as null, null fields left out."""
+    clean = sanitize(df if limit is None else df.limit(limit))
+    return [json.loads(r[0]) for r in clean.select(rows_as_json(clean)).toLocalIterator()]
 
 
 class Service:
@@ -38,7 +35,7 @@ class Service:
     def stats(self) -> dict:
         return self.registry.statistics()
 
-    def time_travel(self, snapshot_id: int | None = None, timestamp: float | None = None, limit: int = MAX_ROWS) -> list[dict]:
+    def time_travel(self, snapshot_id: int | None = None, timestamp: float | None = None, limit: int | None = None) -> list[dict]:
         return as_records(self.registry.time_travel(snapshot_id, timestamp), limit)
 
     def predict(self, records: list[dict], stage: str | None = None) -> list[float]:

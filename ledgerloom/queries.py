@@ -2,7 +2,8 @@
 
 Company sources are derived from ``documents``: the side is the parity of the source's number, the name
 its first three words in ASCII, the country its language, the postal code ``n_chars % 97``. Financials
-come from customers and orders, supplier lists from line items.
+come from customers and orders, supplier lists from line items. These short names are stand-ins for company
+names, which documents do not hold; queries about texts themselves read whole texts.
 """
 
 from __future__ import annotations
@@ -125,14 +126,13 @@ def string_array_parse(spark, sf_dir):
     return table(spark, sf_dir, "part").withColumn("a", parse_string_array(raw)).select("p_partkey", F.array_join("a", "#").alias("items"), F.size("a").cast("long").alias("n_items"))
 
 
-@query("WITH " + SOURCES + " SELECT doc_id, name_clean FROM clean")
-def text_cleaning(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", clean_text(_name()).alias("name_clean"))
+#: A legal form between what is no letter, mark, digit or connector, as a Unicode word border has it; twice, for forms side by side.
+_FORM = r"(^|[^\p{L}\p{M}\p{Nd}\p{Pc}])(inc|corp|ltd|llc|plc|co|company|limited)($|[^\p{L}\p{M}\p{Nd}\p{Pc}])"
 
 
-@query()
-def text_cleaning_whole(spark, sf_dir):
-    """Whole texts, not only ASCII names of three words; the regex dialects differ on these."""
+@query(rf"WITH bare AS (SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '{_FORM}', '\1\3', 'g'), '{_FORM}', '\1\3', 'g') AS t FROM documents) SELECT doc_id, trim(regexp_replace(regexp_replace(t, '[^a-z0-9\s\p{{Z}}\x0b\x{{85}}]', '', 'g'), '[\s\p{{Z}}\x0b\x{{85}}]+', ' ', 'g')) AS text_clean FROM bare")
+def text_cleaning(spark, sf_dir):
+    """Whole texts."""
     return table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text_clean"))
 
 
@@ -156,7 +156,8 @@ def _pairs(spark, sf_dir):
 
 
 def _matches(spark, sf_dir):
-    return resolve.score_pairs(_pairs(spark, sf_dir)).where("score >= 0.6")
+    pairs = resolve.matching_candidates(prepared(spark, sf_dir, "S1"), prepared(spark, sf_dir, "S2"))
+    return resolve.score_pairs(pairs).where("score >= 0.6")
 
 
 @query("WITH " + SOURCES + " SELECT id_s1, id_s2, name_s1, name_s2, post_s1, post_s2, country_s1, country_s2 FROM pairs")
@@ -170,7 +171,14 @@ def jaro_winkler_score(spark, sf_dir):
     return names.select("name_s1", "name_s2", F.round(jaro_winkler_col(F.col("name_s1"), F.col("name_s2")), 6).alias("jw"))
 
 
-@query()
+#: Longest common subsequence of two texts: a row of lengths for each character of x.
+_LCS = """list_last(list_reduce(list_prepend(list_transform(range(length({y}) + 1), lambda j: CAST(0 AS BIGINT)), list_transform(range(1, length({x}) + 1), lambda i: [CAST(unicode(substr({x}, CAST(i AS INT), 1)) AS BIGINT)])),
+    lambda prev, ch: list_prepend(CAST(0 AS BIGINT), list_transform(range(1, length({y}) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(prev[k + 1], prev[k] + CASE WHEN unicode(substr({y}, CAST(k AS INT), 1)) = ch[1] THEN 1 ELSE 0 END)))))))"""
+_TOKENS = "array_to_string(list_sort(list_filter(string_split(regexp_replace(lower({c}), '[^a-z0-9_]', ' ', 'g'), ' '), lambda t: t <> '')), ' ')"
+_TOKEN_SORT = "CASE WHEN x = '' AND y = '' OR x = '' OR y = '' THEN 0.0::DOUBLE ELSE round_even(100 * 2.0::DOUBLE * " + _LCS.format(x="x", y="y") + " / (length(x) + length(y)), 0) / 100 END"
+
+
+@query("WITH " + SOURCES + f", n AS (SELECT DISTINCT name_s1, name_s2, {_TOKENS.format(c='name_s1')} AS x, {_TOKENS.format(c='name_s2')} AS y FROM pairs) SELECT name_s1, name_s2, {_TOKEN_SORT} AS token_sort FROM n")
 def token_sort_score(spark, sf_dir):
     names = _pairs(spark, sf_dir).select("name_s1", "name_s2").distinct()
     return names.select("name_s1", "name_s2", token_sort_col(F.col("name_s1"), F.col("name_s2")).alias("token_sort"))
@@ -181,6 +189,24 @@ def weighted_match(spark, sf_dir):
     return _matches(spark, sf_dir).select("id_s1", "id_s2", F.round("score", 6).alias("score"))
 
 
+_ADDRESS = r"regexp_replace(array_to_string(list_slice(string_split(text, ' '), 4, 7), ' '), '[^\x00-\x7F]', '', 'g')"
+_ADDRESSED = "WITH " + SOURCES + f""", addr AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower({_ADDRESS}), '\\b(inc|corp|ltd|llc|plc|co|company|limited)\\b', '', 'g'), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS address FROM documents),
+both_sides AS (SELECT p.*, a.address AS addr_s1, b.address AS addr_s2 FROM pairs p JOIN addr a ON p.id_s1 = 'S1:' || a.doc_id JOIN addr b ON p.id_s2 = 'S2:' || b.doc_id),
+texts AS (SELECT DISTINCT addr_s1, addr_s2, {_TOKENS.format(c='addr_s1')} AS x, {_TOKENS.format(c='addr_s2')} AS y FROM both_sides),
+sorted AS (SELECT addr_s1, addr_s2, {_TOKEN_SORT} AS alike FROM texts)
+SELECT id_s1, id_s2, round((CASE WHEN name_s1 = '' OR name_s2 = '' THEN 0.0::DOUBLE ELSE jaro_winkler_similarity(name_s1, name_s2) END) * 0.6::DOUBLE + alike * 0.3::DOUBLE
+       + (CASE WHEN post_s1 = post_s2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 0.1::DOUBLE, 6) AS score FROM both_sides JOIN sorted USING (addr_s1, addr_s2) WHERE score >= 0.6"""
+
+
+@query(_ADDRESSED)
+def weighted_match_addresses(spark, sf_dir):
+    """Both sources with addresses (the fourth to seventh word), so all three terms count."""
+    words = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(F.array_join(F.slice(F.split("text", " "), 4, 4), " "), r"[^\x00-\x7F]", "").alias("address"))
+    sides = [resolve.prepare(company_source(spark, sf_dir, side).drop("address").join(words, "doc_id"), side, F.col("doc_id")) for side in ("S1", "S2")]
+    scored = resolve.score_pairs(resolve.matching_candidates(*sides))
+    return scored.where("score >= 0.6").select("id_s1", "id_s2", F.round("score", 6).alias("score"))
+
+
 @query(_COMPONENTS + "SELECT id, component FROM comp")
 def components_of_matches(spark, sf_dir):
     comp = resolve.match_components(*_both(spark, sf_dir))
@@ -188,15 +214,11 @@ def components_of_matches(spark, sf_dir):
     return comp.join(least, "component").select("id", F.col("least").alias("component"))
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.09), d AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w AS (SELECT a AS node, a AS r FROM d UNION SELECT w.node, d.b FROM w JOIN d ON w.r = d.a) SELECT node, min(r) AS component FROM w GROUP BY node")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem), d AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    cc(node, component) USING KEY (node) AS (SELECT DISTINCT a, a FROM d UNION (SELECT u.node, min(v.component) FROM recurring.cc AS u JOIN d ON d.a = u.node JOIN cc AS v ON v.node = d.b WHERE v.component < u.component GROUP BY u.node))
+    SELECT node, component FROM cc""")
 def graph_components(spark, sf_dir):
-    edges = table(spark, sf_dir, "lineitem").where("l_quantity >= 49 and l_discount >= 0.09").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1000000).alias("dst"))
-    return connected_components(edges)
-
-
-@query()
-def graph_components_whole(spark, sf_dir):
-    """Over every part-supplier edge of lineitem; the recursive SQL is too slow for these."""
+    """Over every part-supplier edge of lineitem."""
     return connected_components(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1000000).alias("dst")))
 
 
@@ -229,12 +251,16 @@ def _entities(spark, sf_dir):
     SELECT corporate_id, max(country) AS country, max(postal) AS postal_code, count(*) AS n_rows,
            max(CASE WHEN id LIKE 'S2:%' THEN CAST(substr(id, 4) AS BIGINT) * 10.0 END) AS revenue,
            array_to_string(list_sort(list(id) FILTER (id LIKE 'S1:%')), ',') AS s1_ids, array_to_string(list_sort(list(id) FILTER (id LIKE 'S2:%')), ',') AS s2_ids,
-           min_by(name_clean, id) AS name_clean
+           min_by(name_clean, id) AS name_clean,
+           max(CASE WHEN id LIKE 'S2:%' THEN CAST(substr(id, 4) AS BIGINT) * 1.0 - 100 END) AS profit, max(CASE WHEN id LIKE 'S2:%' THEN 2020 + CAST(substr(id, 4) AS BIGINT) % 5 END) AS fiscal_year,
+           array_to_string(list_sort(list_distinct(list(substr(id, 1, 2)))), ',') AS sources, array_to_string(list_sort(list_distinct(list(coalesce(country_clean, 'UNK') || '||' || substr(name_clean, 1, 3)))), ',') AS blocking_keys,
+           min_by('sector' || CAST(substr(id, 4) AS BIGINT) % 5, id) AS industry_sector,
+           coalesce(array_to_string(list_sort(list_distinct(list('sup' || CAST(substr(id, 4) AS BIGINT) % 7) FILTER (id LIKE 'S1:%'))), ','), '') AS top_suppliers
     FROM comp JOIN prints USING (component) JOIN nodes USING (id) GROUP BY corporate_id""")
 def harmonized_entities(spark, sf_dir):
     e = _entities(spark, sf_dir)
     text = lambda c: F.nullif(F.array_join(c, ","), F.lit(""))
-    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"))
+    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"), "profit", F.col("fiscal_year").cast("long").alias("fiscal_year"), F.array_join("sources", ",").alias("sources"), F.array_join("blocking_keys", ",").alias("blocking_keys"), "industry_sector", F.array_join("top_suppliers", ",").alias("top_suppliers"))
 
 
 @query(_PRINTS + "SELECT count(DISTINCT corporate_id) AS records, count(DISTINCT corporate_id) AS entities FROM prints")
@@ -270,13 +296,30 @@ CUSTOMER = T.StructType([T.StructField("c_custkey", T.LongType(), False), T.Stru
 
 
 def _load(spark, sf_dir, k: int) -> DataFrame:
-    """Load k of three: the customers whose key leaves k or k + 1 modulo 3; later loads lack some values."""
-    rows = table(spark, sf_dir, "customer").where((F.col("c_custkey") % 3).isin(k, (k + 1) % 3))
-    return rows.select("c_custkey", "c_name", (F.col("c_acctbal") + k).alias("c_acctbal"), F.when(F.col("c_custkey") % 5 != k, F.col("c_mktsegment")).alias("c_mktsegment"))
+    """Load 0: all customers. Load 1: those who ordered, with new balances and some segments missing, and the suppliers. Load 2: all of both, without segments."""
+    t = lambda n: table(spark, sf_dir, n)
+    customers, none = t("customer"), F.lit(None).cast("string")
+    suppliers = t("supplier").select((-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"), (F.col("s_acctbal") + k).alias("c_acctbal"), none.alias("c_mktsegment"))
+    rows = customers if k != 1 else customers.join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    segment = [F.col("c_mktsegment"), F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")), none][k]
+    rows = rows.select("c_custkey", "c_name", (F.col("c_acctbal") + k).alias("c_acctbal"), segment.alias("c_mktsegment"))
+    return rows.unionByName(suppliers) if k else rows
+
+
+_LOADS = [
+    "(SELECT c_custkey, c_name, c_acctbal + 0 AS c_acctbal, c_mktsegment FROM customer)",
+    "(SELECT c_custkey, c_name, c_acctbal + 1 AS c_acctbal, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal + 1, NULL FROM supplier)",
+    "(SELECT c_custkey, c_name, c_acctbal + 2 AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal + 2, NULL FROM supplier)",
+]
+
+
+def _merged_sql(target: str, source: str) -> str:
+    columns = ", ".join(f"coalesce(s.{c}, t.{c}) AS {c}" for c in ("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))
+    return f"(SELECT {columns} FROM {target} t FULL JOIN {source} s ON t.c_custkey = s.c_custkey)"
 
 
-_LOAD = "(SELECT c_custkey, c_name, c_acctbal + {k} AS c_acctbal, CASE WHEN c_custkey % 5 <> {k} THEN c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 3 IN ({k}, ({k} + 1) % 3))"
-_MERGED = "(SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_acctbal, t.c_acctbal) AS c_acctbal, coalesce(s.c_mktsegment, t.c_mktsegment) AS c_mktsegment FROM " + _LOAD.format(k=0) + " t FULL JOIN " + _LOAD.format(k=1) + " s ON t.c_custkey = s.c_custkey)"
+_MERGED = _merged_sql(_LOADS[0], _LOADS[1])
+_ALL = _merged_sql(_MERGED, _LOADS[2])
 
 
 @query(_MERGED[1:-1])
@@ -284,7 +327,7 @@ def merge_upsert(spark, sf_dir):
     return merge(_load(spark, sf_dir, 0), _load(spark, sf_dir, 1), "c_custkey", CUSTOMER.names)
 
 
-@query("SELECT t.c_custkey, t.c_name, CASE WHEN s.c_custkey IS NOT NULL THEN coalesce(s.c_acctbal, t.c_acctbal) ELSE t.c_acctbal END AS c_acctbal, t.c_mktsegment FROM " + _LOAD.format(k=0) + " t LEFT JOIN " + _LOAD.format(k=1) + " s ON t.c_custkey = s.c_custkey")
+@query("SELECT t.c_custkey, t.c_name, CASE WHEN s.c_custkey IS NOT NULL THEN coalesce(s.c_acctbal, t.c_acctbal) ELSE t.c_acctbal END AS c_acctbal, t.c_mktsegment FROM " + _LOADS[0] + " t LEFT JOIN " + _LOADS[1] + " s ON t.c_custkey = s.c_custkey")
 def merge_update_only(spark, sf_dir):
     return update_only(_load(spark, sf_dir, 0), _load(spark, sf_dir, 1), "c_custkey", CUSTOMER.names, ("c_acctbal",))
 
@@ -298,7 +341,7 @@ def _registry(spark, sf_dir, loads=3) -> Registry:
     return reg
 
 
-@query(_LOAD.format(k=0)[1:-1])
+@query(_LOADS[0][1:-1])
 def time_travel_version(spark, sf_dir):
     reg = _registry(spark, sf_dir)
     return reg.time_travel(snapshot_id=reg.manifest()["snapshots"][0]["snapshot_id"])
@@ -310,15 +353,21 @@ def time_travel_timestamp(spark, sf_dir):
     return reg.time_travel(timestamp=datetime.fromtimestamp(reg.manifest()["snapshots"][1]["committed_at"] + 1, timezone.utc))
 
 
-@query()
+#: Commit k of ``_registry`` reads its clock twice, a minute apart: once for its rows, once for itself.
+_AT = "CAST(1700000060 + 120 * k AS BIGINT)"
+
+
+@query(f"WITH n AS (SELECT 0 AS k, count(*) AS n FROM {_LOADS[0]} UNION ALL SELECT 1, count(*) FROM {_MERGED} UNION ALL SELECT 2, count(*) FROM {_ALL}) SELECT 1000 * {_AT} AS snapshot_id, CASE WHEN k > 0 THEN 1000 * {_AT} - 120000 END AS parent_id, {_AT} AS committed_s, 'merge' AS operation, n AS record_count FROM n ORDER BY k DESC LIMIT 5")
 def snapshot_log_topk(spark, sf_dir):
-    return _registry(spark, sf_dir).snapshots().orderBy(F.desc("committed_at")).limit(5)
+    log = _registry(spark, sf_dir).snapshots().orderBy(F.desc("committed_at")).limit(5)
+    return log.select("snapshot_id", "parent_id", F.unix_seconds("committed_at").alias("committed_s"), "operation", "record_count")
 
 
-@query("SELECT count(*) AS row_count, CAST(3 AS BIGINT) AS snapshot_count FROM customer")
+@query(f"SELECT count(*) AS row_count, CAST(3 AS BIGINT) AS snapshot_count, CAST(1700000300000 AS BIGINT) AS latest_snapshot, '1700000300000,1700000180000,1700000060000' AS latest_snapshots, true AS has_files, true AS has_bytes FROM {_ALL}")
 def table_statistics(spark, sf_dir):
     s = _registry(spark, sf_dir).statistics()
-    return spark.createDataFrame([(s["row_count"], s["snapshot_count"])], "row_count long, snapshot_count long")
+    row = (s["row_count"], s["snapshot_count"], s["latest_snapshot"], ",".join(map(str, s["latest_snapshots"])), s["file_count"] > 0, s["total_size_mb"] > 0)
+    return spark.createDataFrame([row], "row_count long, snapshot_count long, latest_snapshot long, latest_snapshots string, has_files boolean, has_bytes boolean")
 
 
 @query(_MERGED[1:-1])
@@ -328,21 +377,16 @@ def compact_preserves_rows(spark, sf_dir):
     return reg.at()
 
 
-@query("SELECT CAST(2 AS BIGINT) AS expired, CAST(1 AS BIGINT) AS remaining, count(*) AS rows FROM customer")
+@query("SELECT CAST(2 AS BIGINT) AS expired, CAST(1 AS BIGINT) AS remaining, count(*) AS rows FROM " + _ALL)
 def expire_snapshots(spark, sf_dir):
     reg = _registry(spark, sf_dir)
     gone = reg.expire(older_than_days=0)
     return reg.at().agg(F.lit(gone).cast("long").alias("expired"), F.lit(len(reg.manifest()["snapshots"])).cast("long").alias("remaining"), F.count(F.lit(1)).alias("rows"))
 
 
-@query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM " + _LOAD.format(k=0) + " WHERE c_acctbal > 5000 ORDER BY c_custkey LIMIT 20")
+@query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM " + _ALL + " WHERE c_acctbal > 5000 ORDER BY c_custkey LIMIT 20")
 def registry_query(spark, sf_dir):
-    return _registry(spark, sf_dir, 1).query("c_acctbal > 5000", 20)
-
-
-@query("SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_acctbal, t.c_acctbal) AS c_acctbal, coalesce(s.c_mktsegment, t.c_mktsegment) AS c_mktsegment FROM " + _MERGED + " t FULL JOIN " + _LOAD.format(k=2) + " s ON t.c_custkey = s.c_custkey WHERE coalesce(s.c_acctbal, t.c_acctbal) > 5000 ORDER BY 1 LIMIT 20")
-def registry_query_whole(spark, sf_dir):
-    """Over all three loads, so over every customer."""
+    """Over all loads, so over every customer and supplier; the limit is the feature."""
     return _registry(spark, sf_dir).query("c_acctbal > 5000", 20)
 
 
@@ -409,37 +453,79 @@ def feature_stats(spark, sf_dir):
     return features.feature_stats(table(spark, sf_dir, "orders"), ["o_totalprice"]).withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
-@query(_MONEY + ", p AS (SELECT median(revenue) AS med FROM m) SELECT c_custkey, round(coalesce(revenue, med), 4) AS revenue, coalesce(industry_sector, 'unknown') AS industry_sector FROM m, p")
+def _staged(rows: DataFrame, cfg: features.FeatureConfig) -> DataFrame:
+    """Prepared rows with the columns of the fitted stages."""
+    from pyspark.ml import Pipeline
+
+    return Pipeline(stages=features.stages(rows, cfg)).fit(rows).transform(rows)
+
+
+@query(_MONEY + ", p AS (SELECT quantile_disc(revenue, 0.5) AS med FROM m) SELECT c_custkey, round(coalesce(revenue, med), 4) AS revenue, coalesce(industry_sector, 'unknown') AS industry_sector FROM m, p")
 def median_impute(spark, sf_dir):
-    rows = _money(spark, sf_dir)
-    # The exact median, for comparison; pipelines fit Imputer, whose median is approximate.
-    med = rows.agg(F.median("revenue")).first()[0]
-    return rows.select("c_custkey", F.round(F.coalesce("revenue", F.lit(med)), 4).alias("revenue"), F.coalesce("industry_sector", F.lit("unknown")).alias("industry_sector"))
+    """By the exact median here; pipelines take one within ``median_error``."""
+    cfg = features.FeatureConfig(numeric=("revenue",), categorical=("industry_sector",), derived=(), median_error=0.0)
+    got = _staged(features.prepare(_money(spark, sf_dir), cfg), cfg)
+    return got.select("c_custkey", F.round("revenue_filled", 4).alias("revenue"), "industry_sector")
 
 
-@query()
+@query("SELECT part, target, count(*) AS n FROM (SELECT CAST(toxic AS DOUBLE) AS target, ('0x' || substr(md5(doc_id || '|42|' || CAST(CAST(toxic AS DOUBLE) AS VARCHAR)), 1, 8))::UBIGINT / 4294967296.0::DOUBLE AS u, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.7::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'test' END AS part FROM labels) GROUP BY part, target")
 def stratified_split_counts(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").withColumn("target", F.col("toxic").cast("double"))
     parts = [p.withColumn("part", F.lit(n)) for n, p in zip(("train", "validation", "test"), features.split(rows, "doc_id"), strict=True)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("part", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH c AS (SELECT c_mktsegment AS v, count(*) AS n FROM customer GROUP BY 1), r AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS k FROM c) SELECT c_custkey, CAST(k AS DOUBLE) AS segment_index FROM customer JOIN r ON c_mktsegment = v")
+_INDEXED = "WITH c AS (SELECT c_mktsegment AS v, count(*) AS n FROM customer GROUP BY 1), r AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS k FROM c) "
+
+
+def _segments(spark, sf_dir, **how) -> DataFrame:
+    cfg = features.FeatureConfig(numeric=("c_acctbal",), categorical=("c_mktsegment",), derived=(), **how)
+    return _staged(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), cfg)
+
+
+@query(_INDEXED + "SELECT c_custkey, CAST(k AS DOUBLE) AS segment_index FROM customer JOIN r ON c_mktsegment = v")
 def string_index(spark, sf_dir):
-    from pyspark.ml.feature import StringIndexer
+    return _segments(spark, sf_dir, encoding="index").select("c_custkey", F.col("c_mktsegment_index").alias("segment_index"))
+
+
+@query(_INDEXED + "SELECT c_custkey, array_to_string(list_transform(range((SELECT count(*) FROM c)), lambda i: CASE WHEN i = k THEN '1' ELSE '0' END), '') AS segment_bits FROM customer JOIN r ON c_mktsegment = v")
+def one_hot(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    bits = F.transform(vector_to_array("c_mktsegment_encoded"), lambda x: x.cast("int").cast("string"))
+    return _segments(spark, sf_dir).select("c_custkey", F.array_join(bits, "").alias("segment_bits"))
+
 
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return StringIndexer(inputCol="c_mktsegment", outputCol="segment_index", handleInvalid="keep").fit(rows).transform(rows).select("c_custkey", "segment_index")
+def _scaled(spark, sf_dir, scaler: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    return _segments(spark, sf_dir, scaler=scaler).select("c_custkey", F.round(vector_to_array("scaled_features")[0], 6).alias("scaled"))
 
 
 @query("SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_samp(c_acctbal) OVER (), 6) AS scaled FROM customer")
 def standard_scale(spark, sf_dir):
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+    return _scaled(spark, sf_dir, "standard")
+
+
+@query("SELECT c_custkey, round((c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()), 6) AS scaled FROM customer")
+def minmax_scale(spark, sf_dir):
+    return _scaled(spark, sf_dir, "minmax")
+
 
-    rows = VectorAssembler(inputCols=["c_acctbal"], outputCol="v").transform(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"))
-    fitted = StandardScaler(inputCol="v", outputCol="s", withMean=True, withStd=True).fit(rows)
-    return fitted.transform(rows).select("c_custkey", F.round(vector_to_array("s")[0], 6).alias("scaled"))
+@query()
+def robust_scale(spark, sf_dir):
+    """By approximate quartiles, so without SQL."""
+    return _scaled(spark, sf_dir, "robust")
+
+
+@query("SELECT round(sum(CASE WHEN a.quality < b.quality THEN 1.0 WHEN a.quality = b.quality THEN 0.5 ELSE 0 END) / count(*), 9) AS auc_roc FROM labels a JOIN labels b ON a.toxic = 1 AND b.toxic = 0")
+def auc_of_labels(spark, sf_dir):
+    """Area under the ROC curve of low quality as a score of toxicity."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows = table(spark, sf_dir, "labels").select(F.col("toxic").cast("double").alias("target"), (1 - F.col("quality")).cast("double").alias("s"))
+    value = BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="s", numBins=0).evaluate(rows)
+    return spark.createDataFrame([(round(value, 9),)], "auc_roc double")
 
 
 def _judged(spark, sf_dir):
@@ -482,12 +568,12 @@ def keyword_risk(spark, sf_dir):
     return r.select("doc_id", F.array_join("keywords_found", ",").alias("keywords_found"), "has_adverse_media", F.round("risk_score", 9).alias("risk_score"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN false ELSE event_id % 2 = 0 END AS has_adverse_media, CASE WHEN event_id % 3 = 0 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, greatest(0.0::DOUBLE, (event_id % 5) * 0.5::DOUBLE - 0.5)) END AS risk_score FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN false ELSE event_id % 2 = 0 END AS has_adverse_media, CASE WHEN event_id % 3 = 0 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, greatest(0.0::DOUBLE, (event_id % 5) * 0.5::DOUBLE - 0.5)) END AS risk_score, CASE WHEN event_id % 3 <> 0 THEN 's' END AS summary, CASE WHEN event_id % 3 <> 0 THEN 'fraud' ELSE '' END AS keywords_found FROM events")
 def llm_reply_parse(spark, sf_dir):
     k = F.col("event_id")
     body = F.format_string('```json\n{"has_adverse_media": %s, "summary": "s", "risk_score": %s, "keywords_found": ["fraud"]}\n```', F.when(k % 2 == 0, "true").otherwise("false"), ((k % 5) * 0.5 - 0.5).cast("string"))
     got = risk.parse_reply(F.when(k % 3 == 0, "no json").otherwise(body))
-    return table(spark, sf_dir, "events").select("event_id", got.alias("g")).select("event_id", "g.has_adverse_media", "g.risk_score")
+    return table(spark, sf_dir, "events").select("event_id", got.alias("g")).select("event_id", "g.has_adverse_media", "g.risk_score", "g.summary", F.coalesce(F.array_join("g.keywords_found", ","), F.lit("")).alias("keywords_found"))
 
 
 @query("SELECT c_custkey AS corporate_id, CASE WHEN o.n > 0 THEN true END AS has_adverse_media FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1) o ON c_custkey = o_custkey")
@@ -520,7 +606,7 @@ def top_by_segment(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey", r.cast("long").alias("rnk")).where("rnk <= 3")
 
 
-@query()
+@query(_MERGED[1:-1])
 def incremental_upsert(spark, sf_dir):
     """Files of customers as a stream, each micro-batch merged into a registry."""
     from ledgerloom.streaming.incremental import upsert_stream

@@ -1,14 +1,18 @@
-"""A versioned table: immutable snapshot folders of Parquet, and manifests that name them.
+"""A versioned table: immutable Parquet files, a list of files for each snapshot, and manifests that name the snapshots.
 
-A commit writes a data folder, then creates the next manifest with exclusive create; of two writers one
-loses, reads again and retries. All file work goes through Hadoop's file system, so any store that
-Spark reads will do. Readers get plain Parquet: pushdown and pruning stay intact.
+A commit adds files and drops others from the list: an append writes its rows only; a merge and an update rewrite
+the files that hold a matched key, found by a join of the keys with the table's key column; the other files
+stay as they are. It then creates the next manifest with exclusive create; of two writers one loses, reads again
+and retries. All file work goes through Hadoop's file system, so any store that Spark reads will do. Readers get
+plain Parquet: pushdown and pruning stay intact.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import time
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -16,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.plans.scratch import settle
+
 _S, _A, _TS = T.StringType(), T.ArrayType(T.StringType()), T.TimestampType()
 REGISTRY = T.StructType(
     [T.StructField("corporate_id", _S, False)]
@@ -29,6 +35,11 @@ REGISTRY = T.StructType(
 RISK_COLUMNS = ("adverse_media_summary", "adverse_media_last_checked", "risk_score", "has_adverse_media", "keywords_found")
 
 
+def _name_of(path: str) -> str:
+    """What names a file within the table: its place below the data folder."""
+    return path.rsplit("/data/", 1)[-1]
+
+
 class Conflict(RuntimeError):
     """Another writer made the manifest first, time after time."""
 
@@ -91,15 +102,20 @@ class Registry:
         parent = self.path.rsplit("/", 1)[0]
         return sorted(s.getPath().getName() for s in self._listed(parent) if self._listed(f"{s.getPath()}/metadata"))
 
-    def _write(self, df: DataFrame, snapshot: int) -> list[dict]:
-        target = f"{self.path}/data/{snapshot}"
+    def _read_files(self, entries: list[dict]) -> DataFrame:
+        if not entries:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[e["path"] for e in entries])
+
+    def _write(self, df: DataFrame, target: str, buckets: int | None = None) -> list[dict]:
+        """Writes rows to a new folder, ``buckets`` files a day; returns its files with their bytes and rows."""
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
-        writer = out
+        deal = F.pmod(F.xxhash64(self.key), F.lit(buckets or max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))))
         if self.day:
-            writer = out.withColumn("_day", F.to_date(self.day)).repartition("_day", F.pmod(F.xxhash64(self.key), F.lit(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))))).sortWithinPartitions("_day", self.key)
-            writer.write.partitionBy("_day").parquet(target)
+            out = out.withColumn("_day", F.to_date(self.day)).repartition("_day", deal).sortWithinPartitions("_day", self.key)
+            out.write.partitionBy("_day").parquet(target)
         else:
-            writer.sortWithinPartitions(self.key).write.parquet(target)
+            (out.repartition(buckets, self.key) if buckets else out).sortWithinPartitions(self.key).write.parquet(target)
         found, folders = [], [target]
         while folders:
             for s in self._listed(folders.pop()):
@@ -107,25 +123,53 @@ class Registry:
                     folders.append(str(s.getPath()))
                 elif s.getPath().getName().endswith(".parquet"):
                     found.append({"path": str(s.getPath()), "bytes": int(s.getLen())})
-        return sorted(found, key=lambda f: f["path"])
-
-    def commit(self, build: Callable[[DataFrame | None], DataFrame], operation: str, attempts: int = 5) -> int:
-        """Write what ``build`` makes of the current rows; after a lost race build again on the winner's."""
+        if not found:
+            return []
+        counts = self._placed(self._read_files(found))
+        return sorted(({**f, "rows": counts.get(_name_of(f["path"]), 0)} for f in found), key=lambda f: f["path"])
+
+    def _placed(self, rows: DataFrame) -> dict[str, int]:
+        """By file, how many of the rows; a file is a row here, so the driver gets as many as the table has files."""
+        name = F.regexp_extract("_metadata.file_path", "/data/([^?]*)$", 1)
+        return {r["f"]: r["n"] for r in rows.groupBy(name.alias("f")).agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+
+    def _touched(self, entries: list[dict], source: DataFrame) -> tuple[list[dict], list[dict]]:
+        """Files that hold a key of ``source``, and the others."""
+        if not entries:
+            return [], []
+        name = F.regexp_extract("_metadata.file_path", "/data/([^?]*)$", 1)
+        here = self._read_files(entries).select(F.col(self.key).alias("_key"), name.alias("f"))
+        hit = {r["f"] for r in here.join(source.select(F.col(self.key).alias("_key")), "_key", "left_semi").select("f").distinct().toLocalIterator()}
+        return [e for e in entries if _name_of(e["path"]) in hit], [e for e in entries if _name_of(e["path"]) not in hit]
+
+    def entries(self, snapshot: dict) -> list[dict]:
+        """Path, bytes and rows of each file of a snapshot."""
+        return json.loads(self._read(f"{self.path}/metadata/files-{snapshot['list']}.json"))
+
+    def _commit(self, change: Callable[[list[dict]], tuple[list[dict], DataFrame | None, int | None]], operation: str, attempts: int = 5) -> int:
+        """``change`` gets the current files and gives those that stay, the rows to write, and files a day; after a lost race it is asked again."""
         self.create_if_missing()
         for _ in range(attempts):
             seen = self.manifest()
             now = seen["snapshots"][-1] if seen["snapshots"] else None
             at = max(self.clock(), (now["committed_at"] + 1e-3) if now else 0)
             snapshot = max(int(at * 1000), (now["snapshot_id"] + 1) if now else 0)
-            files = self._write(build(self.at() if now else None), snapshot)
-            count = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{snapshot}").count() if files else 0
-            entry = {"snapshot_id": snapshot, "parent_id": now["snapshot_id"] if now else None, "committed_at": at, "operation": operation, "record_count": count, "files": files}
+            own = f"{snapshot}-{uuid.uuid4().hex[:12]}"
+            kept, rows, buckets = change(self.entries(now) if now else [])
+            files = [*kept, *(self._write(rows, f"{self.path}/data/{own}", buckets) if rows is not None else [])]
+            self._create(f"{self.path}/metadata/files-{own}.json", json.dumps(files))
+            entry = {"snapshot_id": snapshot, "parent_id": now["snapshot_id"] if now else None, "committed_at": at, "operation": operation, "record_count": sum(f["rows"] for f in files), "file_count": len(files), "bytes": sum(f["bytes"] for f in files), "list": own}
             text = json.dumps({"version": seen["version"] + 1, "snapshots": [*seen["snapshots"], entry]})
             if self._create(f"{self.path}/metadata/v{seen['version'] + 1}.json", text):
                 return snapshot
-            self._drop(f"{self.path}/data/{snapshot}")
+            self._drop(f"{self.path}/data/{own}")
+            self._drop(f"{self.path}/metadata/files-{own}.json")
         raise Conflict(f"{attempts} commits to {self.path} lost against other writers")
 
+    def commit(self, build: Callable[[DataFrame | None], DataFrame], operation: str, attempts: int = 5) -> int:
+        """Write what ``build`` makes of all current rows; after a lost race build again on the winner's."""
+        return self._commit(lambda files: ([], build(self._read_files(files) if files else None), None), operation, attempts)
+
     def _drop(self, path: str) -> None:
         fs, p = self._fs(path)
         fs.delete(p, True)
@@ -140,10 +184,7 @@ class Registry:
             shots = [s for s in shots if s["committed_at"] <= t]
         if not shots:
             raise ValueError("no such snapshot")
-        if not shots[-1]["files"]:
-            return self.spark.createDataFrame([], self.schema)
-        read = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/{shots[-1]['snapshot_id']}")
-        return read.select(*self.schema.names)
+        return self._read_files(self.entries(shots[-1])).select(*self.schema.names)
 
     def time_travel(self, snapshot_id: int | None = None, timestamp=None) -> DataFrame:
         if snapshot_id is None and timestamp is None:
@@ -157,8 +198,9 @@ class Registry:
         return df.orderBy(self.key).limit(limit) if limit else df
 
     def append(self, df: DataFrame) -> int:
+        """Adds the rows in files of their own; what is there is not read."""
         stamped = self._stamped(df)
-        return self.commit(lambda now: stamped if now is None else now.unionByName(stamped), "append")
+        return self._commit(lambda files: (files, stamped, None), "append")
 
     def _stamped(self, df: DataFrame) -> DataFrame:
         now = F.lit(datetime.fromtimestamp(self.clock(), timezone.utc).replace(tzinfo=None).isoformat(" ")).cast("timestamp")
@@ -167,17 +209,42 @@ class Registry:
 
     def upsert(self, df: DataFrame) -> int:
         """Merge by key: values of the source where not null, else those there; new keys are inserted whole."""
-        source = self._stamped(df)
+        source = settle(self._stamped(df))
         if not source.groupBy(self.key).count().where("count > 1").isEmpty():
             raise ValueError(f"several source rows share a {self.key}")
-        return self.commit(lambda now: source if now is None else merge(now, source, self.key, self.schema.names), "merge")
+
+        def change(files: list[dict]):
+            touched, kept = self._touched(files, source)
+            return kept, merge(self._read_files(touched), source, self.key, self.schema.names) if touched else source, None
+
+        return self._commit(change, "merge")
 
     def update_matched(self, df: DataFrame, columns=RISK_COLUMNS) -> int:
         """Only rows whose key is there; the given columns take the source's values."""
-        return self.commit(lambda now: update_only(now, self._stamped(df), self.key, self.schema.names, columns), "update")
+        source = settle(self._stamped(df))
+
+        def change(files: list[dict]):
+            touched, kept = self._touched(files, source)
+            return kept, update_only(self._read_files(touched), source, self.key, self.schema.names, columns) if touched else None, None
+
+        return self._commit(change, "update")
+
+    def compact(self, target_bytes: int = 128 << 20) -> int:
+        """Rewrites the files under half of ``target_bytes`` into files of about that size, day by day."""
+
+        def change(files: list[dict]):
+            small = [f for f in files if 2 * f["bytes"] < target_bytes]
+            by_day: dict[str, list[dict]] = {}
+            for f in small:
+                by_day.setdefault(f["path"].split("/_day=")[-1].split("/")[0] if self.day else "", []).append(f)
+            wanted = [f for own in by_day.values() if len(own) > 1 for f in own]
+            if not wanted:
+                return files, None, None
+            names = {f["path"] for f in wanted}
+            most = max(sum(f["bytes"] for f in own) for own in by_day.values() if len(own) > 1)
+            return [f for f in files if f["path"] not in names], self._read_files(wanted), math.ceil(most / target_bytes)
 
-    def compact(self, files: int = 1) -> int:
-        return self.commit(lambda now: now.coalesce(files) if self.day is None else now, "replace")
+        return self._commit(change, "replace")
 
     def expire(self, older_than_days: float = 7.0) -> int:
         """Forget snapshots older than that, never the current one, and delete their files; returns how many."""
@@ -188,24 +255,27 @@ class Registry:
             kept = [s for s in seen["snapshots"] if s not in old]
             if not self._create(f"{self.path}/metadata/v{seen['version'] + 1}.json", json.dumps({"version": seen["version"] + 1, "snapshots": kept})):
                 raise Conflict("the table changed meanwhile")
+            held = {f["path"] for s in kept for f in self.entries(s)}
+            for path in {f["path"] for s in old for f in self.entries(s)} - held:
+                self._drop(path)
             for s in old:
-                self._drop(f"{self.path}/data/{s['snapshot_id']}")
+                self._drop(f"{self.path}/metadata/files-{s['list']}.json")
         return len(old)
 
     def snapshots(self) -> DataFrame:
-        rows = [(s["snapshot_id"], s["parent_id"], datetime.fromtimestamp(s["committed_at"], timezone.utc), s["operation"], s["record_count"], len(s["files"])) for s in self.manifest()["snapshots"]]
+        rows = [(s["snapshot_id"], s["parent_id"], datetime.fromtimestamp(s["committed_at"], timezone.utc), s["operation"], s["record_count"], s["file_count"]) for s in self.manifest()["snapshots"]]
         return self.spark.createDataFrame(rows, "snapshot_id long, parent_id long, committed_at timestamp, operation string, record_count long, file_count int")
 
     def files(self) -> DataFrame:
         shots = self.manifest()["snapshots"]
-        rows = [(f["path"], f["bytes"]) for f in (shots[-1]["files"] if shots else [])]
+        rows = [(f["path"], f["bytes"]) for f in (self.entries(shots[-1]) if shots else [])]
         return self.spark.createDataFrame(rows, "path string, bytes long")
 
     def statistics(self) -> dict:
         shots = self.manifest()["snapshots"]
-        last = shots[-1] if shots else {"record_count": 0, "files": [], "snapshot_id": None}
+        last = shots[-1] if shots else {"record_count": 0, "file_count": 0, "bytes": 0, "snapshot_id": None}
         latest = [s["snapshot_id"] for s in sorted(shots, key=lambda s: -s["committed_at"])[:5]]
-        return {"row_count": last["record_count"], "snapshot_count": len(shots), "latest_snapshots": latest, "latest_snapshot": last["snapshot_id"], "file_count": len(last["files"]), "total_size_mb": sum(f["bytes"] for f in last["files"]) / 1e6}
+        return {"row_count": last["record_count"], "snapshot_count": len(shots), "latest_snapshots": latest, "latest_snapshot": last["snapshot_id"], "file_count": last["file_count"], "total_size_mb": last["bytes"] / 1e6}
 
 
 def merge(target: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:

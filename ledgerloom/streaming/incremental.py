@@ -12,21 +12,34 @@ from ledgerloom.sources.registry import Registry
 
 
 def newest_by_key(batch: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """One row per key: the greatest by ``order``, or by all columns; a merge allows no more."""
-    rank = F.struct(*([F.col(order)] if order else []), F.xxhash64(*[F.col(f"`{c}`") for c in batch.columns]))
-    return batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in batch.columns]), rank).alias("r")).select("r.*")
+    """One row per key, as merging the rows one after another would leave it: of each column the last value that is not null.
+
+    Rows follow each other by ``order``; equal ones by their content, so the result does not depend on partitions.
+    """
+    names = [c for c in batch.columns if c not in (key, order)]
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns]))
+    rank = F.struct(*([F.col(f"`{order}`")] if order else []), text)
+    last = lambda c: F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), rank)).alias(c)
+    found = batch.groupBy(F.col(f"`{key}`").alias(key)).agg(*[last(c) for c in names], *([F.max(f"`{order}`").alias(order)] if order and order != key else []))
+    return found.select(*[F.col(f"`{c}`") for c in batch.columns])
 
 
 def upsert_stream(spark: SparkSession, path: str, schema: T.StructType, registry: Registry, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, order: str | None = None, files_per_batch: int = 1000, format: str = "parquet") -> None:
     """Merge all files that are there and not yet merged, then stop.
 
-    A batch that runs again after a failure merges the same rows, which changes nothing.
+    Rows of one key follow each other by ``order``, by default by their files' times, so a later load wins and its
+    nulls keep what earlier ones said. A batch that runs again after a failure merges the same rows, which changes nothing.
     """
+    mark = order or "_file_time"
 
     def apply(batch: DataFrame, _: int) -> None:
         rows = transform(batch) if transform else batch
+        if mark not in rows.columns:  # a transformation that leaves the files' times out
+            rows = rows.withColumn(mark, F.lit(None).cast("timestamp"))
         if not rows.isEmpty():
-            registry.upsert(newest_by_key(rows, registry.key, order))
+            newest = newest_by_key(rows, registry.key, mark)
+            registry.upsert(newest if order else newest.drop(mark))
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(format).load(path)
+    stream = stream if order else stream.select("*", F.col("_metadata.file_modification_time").alias(mark))
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

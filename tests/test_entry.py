@@ -59,7 +59,7 @@ def test_components_of_all_edges_equal_union_find(spark, tmp_path):
     for p, s, *_ in rows:
         a, b = sorted((root(p), root(s + 1000000)))
         parent[b] = a
-    got = {r["node"]: r["component"] for r in entry.queries()["graph_components_whole"](spark, str(tmp_path)).collect()}
+    got = {r["node"]: r["component"] for r in entry.queries()["graph_components"](spark, str(tmp_path)).collect()}
     assert got == {x: root(x) for x in list(parent)}
     assert len(set(got.values())) > 2
 
@@ -72,11 +72,19 @@ def test_cleaning_reads_whole_texts(spark, tmp_path):
         bare = re.sub(r"\b(inc|corp|ltd|llc|plc|co|company|limited)\b", "", (t or "").lower())
         return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9\s]", "", bare)).strip(" ")
 
-    got = {r["doc_id"]: r["text_clean"] for r in entry.queries()["text_cleaning_whole"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["text_clean"] for r in entry.queries()["text_cleaning"](spark, str(tmp_path)).collect()}
     assert got == {k: plain(t) for k, t in enumerate(texts)}
     assert got[0] == "acme and the other of zrich" and got[1] == "one two three four five six"
 
 
-def test_registry_query_reaches_every_customer(spark):
-    rows = entry.queries()["registry_query_whole"](spark, SMALL).collect()
-    assert {r["c_custkey"] % 3 for r in rows} == {0, 1, 2} and len(rows) == 20
+def test_registry_query_reaches_customers_and_suppliers(spark):
+    rows = entry.queries()["registry_query"](spark, SMALL).collect()
+    assert len(rows) == 20 and min(r["c_custkey"] for r in rows) < 0 < max(r["c_custkey"] for r in rows)
+
+
+def test_robust_scale_centres_on_no_median(spark):
+    rows = entry.queries()["robust_scale"](spark, SMALL).collect()
+    plain = {r["c_custkey"]: r["c_acctbal"] for r in spark.read.parquet(f"{SMALL}/customer.parquet").collect()}
+    values = sorted(plain.values())
+    spread = values[3 * len(values) // 4] - values[len(values) // 4]
+    assert all(abs(r["scaled"] * spread - plain[r["c_custkey"]]) < 0.05 * max(1, abs(plain[r["c_custkey"]])) for r in rows)

@@ -168,3 +168,16 @@ def test_pruning_loses_no_match_and_all_matches_are_found(spark):
     for x, c in brute([*found, *[(r[0], r[0]) for r in p1.select("temp_id_S1").union(p2.select("temp_id_S2")).collect()]]).items():
         want[c].add(x)
     assert Counter(map(frozenset, groups.values())) == Counter(map(frozenset, want.values()))
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.75, 0.3])
+def test_equi_joins_lose_no_match(spark, threshold):
+    rng = random.Random(4)
+    names = ["acme one", "acme two", "acme onne", "acme", "bolt", "bolt co", "", None]
+    row = lambda k: (k, rng.choice(names), rng.choice(["x street 1", "y road 2", "", None]), rng.choice(["de", "fr", None]), rng.choice(["1", "2", None]))
+    one = spark.createDataFrame([row(k) for k in range(60)], "k long, corporate_name_S1 string, address string, country string, postal_code string")
+    two = spark.createDataFrame([row(k) for k in range(60)], "k long, corporate_name_S2 string, address string, country string, postal_code string")
+    a, b = resolve.prepare(one, "S1", F.col("k")), resolve.prepare(two, "S2", F.col("k"))
+    cfg = resolve.MatchConfig(threshold=threshold)
+    found = lambda pairs: sorted(tuple(r) for r in resolve.apply_threshold(resolve.score_pairs(pairs, cfg, prune=False), cfg).collect())
+    assert found(resolve.matching_candidates(a, b, cfg)) == found(resolve.candidate_pairs(a, b))

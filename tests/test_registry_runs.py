@@ -99,6 +99,41 @@ def test_a_lost_race_builds_on_the_winner(spark, tmp_path):
         reg.commit(lambda now: (other.compact(), now)[1], "replace", attempts=2)
 
 
+def test_commits_touch_only_the_files_they_must(spark, tmp_path):
+    reg = Registry(spark, f"{tmp_path}/db/t", SMALL, "k", None)
+    part = lambda lo, hi: spark.range(lo, hi).selectExpr("id as k", "'x' as a", "cast(id as double) as b").coalesce(1)
+    for k in range(4):
+        reg.append(part(100 * k, 100 * k + 100))
+    files = lambda: {r["path"] for r in reg.files().collect()}
+    first = files()
+    assert len(first) == 4 and reg.statistics()["row_count"] == 400
+    reg.upsert(spark.createDataFrame([(205, "new", None), (900, "born", 1.0)], "k long, a string, b double"))
+    assert len(first - files()) == 1 and rows(reg.at())[205] == ("new", 205.0) and rows(reg.at())[900] == ("born", 1.0)
+    second = files()
+    reg.update_matched(spark.createDataFrame([(7, "seen", 9.0), (901, "no", 1.0)], "k long, a string, b double"), ("a",))
+    assert len(second - files()) == 1 and rows(reg.at())[7] == ("seen", 7.0) and 901 not in rows(reg.at())
+    third, before = files(), rows(reg.at())
+    reg.update_matched(spark.createDataFrame([(902, "no", 1.0)], "k long, a string, b double"), ("a",))
+    assert files() == third and len(before) == 401 == reg.statistics()["row_count"]
+    reg.compact(1 << 20)
+    assert len(files()) == 1 and rows(reg.at()) == before
+    reg.append(part(2000, 2010))
+    kept = files()
+    reg.compact(reg.statistics()["total_size_mb"] * 1e-3)  # nothing is that small
+    assert files() == kept
+    assert reg.expire(0) == 9 and rows(reg.at()).keys() == before.keys() | set(range(2000, 2010))
+    assert rows(reg.time_travel(reg.manifest()["snapshots"][0]["snapshot_id"])) == rows(reg.at())
+
+
+def test_compaction_of_a_table_parted_by_day(spark, tmp_path):
+    reg = table(spark, tmp_path)
+    for k in range(3):
+        reg.append(spark.createDataFrame([(10 * k + j, "x", 1.0) for j in range(6)], "k long, a string, b double"))
+    many, before = reg.statistics()["file_count"], rows(reg.at())
+    reg.compact()
+    assert many > 1 and reg.statistics()["file_count"] == 1 and rows(reg.at()) == before
+
+
 def test_config_is_typed(tmp_path):
     (tmp_path / "c.yaml").write_text("a: ${X:-false}\nb: ${Y}\nc: ['${Z:-3}', '${W:-0.5}']\nd: plain\n")
     assert config.load_config(str(tmp_path / "c.yaml"), {"Y": "true"}) == {"a": False, "b": True, "c": [3, 0.5], "d": "plain"}
@@ -200,7 +235,7 @@ def test_runs_end_to_end(spark, tmp_path):
     assert first.success, first.error
     assert reg.at().columns == REGISTRY.names and first.counts["row_count"] == 40
     again = run.run(run_adverse_media=False)
-    assert again.success and again.counts["row_count"] == 40 and reg.at().where("has_adverse_media is not null").count() == 20
+    assert again.success and again.counts["row_count"] == 40 and reg.at().where("has_adverse_media is not null").count() == 40 and first.counts["adverse_entities"] == 0
     assert IngestionPipeline(spark, IngestionConfig(cfg.source1, cfg.source2, [Rule("address", "min_length", 99)]), reg).run().stage == "data_quality"
     ml = MLPipeline(spark, MLConfig(training=training.TrainConfig(params={"maxIter": 5}), split=(0.6, 0.1, 0.3), auto_promote=True, require_approval=False), reg, Tracker(f"{tmp_path}/track"))
     out = ml.run()
@@ -234,6 +269,47 @@ def test_tracker_versions(spark, tmp_path):
     assert t.compare_models(spark, ids).where("name = 'accuracy'").count() == 2
 
 
+def test_later_files_win_and_their_nulls_keep(spark, tmp_path):
+    import os
+
+    reg = Registry(spark, f"{tmp_path}/db/s", SMALL, "k", None)
+    kind = T.StructType(SMALL.fields[:3])
+    loads = [[(1, "z", 1.0), (2, "b", 2.0)], [(1, "a", None), (3, None, 3.0)], [(2, None, 0.5)]]
+    for k, own in enumerate(loads):
+        spark.createDataFrame(own, kind).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        for f in os.listdir(f"{tmp_path}/in/{k}"):
+            os.utime(f"{tmp_path}/in/{k}/{f}", (1_600_000_000 + 60 * k,) * 2)
+    upsert_stream(spark, f"{tmp_path}/in/*", kind, reg, f"{tmp_path}/cp")
+    assert rows(reg.at()) == {1: ("a", 1.0), 2: ("b", 0.5), 3: (None, 3.0)}
+
+
+@pytest.mark.parametrize("scaler", ["minmax", "robust"])
+@pytest.mark.parametrize("algorithm, params", [("random_forest", {"numTrees": 3}), ("gbt", {"maxIter": 2})])
+def test_forests_and_scalers(spark, scaler, algorithm, params):
+    cfg = features.FeatureConfig(scaler=scaler)
+    ready = features.prepare(ml_rows(spark), cfg)
+    model, _ = training.train(features.stages(ready, cfg), ready, training.TrainConfig(algorithm, params))
+    got = training.evaluate(model, ready)
+    assert 0.5 <= got["areaUnderROC"] <= 1 and 0 <= got["areaUnderPR"] <= 1
+    assert sum(w for _, w in training.feature_importance(model)) == pytest.approx(1)
+    assert training.check_gates(got, {"min_auc_roc": 0.4, "min_auc_pr": 0.0})[0]
+    with pytest.raises(KeyError):
+        training.check_gates(got, {"min_nothing": 0})
+
+
+@pytest.mark.parametrize("validated", [False, True])
+def test_tuning(spark, validated):
+    ready = features.prepare(ml_rows(spark), features.FeatureConfig())
+    cfg = training.TrainConfig(params={"maxIter": 2}, grid={"regParam": [0.0, 0.5]}, folds=2)
+    model, _ = training.train(features.stages(ready), ready, cfg, ready if validated else None)
+    assert training.evaluate(model, ready)["accuracy"] > 0
+
+
+def test_validation_of_features(spark):
+    ready = features.prepare(ml_rows(spark), features.FeatureConfig())
+    assert features.validate_features(ready) and not features.validate_features(ready.drop("target")) and not features.validate_features(ready.where("target = 1"))
+
+
 def test_stream_merges_new_files_once(spark, tmp_path):
     reg = Registry(spark, f"{tmp_path}/db/s", SMALL, "k", None)
     kind = T.StructType(SMALL.fields[:3])
