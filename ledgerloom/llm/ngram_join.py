@@ -483,8 +483,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = _named(found)
     far = _link_counts(found, width, num, den)
     near = found.rows.where("n > 0").groupBy("sid").agg((F.count(F.lit(1)) - 1).alias("near"))
-    links_of = near.join(far, "sid", "left").select("sid", (F.col("near") + F.coalesce("far", F.lit(0))).alias("n_links"))
-    least = named.where("n > 0").groupBy("c").agg(F.min("id").alias("least"))
+    # Written first: a join with an aggregate of the same stage cannot be split where one group is large.
+    links_of = settle(near.join(far, "sid", "left").select("sid", (F.col("near") + F.coalesce("far", F.lit(0))).alias("n_links")))
+    least = settle(named.where("n > 0").groupBy("c").agg(F.min("id").alias("least")))
     members = named.where("n > 0").join(least, "c").select("id", "n", "sid", "least").union(named.where("n = 0").select("id", "n", "sid", "id"))
     members = members.join(links_of, "sid", "left")
     return members.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
