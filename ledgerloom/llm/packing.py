@@ -12,8 +12,8 @@ beside j and i is the longest that fits; and where i, the longest that fits, is
 any two that fit together. It goes on past pieces that no rule fixes, and repeats until none applies.
 
 Defined cases: a null text is empty; an empty document is its end token alone; a document longer than
-the capacity is cut into pieces of it; ties in length are dealt in partition order; an empty table
-gives an empty result. Texts are read whole.
+the capacity is cut into pieces of it; ties in length are dealt in partition order; rows that repeat are packed each; a null
+id gives rows like any other; an empty table gives an empty result. Texts are read whole; only the id and the text are read.
 """
 
 from __future__ import annotations

@@ -23,6 +23,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.words import Rows, mix
@@ -283,16 +284,17 @@ def _added(docs: DataFrame, more: dict[str, T.DataType], values, n_rows: int = 2
     """
     taken = {c.lower() for c in more}
     names = [c for c in docs.columns if c.lower() not in taken]
-    kept = docs.select(*[f"`{c}`" for c in names])
-    schema = T.StructType([*kept.schema, *[T.StructField(c, kind) for c, kind in more.items()]])
+    # Plain names on the way: a name with a dot in it does not get into mapInArrow.
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
+    schema = T.StructType([*kept.schema, *[T.StructField(f"n{k}", kind) for k, kind in enumerate(more.values())]])
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, n_rows):
-                part = b.slice(at, n_rows)
-                yield pa.record_batch([*part.columns, *values(part)], names=[*names, *more])
+                part = pa.record_batch(b.slice(at, n_rows).columns, names=names)
+                yield pa.record_batch([*part.columns, *values(part)], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema).toDF(*names, *more)
 
 
 def _ids(path: str, seed: int, id_col: str, text_col: str, part: pa.RecordBatch) -> list[np.ndarray | None]:

@@ -8,7 +8,8 @@ covers leave, and the next rule grows. The list becomes one ordered CASE express
 
 Defined cases: a null text has no words and fails the base rule. Ties between thresholds go to the
 first feature and least cut. With no label, or none of one class, the list is empty and the base
-rule decides alone. Rows that repeat repeat their result; texts are read whole; extra columns are not read.
+rule decides alone; an empty table gives an empty result. Rows that repeat repeat their result; a null id is measured and not
+learned from; texts are read whole; extra columns are not read.
 """
 
 from __future__ import annotations
