@@ -1,7 +1,10 @@
 """From documents to training sequences: language, exact copies, near copies, personal data, packing.
 
 Each stage works on all that its predecessor kept; ``run`` writes each result to the shared folder and
-reads it again. All stages but the last return the columns of documents.
+reads it again. All stages but the last return the columns of documents, further ones included, whatever their names.
+
+Defined cases are those of the operators: a null or wordless text has no language and goes in the first stage; of rows
+equal in text one stays, so rows that repeat end with the second; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import exact_dedup, langid, ngram_join, packing, pii
+from ledgerloom.llm.words import free_name
 from ledgerloom.plans.scratch import settle
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language models reject go: those without a letter, or unlike every language."""
     model = langid.train(docs, F.when(langid.learns(), F.col("lang")))
-    judged = langid.identify(docs, model, out="_lm")
-    return judged.where(~F.col("_lm.rejected")).select(*docs.columns)
+    judged = langid.identify(docs, model, out=(own := free_name(docs.columns, "_lm")))
+    return judged.where(~F.col(f"{own}.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +37,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span found is replaced by its kind; ``n_chars`` follows the new text."""
-    clean = pii.redacted(docs, pii.train(docs)).withColumn("n_chars", F.length("text").cast("long"))
-    return clean.select(*docs.columns)
+    clean = pii.redacted(docs, pii.train(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast("long"))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
