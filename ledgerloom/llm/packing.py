@@ -42,7 +42,7 @@ from ledgerloom.plans.scratch import settle
 CAPACITY = 2048
 END = 0
 #: Bytes that a worker process remembers at most, each chunk counted with its entry.
-_MEMO_BYTES = 192 << 20
+_MEMO_BYTES = 64 << 20
 _ENTRY = 150
 _BATCH_CHARS = 1 << 20
 _JOINT = re.compile("(?<=[a-z])(?=[.,;:!?])")
