@@ -23,9 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return set_dir.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
+def sweep(spark: SparkSession) -> int:
+    """Deletes the tables that ``settle`` has written so far in this process; call it once results are written or collected."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+
+
 def settle(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses neither recompute nor recurse."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/ledgerloom/{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
+    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -321,3 +321,11 @@ def test_stream_merges_new_files_once(spark, tmp_path):
     go()
     go()
     assert rows(reg.at()) == {1: ("y", 2.0), 2: ("z", 3.0)} and reg.statistics()["snapshot_count"] == 2
+
+
+def test_settled_tables_can_be_swept(spark, monkeypatch):
+    from ledgerloom.plans import scratch
+
+    monkeypatch.setattr(scratch, "_MADE", [])
+    df = scratch.settle(spark.range(5))
+    assert df.count() == 5 and scratch.sweep(spark) == 1 and scratch.sweep(spark) == 0
