@@ -23,7 +23,7 @@ from ledgerloom.operators import features, resolve, risk, training
 from ledgerloom.operators.components import connected_components
 from ledgerloom.operators.quality import Rule, decision, report
 from ledgerloom.plans.scratch import settle, shared_dir
-from ledgerloom.sources.loader import FINANCIALS, add_metadata, reconcile
+from ledgerloom.sources.loader import FINANCIALS, SourceConfig, add_metadata, check_min_records, load_source, reconcile, schema_diff
 from ledgerloom.sources.registry import Registry, merge, update_only
 
 QUERIES: dict = {}
@@ -617,3 +617,159 @@ def incremental_upsert(spark, sf_dir):
     reg = Registry(spark, f"{place}/registry/customers", CUSTOMER, "c_custkey", None)
     upsert_stream(spark, f"{place}/in/*", CUSTOMER, reg, f"{place}/checkpoint")
     return reg.at()
+
+
+_FORMATS = ("csv", "json", "orc", "parquet")
+
+
+def _supplier_files(spark, sf_dir, kind: str) -> str:
+    """Suppliers as raw files of a format, lists as text and an extra column with them."""
+    place = f"{shared_dir(spark)}/ledgerloom/files-{uuid.uuid4().hex}"
+    lists = F.concat(F.lit('["'), "s_name", F.lit('","b, c"]'))
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("corporate_name_S2"), lists.alias("main_customers"), F.col("s_acctbal").cast("string").alias("revenue"), F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("postal_code"), F.lit("2021").alias("fiscal_year"), F.lit("x").alias("extra"))
+    rows.write.format(kind).options(**({"header": "true", "escape": '"'} if kind == "csv" else {})).save(place)
+    return place
+
+
+@query("SELECT f AS format, s_name AS corporate_name_S2, s_name || '#b, c' AS main_customers, s_acctbal AS revenue, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS postal_code, CAST(2021 AS INT) AS fiscal_year, CAST(NULL AS VARCHAR) AS country, f || ' files' AS _source_system, true AS stamped FROM supplier, (SELECT unnest(['csv', 'json', 'orc', 'parquet']) AS f)")
+def load_formats(spark, sf_dir):
+    """Raw files of four formats through the loader: casts, lists from text, leading zeros, missing and extra columns, metadata."""
+    loaded = None
+    for kind in _FORMATS:
+        cfg = SourceConfig(_supplier_files(spark, sf_dir, kind), kind, name=f"{kind} files", min_records=1)
+        got = load_source(spark, cfg, FINANCIALS).select(F.lit(kind).alias("format"), "corporate_name_S2", F.array_join("main_customers", "#").alias("main_customers"), "revenue", "postal_code", "fiscal_year", "country", "_source_system", F.col("_load_timestamp").isNotNull().alias("stamped"))
+        loaded = got if loaded is None else loaded.unionByName(got)
+    return loaded
+
+
+@query("SELECT least, n >= least AS enough FROM (SELECT count(*) AS n FROM region), (SELECT unnest([0, 1, 5, 6, 100]) AS least)")
+def minimum_records(spark, sf_dir):
+    """Which least numbers of rows the loader accepts for the regions."""
+    rows, out = table(spark, sf_dir, "region"), []
+    for least in (0, 1, 5, 6, 100):
+        try:
+            check_min_records(rows, least)
+            out.append((least, True))
+        except ValueError:
+            out.append((least, False))
+    return spark.createDataFrame(out, "least int, enough boolean")
+
+
+@query("SELECT column_name AS name, 'missing' AS how FROM (DESCRIBE customer) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE documents)) UNION ALL SELECT column_name, 'extra' FROM (DESCRIBE documents) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE customer))")
+def schema_difference(spark, sf_dir):
+    missing, extra = schema_diff(table(spark, sf_dir, "documents").schema, table(spark, sf_dir, "customer").schema)
+    return spark.createDataFrame([(n, "missing") for n in sorted(missing)] + [(n, "extra") for n in sorted(extra)], "name string, how string")
+
+
+@query("SELECT unnest(['customers', 'others']) AS name, true AS there UNION ALL SELECT 'none', false")
+def catalog_tables(spark, sf_dir):
+    """Tables beside each other: listing, creation, and whether a table is there."""
+    reg = _registry(spark, sf_dir, 1)
+    beside = lambda name: Registry(spark, f"{reg.path.rsplit('/', 1)[0]}/{name}", CUSTOMER, "c_custkey", None)
+    beside("others").create_if_missing()
+    return spark.createDataFrame([(n, beside(n).exists()) for n in [*reg.tables(), "none"]], "name string, there boolean")
+
+
+@query(f"SELECT * FROM {_LOADS[0]} UNION ALL SELECT * FROM {_LOADS[1]}")
+def append_rows(spark, sf_dir):
+    """An append keeps what is there, rows of equal keys too."""
+    reg = _registry(spark, sf_dir, 1)
+    reg.append(_load(spark, sf_dir, 1))
+    return reg.at()
+
+
+@query(f"SELECT count(*) AS rows, true AS listed FROM {_ALL}")
+def snapshot_files(spark, sf_dir):
+    """The rows in the files that the table lists for its current snapshot."""
+    reg = _registry(spark, sf_dir)
+    files = [r for r in reg.files().toLocalIterator()]
+    return spark.read.schema(CUSTOMER).parquet(*[r["path"] for r in files]).agg(F.count(F.lit(1)).alias("rows"), F.lit(all(r["bytes"] > 0 for r in files)).alias("listed"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM " + _ALL + " WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 50")
+def service_query(spark, sf_dir):
+    """The service's answer to a query with a limit, null fields left out of its records and back again here."""
+    from ledgerloom.plans.service import Service
+
+    status, body = Service(spark, _registry(spark, sf_dir)).handle("POST", "/iceberg/query", {"filter_condition": "c_acctbal < 0", "limit": 50})
+    if status != 200:
+        raise ValueError(body)
+    return spark.createDataFrame([tuple(r.get(c) for c in CUSTOMER.names) for r in body["rows"]], CUSTOMER)
+
+
+def _scripted(record: dict):
+    """A scorer that fails for some companies and answers others in fenced JSON, or in prose."""
+    k = int(record["corporate_id"])
+    if k % 7 == 0:
+        raise RuntimeError("no answer")
+    if k % 3 == 0:
+        return "nothing found"
+    return f'```json\n{{"has_adverse_media": {str(k % 2 == 0).lower()}, "summary": "s{k}", "risk_score": {k % 5 * 0.5 - 0.5}, "keywords_found": ["fraud", "k{k % 4}"]}}\n```'
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS corporate_id, c_name AS corporate_name, CASE WHEN known THEN c_custkey % 2 = 0 ELSE false END AS has_adverse_media, CASE WHEN known THEN 's' || c_custkey END AS adverse_media_summary,
+    CASE WHEN known THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, (c_custkey % 5) * 0.5::DOUBLE - 0.5::DOUBLE)) ELSE 0.0::DOUBLE END AS risk_score, CASE WHEN known THEN 'fraud,k' || c_custkey % 4 ELSE '' END AS keywords_found, true AS checked
+    FROM (SELECT *, c_custkey % 7 <> 0 AND c_custkey % 3 <> 0 AS known FROM customer)""")
+def risk_findings(spark, sf_dir):
+    """Findings of every customer by a scorer that sometimes fails: a row's failure is its own."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("corporate_id"), F.col("c_name").alias("corporate_name"), F.lit("").alias("context"))
+    found = risk.analyse(rows, _scripted, risk.RiskConfig(calls_per_minute=10**9, parallelism=8, attempts=1))
+    return found.select("corporate_id", "corporate_name", "has_adverse_media", "adverse_media_summary", "risk_score", F.array_join("keywords_found", ",").alias("keywords_found"), F.col("adverse_media_last_checked").isNotNull().alias("checked"))
+
+
+@query("SELECT c_custkey, 'Company: ' || c_name || chr(10) || 'Country: ' || CASE WHEN c_custkey % 4 = 0 THEN 'unknown' ELSE CAST(c_nationkey AS VARCHAR) END || chr(10) || 'Industry: ' || coalesce(c_mktsegment, 'unknown') || chr(10) || 'Look for: fraud, lawsuit, bankruptcy, scandal, investigation, violation, penalty' || chr(10) || 'Period: last 365 days' AS prompt FROM customer")
+def risk_prompt(spark, sf_dir):
+    country = F.when(F.col("c_custkey") % 4 != 0, F.col("c_nationkey").cast("string"))
+    return table(spark, sf_dir, "customer").select("c_custkey", risk.prompt(F.col("c_name"), country, F.col("c_mktsegment")).alias("prompt"))
+
+
+@query("SELECT count(DISTINCT c_custkey) AS adverse_entities FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderpriority LIKE '1%'")
+def adverse_entities(spark, sf_dir):
+    return risk.adverse(adverse_media_join(spark, sf_dir)).agg(F.count(F.lit(1)).alias("adverse_entities"))
+
+
+@query("SELECT c_custkey, CAST(NULL AS BOOLEAN) AS has_adverse_media, CAST(NULL AS VARCHAR) AS adverse_media_summary, CAST(NULL AS DOUBLE) AS risk_score, CAST(NULL AS VARCHAR) AS keywords_found, true AS unchecked FROM customer")
+def skipped_findings(spark, sf_dir):
+    """The skipped stage: every finding a typed null."""
+    got = risk.without_findings(table(spark, sf_dir, "customer"))
+    return got.select("c_custkey", "has_adverse_media", "adverse_media_summary", "risk_score", F.array_join("keywords_found", ",").alias("keywords_found"), F.col("adverse_media_last_checked").isNull().alias("unchecked"))
+
+
+@query("SELECT part, count(*) AS n FROM (SELECT ('0x' || substr(md5(doc_id || '|42'), 1, 8))::UBIGINT / 4294967296.0::DOUBLE AS u, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.7::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'test' END AS part FROM documents) GROUP BY part")
+def random_split_counts(spark, sf_dir):
+    parts = features.split(table(spark, sf_dir, "documents"), "doc_id", target=None)
+    named = [p.select(F.lit(n).alias("part")) for n, p in zip(("train", "validation", "test"), parts, strict=True)]
+    return named[0].union(named[1]).union(named[2]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_INDEXED + "SELECT c_custkey, c_acctbal AS balance, CAST(k AS DOUBLE) AS segment FROM customer JOIN r ON c_mktsegment = v")
+def assembled_features(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    x = vector_to_array("features")
+    return _segments(spark, sf_dir, scaler="none", encoding="index").select("c_custkey", x[0].alias("balance"), x[1].alias("segment"))
+
+
+@query("SELECT 'both' AS labels, count(DISTINCT toxic) > 1 AS usable FROM labels UNION ALL SELECT 'toxic only', count(DISTINCT toxic) FILTER (toxic = 1) > 1 FROM labels UNION ALL SELECT 'none', false")
+def feature_validation(spark, sf_dir):
+    cfg = features.FeatureConfig(numeric=(), categorical=(), derived=())
+    rows = table(spark, sf_dir, "labels").withColumn("target", F.col("toxic").cast("double"))
+    cases = {"both": rows, "toxic only": rows.where("toxic = 1"), "none": rows.drop("target")}
+    return spark.createDataFrame([(n, features.validate_features(r, cfg)) for n, r in cases.items()], "labels string, usable boolean")
+
+
+@query(f"""WITH {_COUNTS}, d AS (SELECT (tp + tn) / (tp + tn + fp + fn)::DOUBLE AS accuracy FROM c)
+    SELECT least, accuracy >= least AS passed FROM d, (SELECT unnest([0.0::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 1.0::DOUBLE]) AS least)""")
+def metric_gates(spark, sf_dir):
+    """Least accuracies against that of the labels' judgement."""
+    row = training.weighted_metrics(_judged(spark, sf_dir)).first()
+    metrics = {"accuracy": row["accuracy"], "weightedPrecision": row["precision"], "weightedRecall": row["recall"], "f1": row["f1"]}
+    return spark.createDataFrame([(x, training.check_gates(metrics, {"min_accuracy": x})[0]) for x in (0.0, 0.25, 0.5, 0.75, 1.0)], "least double, passed boolean")
+
+
+@query("SELECT true AS near")
+def dq_unique_approx(spark, sf_dir):
+    """Repeats by approximate distinct counts lie within a tenth of the distinct values of the exact ones."""
+    orders = table(spark, sf_dir, "orders")
+    exact, approx = (report(orders, [Rule("o_custkey", "unique", approx=a)]).select("rows", F.col("errors").alias(f"e{int(a)}")) for a in (False, True))
+    return exact.join(approx, "rows").select((F.abs(F.col("e0") - F.col("e1")) <= 0.1 * (F.col("rows") - F.col("e0"))).alias("near"))
