@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -50,6 +51,77 @@ def test_learned_list_rejects_bad_and_keeps_clean(spark, no_docs):
     assert quality_rules.judge(no_docs, labels).count() == 0
 
 
+def plain_covering(rows):
+    """The decision list by counting rows one by one, and the rules as grown, before pruning."""
+    names, quality = quality_rules.FEATURES, quality_rules
+    cuts = {}
+    for f in names:
+        own = sorted(r[f] for r in rows)
+        cuts[f] = sorted({own[max(0, math.ceil(k / quality.BINS * len(own)) - 1)] for k in range(1, quality.BINS)})
+    holds = lambda rule, r: all((r[f] > c) == above for f, above, c in rule)
+    count = lambda own, bad: sum(r["bad"] == bad for r in own)
+    n_prune = sum(r["prune"] for r in rows)
+    rules, grown = [], []
+    while len(rules) < quality.MAX_RULES:
+        left = [r for r in rows if not any(holds(x, r) for x in rules)]
+        rule = []
+        while len(rule) < quality.MAX_CONDITIONS:
+            own = [r for r in left if not r["prune"] and holds(rule, r)]
+            p0, n0 = count(own, True), count(own, False)
+            if p0 < quality.MIN_COVER or not n0:
+                break
+            best, found = 1e-9, None
+            for f in names:
+                for cut in cuts[f]:
+                    for above in (True, False):
+                        hit = [r for r in own if (r[f] > cut) == above]
+                        p, n = count(hit, True), count(hit, False)
+                        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p >= quality.MIN_COVER else -1
+                        if gain > best * (1 + 1e-12):
+                            best, found = gain, (f, above, cut)
+            if found is None:
+                break
+            f, above, cut = found
+            outside = [r[f] for r in own if (r[f] > cut) != above]
+            inside = [r[f] for r in own if (r[f] > cut) == above and r["bad"]]
+            if outside:
+                cut = (max(outside) + min(inside)) / 2 if above else (min(outside) + max(inside)) / 2
+            rule.append((f, above, cut))
+        if not rule:
+            break
+        scored = []
+        for k in range(1, len(rule) + 1):
+            own = [r for r in left if r["prune"] and holds(rule[:k], r)]
+            p, n = count(own, True), count(own, False)
+            if p + n >= max(3, quality.MIN_SHARE * n_prune) and p / (p + n) >= quality.MIN_PRECISION:
+                scored.append(((p - n) / (p + n) * math.sqrt(p), -k))
+        if not scored:
+            break
+        rules.append(tuple(rule[: -max(scored)[1]]))
+        grown.append(tuple(rule))
+    return rules, grown
+
+
+def test_learned_list_equals_plain_covering(spark):
+    """Conjunctions and single thresholds in the data, with wrong labels: rules grow, are pruned, and follow each other."""
+    longest = pruned = 0
+    for seed in (3, 4, 5):
+        rng = random.Random(seed)
+        rows = []
+        for k in range(1201):  # a prime: no quantile falls between two rows
+            r = {f: round(rng.random(), 6) for f in quality_rules.FEATURES}
+            bad = r["symbol_rate"] > 0.55 and r["upper_rate"] > 0.5 or r["dup_line_rate"] > 0.85
+            rows.append(r | {"bad": bad if rng.random() > 0.01 else not bad, "prune": k % 3 == 0})
+        want, grown = plain_covering(rows)
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{f} double" for f in quality_rules.FEATURES) + ", bad boolean, prune boolean")
+        got = quality_rules.learn(df.repartition(3))
+        assert [[(c.feature, c.above) for c in rule] for rule in got] == [[x[:2] for x in rule] for rule in want]
+        assert np.allclose([c.cut for rule in got for c in rule], [x[2] for rule in want for x in rule])
+        longest = max([longest, *map(len, want)])
+        pruned += sum(len(a) < len(b) for a, b in zip(want, grown, strict=True))
+    assert longest > 1 and pruned
+
+
 def test_urls_follow_the_rules(spark):
     urls = ["http://A.Example.NET/en/x?y#z", "https://example.com/de/1", "http://sub.org/fr/", "http://net/", "http://net", "http://subnet/en/", None, "no scheme", "x://h?q", "x://h#f", "http://example.com/DE/", "http://u.example.net/fr/9", "a://b://c/d"]
     df = spark.createDataFrame([(k, u) for k, u in enumerate([*urls, urls[0]])], "page_id long, url string")
