@@ -73,14 +73,25 @@ def add_metadata(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_source_system": F.lit(source), "_load_timestamp": F.current_timestamp()})
 
 
+def enough_of(df: DataFrame, least: int) -> int:
+    """The number of rows up to one beyond ``least``; reads no more."""
+    return df.limit(least + 1).count() if least > 0 else 0
+
+
 def check_min_records(df: DataFrame, least: int) -> None:
-    """Raises when there are fewer rows; reads no more than one row beyond."""
-    if least > 0 and df.limit(least + 1).count() < least:
+    """Raises when there are fewer rows."""
+    if enough_of(df, least) < least:
         raise ValueError(f"fewer than {least} records")
 
 
 def load_source(spark: SparkSession, cfg: SourceConfig, want: T.StructType) -> DataFrame:
-    df = with_retry(lambda: read_raw(spark, cfg))
-    df = add_metadata(reconcile(df, want) if cfg.reconcile else df, cfg.name or cfg.path)
-    check_min_records(df, cfg.min_records)
-    return df
+    """The source under ``want`` with metadata. Opening it, and the read that counts its first rows, are tried again after a failure."""
+
+    def opened() -> tuple[DataFrame, int]:
+        raw = read_raw(spark, cfg)
+        return raw, enough_of(raw, cfg.min_records)
+
+    df, met = with_retry(opened)
+    if met < cfg.min_records:
+        raise ValueError(f"fewer than {cfg.min_records} records")
+    return add_metadata(reconcile(df, want) if cfg.reconcile else df, cfg.name or cfg.path)

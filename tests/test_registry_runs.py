@@ -329,3 +329,18 @@ def test_settled_tables_can_be_swept(spark, monkeypatch):
     monkeypatch.setattr(scratch, "_MADE", [])
     df = scratch.settle(spark.range(5))
     assert df.count() == 5 and scratch.sweep(spark) == 1 and scratch.sweep(spark) == 0
+
+
+def test_a_failing_first_read_is_tried_again(spark, tmp_path, monkeypatch):
+    (tmp_path / "s.csv").write_text("corporate_name_S1\nAcme\n")
+    plain, calls = loader.enough_of, []
+
+    def failing_once(df, least):
+        calls.append(least)
+        if len(calls) == 1:
+            raise OSError("a lost file server")
+        return plain(df, least)
+
+    monkeypatch.setattr(loader, "enough_of", failing_once)
+    got = loader.load_source(spark, SourceConfig(f"{tmp_path}/s.csv", min_records=1), SUPPLY_CHAIN)
+    assert got.count() == 1 and calls == [1, 1]
