@@ -247,6 +247,12 @@ def _entities(spark, sf_dir):
     return resolve.resolve_entities(company_source(spark, sf_dir, "S1"), company_source(spark, sf_dir, "S2"), keys=(key, key))
 
 
+def entity_row(e: DataFrame) -> DataFrame:
+    """The columns of entities that are compared, lists as texts."""
+    text = lambda c: F.nullif(F.array_join(c, ","), F.lit(""))
+    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"), "profit", F.col("fiscal_year").cast("long").alias("fiscal_year"), F.array_join("sources", ",").alias("sources"), F.array_join("blocking_keys", ",").alias("blocking_keys"), "industry_sector", F.array_join("top_suppliers", ",").alias("top_suppliers"))
+
+
 @query(_PRINTS + """
     SELECT corporate_id, max(country) AS country, max(postal) AS postal_code, count(*) AS n_rows,
            max(CASE WHEN id LIKE 'S2:%' THEN CAST(substr(id, 4) AS BIGINT) * 10.0 END) AS revenue,
@@ -258,9 +264,7 @@ def _entities(spark, sf_dir):
            coalesce(array_to_string(list_sort(list_distinct(list('sup' || CAST(substr(id, 4) AS BIGINT) % 7) FILTER (id LIKE 'S1:%'))), ','), '') AS top_suppliers
     FROM comp JOIN prints USING (component) JOIN nodes USING (id) GROUP BY corporate_id""")
 def harmonized_entities(spark, sf_dir):
-    e = _entities(spark, sf_dir)
-    text = lambda c: F.nullif(F.array_join(c, ","), F.lit(""))
-    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"), "profit", F.col("fiscal_year").cast("long").alias("fiscal_year"), F.array_join("sources", ",").alias("sources"), F.array_join("blocking_keys", ",").alias("blocking_keys"), "industry_sector", F.array_join("top_suppliers", ",").alias("top_suppliers"))
+    return entity_row(_entities(spark, sf_dir))
 
 
 @query(_PRINTS + "SELECT count(DISTINCT corporate_id) AS records, count(DISTINCT corporate_id) AS entities FROM prints")

@@ -219,6 +219,22 @@ class Registry:
 
         return self._commit(change, "merge")
 
+    def replace(self, df: DataFrame, retired: DataFrame) -> int:
+        """Rows of ``df`` take all its columns, null or not, and keep the others; keys of ``retired`` go. One commit."""
+        source, columns = settle(self._stamped(df)), {*df.columns, "updated_at"}
+        keys = source.select(self.key).union(retired.select(self.key))
+
+        def change(files: list[dict]):
+            touched, kept = self._touched(files, keys)
+            if not touched:
+                return kept, source, None
+            t, s = self._read_files(touched).join(retired.select(self.key), self.key, "left_anti").alias("t"), source.alias("s")
+            there = F.col(f"s.{self.key}").isNotNull()
+            pick = lambda c: F.when(there, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in columns else F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}"))
+            return kept, t.join(s, F.col(f"t.{self.key}") == F.col(f"s.{self.key}"), "full_outer").select(*[pick(c).alias(c) for c in self.schema.names]), None
+
+        return self._commit(change, "replace")
+
     def update_matched(self, df: DataFrame, columns=RISK_COLUMNS) -> int:
         """Only rows whose key is there; the given columns take the source's values."""
         source = settle(self._stamped(df))

@@ -1,4 +1,4 @@
-"""New source files as a stream, merged into a registry batch by batch."""
+"""New source files as a stream, merged into a registry batch by batch, or resolved against what is stored first."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.incremental import Resolution
+from ledgerloom.plans.scratch import settle
 from ledgerloom.sources.registry import Registry
 
 
@@ -43,3 +45,31 @@ def upsert_stream(spark: SparkSession, path: str, schema: T.StructType, registry
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(format).load(path)
     stream = stream if order else stream.select("*", F.col("_metadata.file_modification_time").alias(mark))
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def resolve_stream(spark: SparkSession, paths: tuple[str, str], schemas: tuple[T.StructType, T.StructType], resolution: Resolution, checkpoint: str, keys: tuple[str, str], registry: Registry | None = None, files_per_batch: int = 1000, format: str = "parquet") -> None:
+    """Resolve all files of both sources that are there and not yet resolved, then stop; entities that changed go to the registry.
+
+    A micro-batch is a load: its new files of either source are matched with each other and with all that is stored.
+    ``keys`` name a row of a source; of rows of one key in one batch the last stays (by their files' times), in a
+    later batch the newer row replaces the stored one. A batch that runs again writes the same load again.
+    """
+
+    def source(k: int) -> DataFrame:
+        rows = spark.readStream.schema(schemas[k]).option("maxFilesPerTrigger", files_per_batch).format(format).load(paths[k])
+        return rows.select(F.lit(k).alias("_side"), F.col("_metadata.file_modification_time").alias("_file_time"), F.struct(*[F.col(f"`{c}`") for c in schemas[k].names]).alias(f"_row{k}"))
+
+    def apply(batch: DataFrame, number: int) -> None:
+        batch = settle(batch)
+
+        def own(k: int) -> DataFrame:
+            rows = batch.where(F.col("_side") == k).select(f"_row{k}", "_file_time")
+            last = rows.groupBy(F.col(f"_row{k}")[keys[k]].alias("_key")).agg(F.max_by(f"_row{k}", F.struct("_file_time", F.to_json(f"_row{k}"))).alias("_last"))
+            return last.select("_last.*")
+
+        delta = resolution.load(number, own(0), own(1), (F.col(keys[0]), F.col(keys[1])))
+        if registry is not None:
+            registry.replace(delta.entities, delta.retired)
+
+    both = source(0).unionByName(source(1), allowMissingColumns=True)
+    both.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
