@@ -18,6 +18,8 @@ empty result. Very long URLs are read whole. Other columns pass through; those n
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,23 +76,82 @@ def _least_confidence(confidence: Column, n: Column) -> Column:
     return (confidence + z2 / (2 * n) - _Z * F.sqrt(confidence * (1 - confidence) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
+#: Between the items of a prefix, and before an item of a transaction; no token holds them at its start.
+_AND, _OF = "\u0001", "\u0002"
+
+
+def _told_apart(level: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Of rows (row, bad, prefix, over, item): the items of each prefix that may make new rules, and the rows with these only.
+
+    An item must be frequent, and no item of all of the prefix's ``over`` rows; of items with the same rows the least stands for all.
+    Sets of rows are told apart by their number and two xor-ed hashes.
+    """
+    cover = [F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("hits"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(2))).alias("y")]
+    met = settle(level.groupBy("prefix", "over", "item").agg(*cover).where((F.col("n") >= least) & (F.col("n") < F.col("over"))))
+    kept = met.groupBy("prefix", "n", "hits", "x", "y").agg(F.min("item").alias("item"))
+    return met, settle(level.join(kept.select("prefix", "item", "n"), ["prefix", "item"]).select("row", "bad", "prefix", "item", "n"))
+
+
+def _grown(bags: DataFrame, least: float, min_confidence: float) -> DataFrame | None:
+    """FP-growth's rules (items, confidence, hits) over the transactions of several prefixes at once: items carry their prefix, so these never mix."""
+    total = bags.count()
+    if not total:
+        return None
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, math.ceil(least) / total * (1 - 1e-9)), minConfidence=min_confidence).fit(bags)
+    found = model.associationRules.where(F.endswith(F.col("consequent")[0], F.lit(f"{_OF}=block")))
+    prefix = F.filter(F.split(F.substring_index(F.col("antecedent")[0], _OF, 1), _AND), lambda t: t != "")
+    items = F.array_sort(F.concat(prefix, F.transform("antecedent", lambda t: F.substring_index(t, _OF, -1))))
+    return found.select(items.alias("items"), "confidence", F.round(F.col("support") * total).alias("hits"))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, items, anchor, confidence, support) from rows (tokens, bad)."""
+    """Rules (rule_id, items, anchor, confidence, support) from rows (tokens, bad).
+
+    FP-growth lists every frequent set: 2^k of k tokens that come together, or of which each implies the next, as the segments of a
+    path do. None of these is a new rule, so FP-growth never sees them: tokens that the same URLs hold are one item, and where an
+    item implies another, the URLs are projected: each rarer item becomes a prefix, whose rows are transactions of the more frequent items
+    that it doesn't imply. That goes on for prefixes in which items still imply each other; all others, often the
+    whole table at once, are mined as they are. A token by itself is a rule for each token of its item; in
+    longer rules an item is named by its least token.
+    """
     schema = "rule_id long, items array<string>, anchor string, confidence double, support double"
     n, bad = labelled.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     if n < LEAST_PAGES:
         return labelled.sparkSession.createDataFrame([], schema)
-    bag = labelled.select(F.array_append("tokens", F.when(F.col("bad"), "=block").otherwise("=allow")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, (LEAST_PAGES - 0.5) / n), minConfidence=min_confidence).fit(bag)
-    rules = model.associationRules.where(F.col("consequent")[0] == "=block").select(F.array_sort("antecedent").alias("items"), "confidence", "support")
-    rules = settle(rules.where(_least_confidence(F.col("confidence"), F.col("support") * n / F.col("confidence")) > bad / n))
-    # Every subset of a rule's tokens was frequent, so every token of a rule has its frequency.
-    met = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("t"), "freq")
-    rarest = rules.select("items", F.explode("items").alias("t")).join(met, "t").groupBy("items").agg(F.min_by("t", F.struct("freq", "t")).alias("anchor"))
-    rules = settle(rules.join(rarest, "items").select(F.xxhash64("items").alias("rule_id"), "items", "anchor", "confidence", "support"))
-    short = rules.select(F.col("items").alias("less"), F.col("confidence").alias("sure"), F.col("anchor").alias("t"))
-    near = rules.select("items", "confidence", F.explode("items").alias("t")).join(short, "t")
-    idle = near.where((F.size("less") < F.size("items")) & (F.col("sure") >= F.col("confidence")) & (F.size(F.array_except("less", "items")) == 0)).select("items").distinct()
+    least = max(min_support * n, LEAST_PAGES - 0.5)
+    rows = labelled.select(F.monotonically_increasing_id().alias("row"), F.coalesce("bad", F.lit(False)).alias("bad"), F.array_distinct("tokens").alias("tokens"))
+    rows = rows.select("row", "bad", F.explode("tokens").alias("item"))  # apart, as a row's tokens share its number
+    level, single, rules = settle(rows.withColumns({"prefix": F.lit(""), "over": F.lit(n).cast("long")})), None, None
+    while True:
+        met, kept = _told_apart(level, least)
+        parts = F.filter(F.split("prefix", _AND), lambda t: t != "")
+        own = met.where(F.col("hits") >= least).select(F.array_sort(F.array_append(parts, F.col("item"))).alias("items"), (F.col("hits") / F.col("n")).alias("confidence"), "hits")
+        single = met.select("item", "n", "x", "y") if single is None else single
+        rules = own if rules is None else rules.unionByName(own)
+        sets = kept.groupBy("row", "bad", "prefix").agg(F.collect_list(F.struct("n", "item")).alias("s"))
+        two = sets.select("row", "bad", "prefix", "s", F.explode("s").alias("a")).select("row", "bad", "prefix", "a", F.explode(F.filter("s", lambda b: b > F.col("a"))).alias("b"))
+        two = settle(two.select("row", "bad", "prefix", F.col("a.item").alias("a"), F.col("a.n").alias("over"), F.col("b.item").alias("item")))
+        nested = settle(two.groupBy("prefix", "a", "over", "item").agg(F.count(F.lit(1)).alias("n")).where("n = over").select("prefix").distinct())
+        named = lambda t: F.concat(F.col("prefix"), F.lit(_OF), t)
+        flat = sets.join(nested, "prefix", "left_anti").select(F.transform("s", lambda b: named(b["item"])).alias("held"), "bad", "prefix")
+        bags = settle(flat.select(F.when(F.col("bad"), F.array_append("held", named(F.lit("=block")))).otherwise(F.col("held")).alias("items")))
+        found = _grown(bags, least, min_confidence)
+        rules = rules.unionByName(found) if found is not None else rules
+        deeper = two.join(nested, "prefix", "left_semi")
+        level = settle(deeper.select("row", "bad", F.concat_ws(_AND, F.nullif("prefix", F.lit("")), "a").alias("prefix"), "over", "item"))
+        if level.isEmpty():
+            break
+    rules = rules.groupBy("items").agg(F.max("confidence").alias("confidence"), F.max("hits").alias("hits"))
+    rules = settle(rules.where(F.col("confidence") >= min_confidence).where(_least_confidence(F.col("confidence"), F.col("hits") / F.col("confidence")) > bad / n))
+    # The anchor is the rarest item of a rule; a rule is idle beside a shorter one of no less confidence, whose anchor is an item of it.
+    least_named = single.groupBy("n", "x", "y").agg(F.min("item").alias("name"))
+    same = settle(single.join(least_named, ["n", "x", "y"]).select(F.col("item").alias("t"), "n", "name"))
+    each = rules.select("items", F.explode("items").alias("t")).join(same, "t")
+    rarest = each.groupBy("items").agg(F.min_by("t", F.struct("n", "t")).alias("anchor"), F.array_sort(F.collect_list("name")).alias("names"))
+    rules = settle(rules.join(rarest, "items").select(F.xxhash64("items").alias("rule_id"), "items", "names", "anchor", "confidence", (F.col("hits") / n).alias("support")))
+    short = rules.join(same, F.col("anchor") == F.col("t")).select(F.col("names").alias("less"), F.col("confidence").alias("sure"), F.col("name").alias("at")).distinct()
+    near = rules.where(F.size("items") > 1).select("items", "names", "confidence", F.explode("names").alias("at")).join(short, "at")
+    idle = near.where((F.size("less") < F.size("items")) & (F.col("sure") >= F.col("confidence") - 1e-12) & (F.size(F.array_except("less", "names")) == 0)).select("items").distinct()
     return settle(rules.join(idle, "items", "left_anti").select("rule_id", "items", "anchor", "confidence", "support"))
 
 

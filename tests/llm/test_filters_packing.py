@@ -1,11 +1,14 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -165,6 +168,53 @@ def test_rules_need_pages_and_may_be_long(spark):
     assert all(a in r for r, a in got.items())
 
 
+def plain_covers(rows):
+    """By all subsets of tokens: the rows that each rule holds for, of rules that no shorter one makes idle."""
+    n, bad = len(rows), sum(b for _, b in rows)
+    z2 = 1.96**2
+
+    def judged(items):
+        held = frozenset(k for k, (t, _) in enumerate(rows) if items <= t)
+        hits = sum(rows[k][1] for k in held)
+        if hits < 10:
+            return None
+        c, m = hits / len(held), len(held)
+        sure = (c + z2 / (2 * m) - 1.96 * (c * (1 - c) / m + z2 / (4 * m * m)) ** 0.5) / (1 + z2 / m)
+        return (c, held) if c >= 0.8 and sure > bad / n else None
+
+    tokens = sorted({t for own, _ in rows for t in own})
+    found = {frozenset(c): r for k in range(1, len(tokens) + 1) for c in combinations(tokens, k) if (r := judged(frozenset(c)))}
+    return {held for items, (c, held) in found.items() if not any(less < items and found[less][0] >= c for less in found)}
+
+
+@pytest.mark.parametrize("seed", [0, 2])
+def test_mined_rules_cover_what_all_subsets_cover(spark, seed):
+    """Tokens that come together, that imply each other, that do so beside a third only, and others."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(500):
+        depth = rng.randrange(5)
+        own = {f"p{k}" for k in range(depth)} | ({"twin1", "twin2"} if rng.random() < 0.4 else set()) | {t for t in ("a", "b") if rng.random() < 0.5}
+        own |= {"c"} if "a" in own else set()
+        rows.append((own, rng.random() < (0.95 if ("a" in own and depth > 2) or {"b", "twin1"} <= own else 0.2)))
+    mined = url_filter.mine(spark.createDataFrame([(sorted(t), b) for t, b in rows], "tokens array<string>, bad boolean")).collect()
+    covers = {frozenset(k for k, (t, _) in enumerate(rows) if set(r["items"]) <= t) for r in mined}
+    assert covers == plain_covers(rows) and covers
+    for r in mined:
+        held = [b for t, b in rows if set(r["items"]) <= t]
+        assert r["confidence"] == pytest.approx(sum(held) / len(held)) and r["support"] == pytest.approx(sum(held) / 500) and r["anchor"] in r["items"]
+
+
+def test_long_common_paths_are_mined_in_seconds(spark):
+    """Thirty segments that all pages of a site share, and prefixes of them of any length; all subsets would be 2^30 sets."""
+    path = [f"p:{k:02}" for k in range(30)]
+    rows = [(["s:https", "h:site", *path, f"h:{k % 2}"], k % 20 > 0) for k in range(600)] + [(["s:https", "h:other", *path[: k % 31]], k % 31 > 25) for k in range(620)]
+    began = time.monotonic()
+    got = {frozenset(r["items"]) for r in url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    assert time.monotonic() - began < 90
+    assert frozenset(["h:site"]) in got and frozenset(["p:29"]) in got
+
+
 def test_labels_that_do_not_depend_on_the_url_give_no_rule(spark):
     rng = random.Random(13)
     rows = [([f"h:{rng.randrange(8)}", f"p:{rng.randrange(8)}", "s:https"], rng.random() < 0.3) for _ in range(3000)]
