@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.selection import BinnedChiSquareSelector
+
 log = logging.getLogger(__name__)
 
 #: Derived features by name, in order; later ones may use earlier ones. Names and expressions.
@@ -38,6 +40,7 @@ class FeatureConfig:
     encoding: str = "one_hot"
     selection: str | None = None
     select: int = 20
+    bins: int = 10
     legacy_assembly: bool = False
     median_error: float = 0.001
 
@@ -94,10 +97,13 @@ def split(df: DataFrame, key: str, parts=(0.7, 0.1, 0.2), seed: int = 42, target
     return rows.where(u < a), rows.where((u >= a) & (u < b)), rows.where(u >= b)
 
 
-def medians(df: DataFrame, columns) -> dict[str, float | None]:
-    """Approximate medians of all columns in one pass."""
-    row = df.agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+def bottom_k(df: DataFrame, key: str, k: int = 100) -> DataFrame:
+    """A random sample of k rows that is the same under any partitioning: those with the least MD5 of the key.
+
+    The k least of a union are among the k least of its parts, so each partition keeps k rows and only these
+    are merged; samples of loads merge in the same way.
+    """
+    return df.orderBy(F.md5(F.col(f"`{key}`").cast("string").cast("binary")), F.col(f"`{key}`")).limit(k)
 
 
 def prepare(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
@@ -133,11 +139,15 @@ def stages(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> list:
     elif kinds and not cfg.legacy_assembly:
         parts += [f"{c}_index" for c in kinds]
     chosen = cfg.selection is not None
+    if cfg.selection not in (None, "chi_square", "correlation"):
+        raise ValueError(f"unknown feature selection {cfg.selection!r}")
     out.append(VectorAssembler(inputCols=parts, outputCol="all_features" if chosen else "features", handleInvalid="keep"))
     if chosen:
-        by = UnivariateFeatureSelector(featuresCol="all_features", labelCol=cfg.target, outputCol="features", selectionMode="numTopFeatures")
-        kind = {"chi_square": "categorical", "correlation": "continuous"}[cfg.selection]
-        out.append(by.setFeatureType(kind).setLabelType("categorical").setSelectionThreshold(cfg.select))
+        if cfg.selection == "chi_square":
+            out.append(BinnedChiSquareSelector("all_features", cfg.target, "features", cfg.select, cfg.bins))
+        else:
+            by = UnivariateFeatureSelector(featuresCol="all_features", labelCol=cfg.target, outputCol="features", selectionMode="numTopFeatures")
+            out.append(by.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(cfg.select))
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 KINDS = ("not_null", "min_length", "max_length", "numeric", "positive", "range", "pattern", "unique")
@@ -80,12 +80,40 @@ def decision(rule_report: DataFrame, error_threshold: float = 0.05) -> DataFrame
     return total.select("checks", "errors", rate.alias("error_rate"), F.coalesce(rate <= error_threshold, F.lit(False)).alias("passed"))
 
 
-def validate(df: DataFrame, rules: list[Rule], error_threshold: float = 0.05) -> tuple[bool, list[dict]]:
-    """Whether the frame passes, with the report. No applicable rule fails; an empty frame raises."""
-    found = [r.asDict() for r in report(df, rules).collect()]
+def observed(df: DataFrame, rules: list[Rule], name: str = "quality") -> tuple[DataFrame, Observation, list[Rule]]:
+    """``df`` with all rules counted while it runs, what they count into, and the rules that this leaves out.
+
+    No scan of its own: the counts come with whatever writes or reads the frame. An exact distinct count can't be
+    observed, so exact ``unique`` rules are left to ``report`` on the table that was written; approximate ones are counted here.
+    """
+    own = [r for r in rules if r.field in df.columns]
+    here = [r for r in own if r.kind != "unique" or r.approx]
+    seen = Observation(name)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[_errors(r).cast("long").alias(f"e{k}") for k, r in enumerate(here)])
+    return counted, seen, [r for r in own if r not in here]
+
+
+def observed_report(seen: Observation, rules: list[Rule], columns: list[str], written: DataFrame | None = None) -> list[dict]:
+    """The rows of ``report`` in the order of the rules, once the observed frame has run; ``written`` is that frame's table."""
+    own = [r for r in rules if r.field in columns]
+    counts, here = seen.get, iter(range(len(own)))
+    found = {id(r): counts[f"e{next(here)}"] for r in own if r.kind != "unique" or r.approx}
+    rest = [r for r in own if id(r) not in found]
+    if rest:
+        found |= {id(r): x["errors"] for r, x in zip(rest, report(written, rest).collect(), strict=True)}
+    return [{"field": r.field, "kind": r.kind, "rows": counts["rows"], "errors": found[id(r)]} for r in own]
+
+
+def judged(found: list[dict], error_threshold: float = 0.05) -> bool:
+    """Whether a report passes. No applicable rule fails; an empty frame raises."""
     if not found:
-        return False, []
+        return False
     if not found[0]["rows"]:
         raise ValueError("no rows to validate")
-    rate = sum(r["errors"] for r in found) / (found[0]["rows"] * len(found))
-    return rate <= error_threshold, found
+    return sum(r["errors"] for r in found) / (found[0]["rows"] * len(found)) <= error_threshold
+
+
+def validate(df: DataFrame, rules: list[Rule], error_threshold: float = 0.05) -> tuple[bool, list[dict]]:
+    """Whether the frame passes, with the report. No applicable rule fails; an empty frame raises."""
+    found = [r.asDict() for r in report(df, rules).collect()]
+    return judged(found, error_threshold), found

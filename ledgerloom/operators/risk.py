@@ -70,7 +70,7 @@ class RateLimit:
 @dataclass(frozen=True)
 class RiskConfig:
     calls_per_minute: int = 50
-    parallelism: int = 1
+    parallelism: int | None = None  # None: the cluster's, and no more than there are calls a minute
     attempts: int = 3
     first_wait: float = 2.0
     keywords: tuple[str, ...] = KEYWORDS
@@ -99,30 +99,36 @@ def read_reply(reply: dict | str) -> dict:
 def analyse(df: DataFrame, scorer: Scorer = keyword_scorer, cfg: RiskConfig = RiskConfig()) -> DataFrame:
     """A finding (``RESULT``) per row of (corporate_id, corporate_name, context, ...).
 
-    Runs on ``parallelism`` partitions that share the rate; a row whose scorer fails for good gets
-    (false, null, 0, []), whatever happens to others.
+    The default scorer runs as expressions, in the partitions that the rows have. Others run on ``parallelism`` partitions that share
+    the rate. A row whose scorer fails for good gets nulls, whatever happens to others; as it was never
+    checked, the next run asks for it again and a merge keeps what is known of it.
     """
-    share = max(1, cfg.calls_per_minute // cfg.parallelism)
+    if scorer is keyword_scorer:
+        found = keyword_risk(df, "context", KEYWORDS)
+        summary = F.when(F.col("has_adverse_media"), F.concat(F.lit("mentions "), F.array_join("keywords_found", ", ")))
+        return found.select("corporate_id", "corporate_name", "has_adverse_media", summary.alias("adverse_media_summary"), "risk_score", "keywords_found", F.current_timestamp().alias("adverse_media_last_checked"))
+    tasks = cfg.parallelism or max(1, min(df.sparkSession.sparkContext.defaultParallelism, cfg.calls_per_minute))
+    share = max(1, cfg.calls_per_minute // tasks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         limit = RateLimit(share)
         for frame in frames:
             out = []
             for record in frame.to_dict("records"):
-                got = {"has_adverse_media": False, "summary": None, "risk_score": 0.0, "keywords_found": []}
+                got, checked = {}, None
                 for k in range(cfg.attempts):
                     try:
-                        if scorer is not keyword_scorer:
-                            limit.wait()
+                        limit.wait()
                         got = read_reply(scorer(record))
+                        checked = pd.Timestamp.now(tz="UTC").tz_localize(None)
                         break
                     except Exception:
                         if k < cfg.attempts - 1:
                             time.sleep(min(10.0, cfg.first_wait * 2**k))
-                out.append((record["corporate_id"], record["corporate_name"], got["has_adverse_media"], got["summary"], got["risk_score"], got["keywords_found"], pd.Timestamp.now(tz="UTC").tz_localize(None)))
-            yield pd.DataFrame(out, columns=RESULT.names)
+                out.append((record["corporate_id"], record["corporate_name"], *[got.get(c) for c in ("has_adverse_media", "summary", "risk_score", "keywords_found")], checked))
+            yield pd.DataFrame(out, columns=RESULT.names).astype({"adverse_media_last_checked": "datetime64[ns]", "has_adverse_media": "object"})
 
-    return df.repartition(cfg.parallelism, "corporate_id").mapInPandas(run, RESULT)
+    return df.repartition(tasks, "corporate_id").mapInPandas(run, RESULT)
 
 
 def attach(entities: DataFrame, findings: DataFrame) -> DataFrame:

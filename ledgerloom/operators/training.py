@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ class TrainConfig:
     seed: int = 42
     target: str = "target"
     gates: dict = field(default_factory=dict)
+    parallelism: int = 2
 
 
 def estimator(cfg: TrainConfig):
@@ -36,23 +39,54 @@ def estimator(cfg: TrainConfig):
     return ALGORITHMS[cfg.algorithm](featuresCol="features", labelCol=cfg.target, **seed, **cfg.params)
 
 
+def on_validation(pipeline: Pipeline, maps: list[dict], rows: DataFrame, validation: DataFrame, judge, parallelism: int) -> list[float]:
+    """The metric of each parameter map on the given validation rows; ``parallelism`` fits run at a time."""
+    rows, validation = rows.persist(), validation.persist()
+    try:
+        fits = pipeline.fitMultiple(rows, maps)
+
+        def one(_) -> tuple[int, float]:
+            k, model = next(fits)
+            return k, judge.evaluate(model.transform(validation))
+
+        with ThreadPool(max(1, parallelism)) as pool:
+            found = dict(pool.map(inheritable_thread_target(rows.sparkSession)(one), range(len(maps))))
+    finally:
+        rows.unpersist()
+        validation.unpersist()
+    return [found[k] for k in range(len(maps))]
+
+
+def dealt_folds(rows: DataFrame, folds: int, seed: int) -> DataFrame:
+    """``rows`` with ``_fold`` by a hash of all columns, the same under any partitioning."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+    return rows.withColumn("_fold", F.pmod(F.xxhash64(text, F.lit(seed)), F.lit(folds)).cast("int"))
+
+
 def train(stages: list, rows: DataFrame, cfg: TrainConfig = TrainConfig(), validation: DataFrame | None = None) -> tuple[PipelineModel, dict]:
-    """Fit stages and classifier as one pipeline; with a grid, tune all of it. Returns model and summary."""
-    began, model = time.monotonic(), estimator(cfg)
+    """Fit stages and classifier as one pipeline; with a grid, tune all of it. Returns model and summary.
+
+    With ``validation``, each point of the grid is fitted on ``rows`` and judged on those rows; without, by cross-validation over
+    folds dealt by a hash. The best (the first of equal ones) is then fitted on all of ``rows``.
+    """
+    began, model, tuning = time.monotonic(), estimator(cfg), []
     pipeline = Pipeline(stages=[*stages, model])
     if cfg.grid:
         grid = ParamGridBuilder()
         for name, values in cfg.grid.items():
             grid = grid.addGrid(getattr(model, name), values)
-        judge = BinaryClassificationEvaluator(labelCol=cfg.target)
+        judge, maps = BinaryClassificationEvaluator(labelCol=cfg.target), grid.build()
         if validation is not None:
-            tuner = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid.build(), evaluator=judge, trainRatio=0.8, seed=cfg.seed)
+            metrics = on_validation(pipeline, maps, rows, validation, judge, cfg.parallelism)
         else:
-            tuner = CrossValidator(estimator=pipeline, estimatorParamMaps=grid.build(), evaluator=judge, numFolds=cfg.folds, seed=cfg.seed)
-        fitted = tuner.fit(rows).bestModel
+            tuner = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=judge, numFolds=cfg.folds, foldCol="_fold", parallelism=cfg.parallelism)
+            metrics = tuner.fit(dealt_folds(rows, cfg.folds, cfg.seed)).avgMetrics
+        tuning = [({p.name: v for p, v in m.items()}, x) for m, x in zip(maps, metrics, strict=True)]
+        fitted = pipeline.fit(rows, maps[max(range(len(maps)), key=lambda k: (metrics[k], -k))])
     else:
         fitted = pipeline.fit(rows)
-    return fitted, {"algorithm": cfg.algorithm, "params": dict(cfg.params), "train_rows": rows.count(), "seconds": time.monotonic() - began}
+    best = max(tuning, key=lambda t: t[1])[0] if tuning else {}
+    return fitted, {"algorithm": cfg.algorithm, "params": dict(cfg.params) | best, "tuning": tuning, "train_rows": rows.count(), "seconds": time.monotonic() - began}
 
 
 def confusion_matrix(predictions: DataFrame, target: str = "target", prediction: str = "prediction") -> DataFrame:
@@ -107,9 +141,11 @@ def feature_importance(model: PipelineModel, names: list[str] | None = None) ->
     return sorted(((names[k] if names else f"f{k}", float(v)) for k, v in enumerate(own)), key=lambda x: -x[1])
 
 
-def save_model(model: PipelineModel, path: str, summary: dict) -> None:
-    """The model, and its summary as one JSON row beside it."""
+def save_model(model: PipelineModel, path: str, summary: dict, sample: DataFrame | None = None) -> None:
+    """The model, and beside it its summary as one JSON row and a sample of the rows it was fitted on."""
     from pyspark.sql import SparkSession
 
     model.write().overwrite().save(path)
-    SparkSession.getActiveSession().createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}_summary")
+    SparkSession.getActiveSession().createDataFrame([(json.dumps(summary, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}_summary")
+    if sample is not None:
+        sample.coalesce(1).write.mode("overwrite").parquet(f"{path}_sample")

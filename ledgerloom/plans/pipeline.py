@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, resolve, risk, training
-from ledgerloom.operators.quality import Rule, validate
+from ledgerloom.operators.quality import Rule, judged, observed, observed_report
 from ledgerloom.operators.tracking import Tracker
 from ledgerloom.plans.metrics import Checkpoints, Metrics
-from ledgerloom.plans.scratch import settle
+from ledgerloom.plans.scratch import settle, shared_dir
+from ledgerloom.plans.stages import Stages
 from ledgerloom.sources.loader import FINANCIALS, SUPPLY_CHAIN, SourceConfig, load_source
 from ledgerloom.sources.registry import Registry
 
@@ -37,6 +38,10 @@ class IngestionConfig:
     risk: risk.RiskConfig = field(default_factory=risk.RiskConfig)
     adverse_media_limit: int | None = None  # None: every entity that has no finding yet
     checkpoint_dir: str | None = None
+    stage_dir: str | None = None  # where stages keep their tables for a resumed run; by default in the shared folder
+
+
+_REPORT = "field string, kind string, rows long, errors long"
 
 
 class IngestionPipeline:
@@ -45,6 +50,31 @@ class IngestionPipeline:
         self.spark, self.cfg, self.registry, self.scorer, self.context = spark, cfg, registry, scorer, context
         self.metrics = Metrics()
         self.checkpoints = Checkpoints(cfg.checkpoint_dir or "", enabled=cfg.checkpoint_dir is not None)
+        self.stages: Stages | None = None
+
+    def _loaded(self, name: str, source: SourceConfig, want, rules: list[Rule]) -> tuple[DataFrame, list[dict]]:
+        """A source's table and its report: the rules are counted while the table is written."""
+        seen: list = []
+
+        def build() -> DataFrame:
+            df, observation, _ = observed(load_source(self.spark, source, want), rules, f"{name}-quality") if rules else (load_source(self.spark, source, want), None, [])
+            seen.append(observation)
+            return df
+
+        files = self.stages.files(source.path)
+        table = self.stages.run(name, build, settings=(source, files))
+        if not rules:
+            return table, []
+
+        def report() -> DataFrame:
+            # A table of an earlier run is counted as it is: its rules may be others than these.
+            observation = seen[0] if seen else None
+            if observation is None:
+                counted, observation, _ = observed(table, rules, f"{name}-again")
+                counted.write.format("noop").mode("overwrite").save()
+            return self.spark.createDataFrame(observed_report(observation, rules, table.columns, table), _REPORT)
+
+        return table, [r.asDict() for r in self.stages.run(f"{name}_report", report, [name], (rules,)).collect()]
 
     def _enriched(self, entities: DataFrame, run: bool) -> DataFrame:
         if not run:
@@ -62,30 +92,33 @@ class IngestionPipeline:
         asked = self.context(named) if self.context else named.withColumn("context", known_text if self.scorer is risk.keyword_scorer else prompt)
         return risk.attach(entities, settle(risk.analyse(asked, self.scorer, self.cfg.risk)))
 
-    def run(self, run_adverse_media: bool = True, optimize_table: bool = False) -> Result:
-        stage, counts = "start", {}
+    def run(self, run_adverse_media: bool = True, optimize_table: bool = False, resume_from_checkpoint: bool = False) -> Result:
+        """One ingestion. With ``resume_from_checkpoint``, stages whose inputs and settings are those of an earlier run read its tables."""
+        cfg, stage, counts = self.cfg, "start", {}
+        self.stages = Stages(self.spark, cfg.stage_dir or f"{shared_dir(self.spark)}/ledgerloom/stages", resume_from_checkpoint)
         self.metrics.start_timer("total_data_pipeline")
         try:
             stage = "load"
             with self.metrics.timer("data_loading"):
                 self.registry.create_if_missing()
-                s1, s2 = load_source(self.spark, self.cfg.source1, SUPPLY_CHAIN), load_source(self.spark, self.cfg.source2, FINANCIALS)
+                s1, found1 = self._loaded("source1", cfg.source1, SUPPLY_CHAIN, cfg.rules1)
+                s2, found2 = self._loaded("source2", cfg.source2, FINANCIALS, cfg.rules2)
             stage = "data_quality"
             with self.metrics.timer("data_quality"):
-                for df, rules, name in ((s1, self.cfg.rules1, "source1"), (s2, self.cfg.rules2, "source2")):
+                for found, rules, name in ((found1, cfg.rules1, "source1"), (found2, cfg.rules2, "source2")):
                     if rules:
-                        passed, found = validate(df, rules, self.cfg.error_threshold)
                         counts[f"{name}_errors"] = sum(r["errors"] for r in found)
-                        if not passed:
+                        if not judged(found, cfg.error_threshold):
                             return Result(False, stage, f"{name} failed its data-quality rules", counts, self.metrics.export_metrics_to_dict())
             self.checkpoints.save_checkpoint(stage, counts)
             stage = "entity_resolution"
             with self.metrics.timer("entity_resolution"):
-                entities = settle(resolve.resolve_entities(s1, s2, self.cfg.matching))
+                entities = self.stages.run("entities", lambda: resolve.resolve_entities(s1, s2, cfg.matching), ["source1", "source2"], cfg.matching)
                 counts["entities"] = entities.count()
             self.checkpoints.save_checkpoint(stage, counts)
             stage = "adverse_media"
             with self.metrics.timer("adverse_media"):
+                # What was asked for depends on the registry's findings, so a run that got no further than this asks again.
                 enriched = self._enriched(entities, run_adverse_media)
                 if run_adverse_media:
                     enriched = settle(enriched)
@@ -119,6 +152,7 @@ class MLConfig:
     auto_promote: bool = False
     require_approval: bool = True
     checkpoint_dir: str | None = None
+    model_dir: str | None = None  # a folder that the cluster shares: the model, its summary and a sample of its rows
 
 
 class MLPipeline:
@@ -159,6 +193,9 @@ class MLPipeline:
                 if not passed:
                     return Result(False, "gates", "; ".join(failures), counts, metrics)
             stage = "register"
+            if cfg.model_dir is not None:
+                training.save_model(model, f"{cfg.model_dir.rstrip('/')}/{cfg.model_name}", summary, features.bottom_k(parts[0], cfg.key))
+            self.tracker.log_feature_importance(training.feature_importance(model))
             self.tracker.log_model(model)
             counts["version"] = self.tracker.register_model(cfg.model_name, {k: v for k, v in metrics.items() if k != "confusion"}, cfg.training.gates.get("min_accuracy", 0.0), cfg.auto_promote, cfg.require_approval)["version"]
             self.checkpoints.save_checkpoint("registered", counts)

@@ -288,12 +288,12 @@ _dq("dq_positive", "customer", Rule("c_acctbal", "positive"), "count(*) FILTER (
 _dq("dq_range", "customer", Rule("c_acctbal", "range", low=0, high=5000), "count(*) FILTER (c_acctbal < 0 OR c_acctbal > 5000)")
 _dq("dq_pattern", "events", Rule("event_type", "pattern", "^c"), "count(*) FILTER (NOT regexp_matches(event_type, '^c'))")
 _dq("dq_unique", "orders", Rule("o_custkey", "unique"), "greatest(0, count(o_custkey) - count(DISTINCT o_custkey))")
-_CUSTOMER_RULES = [Rule("c_name", "not_null"), Rule("c_name", "min_length", 2), Rule("c_acctbal", "positive"), Rule("c_acctbal", "range", low=-900, high=9000), Rule("c_custkey", "unique"), Rule("c_nothing", "not_null")]
+DQ_RULES = [Rule("c_name", "not_null"), Rule("c_name", "min_length", 2), Rule("c_acctbal", "positive"), Rule("c_acctbal", "range", low=-900, high=9000), Rule("c_custkey", "unique"), Rule("c_nothing", "not_null")]
 
 
 @query("WITH e AS (SELECT count(*) AS n, count(*) FILTER (c_name IS NULL) + count(*) FILTER (length(c_name) < 2) + count(*) FILTER (c_acctbal < 0) + count(*) FILTER (c_acctbal < -900 OR c_acctbal > 9000) + greatest(0, count(c_custkey) - count(DISTINCT c_custkey)) AS errors FROM customer) SELECT CAST(5 AS BIGINT) AS checks, CAST(errors AS BIGINT) AS errors, round(errors / (n * 5.0::DOUBLE), 9) AS error_rate, errors / (n * 5.0::DOUBLE) <= 0.05 AS passed FROM e")
 def dq_report(spark, sf_dir):
-    return decision(report(table(spark, sf_dir, "customer"), _CUSTOMER_RULES)).withColumn("error_rate", F.round("error_rate", 9))
+    return decision(report(table(spark, sf_dir, "customer"), DQ_RULES)).withColumn("error_rate", F.round("error_rate", 9))
 
 
 CUSTOMER = T.StructType([T.StructField("c_custkey", T.LongType(), False), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType()), T.StructField("c_mktsegment", T.StringType())])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import parse_string_array
+from ledgerloom.plans.scratch import settle
 
 _S, _A = T.StringType(), T.ArrayType(T.StringType())
 SUPPLY_CHAIN = T.StructType([T.StructField("corporate_name_S1", _S), T.StructField("address", _S), T.StructField("activity_places", _A), T.StructField("top_suppliers", _A), T.StructField("country", _S), T.StructField("postal_code", _S), T.StructField("industry_sector", _S)])
@@ -26,6 +27,7 @@ class SourceConfig:
     reconcile: bool = True
     min_records: int = 0
     options: tuple[tuple[str, str], ...] = ()
+    quarantine: str | None = None  # a folder that gets the rejects, as Parquet
 
 
 def with_retry(action: Callable, attempts: int = 3, first_wait: float = 2.0, longest: float = 10.0, sleep: Callable[[float], None] = time.sleep):
@@ -41,11 +43,17 @@ def with_retry(action: Callable, attempts: int = 3, first_wait: float = 2.0, lon
 
 
 def read_raw(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
-    """Any Spark format. CSV columns stay text, so that leading zeros survive."""
+    """Any Spark format. CSV columns stay text, so that leading zeros survive.
+
+    With ``quarantine``, CSV lines with too few or too many fields are kept whole in ``_corrupt_record``, as JSON lines are by Spark itself.
+    """
     reader = spark.read.format(cfg.format)
     if cfg.format == "csv":
         reader = reader.option("header", str(cfg.header).lower()).option("inferSchema", "false").option("escape", '"')
-    return reader.options(**dict(cfg.options)).load(cfg.path)
+    raw = reader.options(**dict(cfg.options)).load(cfg.path)
+    if cfg.quarantine and cfg.format == "csv":
+        raw = reader.options(**dict(cfg.options)).schema(raw.schema.add(CORRUPT, T.StringType())).option("columnNameOfCorruptRecord", CORRUPT).load(cfg.path)
+    return raw
 
 
 def schema_diff(have: T.StructType, want: T.StructType) -> tuple[set[str], set[str]]:
@@ -59,6 +67,8 @@ def _cast(field: T.StructField, have: T.StructType) -> Column:
     kind, c = have[field.name].dataType, F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.ArrayType) and not isinstance(kind, T.ArrayType):
         return parse_string_array(c.cast("string")).cast(field.dataType).alias(field.name)
+    if isinstance(kind, T.StringType) and isinstance(field.dataType, T.StructType):
+        return F.from_json(c, field.dataType).alias(field.name)
     if isinstance(kind, T.StringType) and not isinstance(field.dataType, T.StringType):
         return c.try_cast(field.dataType).alias(field.name)
     return c.cast(field.dataType).alias(field.name)
@@ -69,6 +79,45 @@ def reconcile(df: DataFrame, want: T.StructType) -> DataFrame:
     return df.select(*[_cast(f, df.schema) for f in want])
 
 
+#: Where Spark's readers put a line that they can't parse.
+CORRUPT = "_corrupt_record"
+#: One value that its column's type refused, or a line that its format refused (column null).
+REJECT = "struct<column: string, reason: string, value: string>"
+
+
+def _refused(field: T.StructField, have: T.StructType) -> Column | None:
+    """A reject where a text is there and its wanted value isn't; null where all is well, None where nothing can be refused."""
+    if field.name not in have.names or not isinstance(have[field.name].dataType, T.StringType) or isinstance(field.dataType, T.StringType | T.ArrayType):
+        return None
+    raw = F.col(f"`{field.name}`")
+    reject = F.struct(F.lit(field.name).alias("column"), F.lit(f"not a {field.dataType.simpleString()}").alias("reason"), raw.alias("value"))
+    if isinstance(field.dataType, T.StructType):
+        parsed = F.from_json(raw, T.StructType([*field.dataType.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
+        return F.when((F.trim(raw) != "") & (parsed.isNull() | parsed[CORRUPT].isNotNull()), reject)
+    return F.when((F.trim(raw) != "") & raw.try_cast(field.dataType).isNull(), reject)
+
+
+def checked(df: DataFrame, want: T.StructType) -> DataFrame:
+    """``reconcile`` with ``_rejects``: an array (``REJECT``) of what would otherwise turn into null in silence.
+
+    Blank texts are missing values, no rejects. A line that the reader could not parse (``_corrupt_record``) is one reject with the whole line.
+    """
+    found = [r for f in want if (r := _refused(f, df.schema)) is not None]
+    if CORRUPT in df.columns:
+        line = F.col(CORRUPT)
+        found.append(F.when(line.isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.lit("corrupt record").alias("reason"), line.alias("value"))))
+    rejects = F.filter(F.array(*found), lambda r: r.isNotNull()) if found else F.array().cast(f"array<{REJECT}>")
+    return df.select(*[_cast(f, df.schema) for f in want], rejects.alias("_rejects"))
+
+
+def split_rejects(df: DataFrame, want: T.StructType, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows without a reject, rejects as (key, column, reason, value)), from one pass that is written once."""
+    both = settle(checked(df, want))
+    named = [F.col(f"`{key}`")] if key else []
+    rejects = both.where(F.size("_rejects") > 0).select(*named, F.explode("_rejects").alias("r")).select(*([F.col(f"`{key}`")] if key else []), "r.*")
+    return both.where(F.size("_rejects") == 0).drop("_rejects"), rejects
+
+
 def add_metadata(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_source_system": F.lit(source), "_load_timestamp": F.current_timestamp()})
 
@@ -94,4 +143,9 @@ def load_source(spark: SparkSession, cfg: SourceConfig, want: T.StructType) -> D
     df, met = with_retry(opened)
     if met < cfg.min_records:
         raise ValueError(f"fewer than {cfg.min_records} records")
-    return add_metadata(reconcile(df, want) if cfg.reconcile else df, cfg.name or cfg.path)
+    name = cfg.name or cfg.path
+    if cfg.quarantine:
+        df, rejects = split_rejects(df, want)
+        add_metadata(rejects, name).write.mode("append").parquet(cfg.quarantine)
+        return add_metadata(df, name)
+    return add_metadata(reconcile(df, want) if cfg.reconcile else df, name)

@@ -172,7 +172,8 @@ def test_risk_replies_and_isolation(spark):
         return {"has_adverse_media": True, "summary": "s", "risk_score": 0.4, "keywords_found": []}
 
     found = {r["corporate_id"]: r for r in risk.analyse(names, broken, risk.RiskConfig(attempts=2, first_wait=0.0)).collect()}
-    assert not found["1"]["has_adverse_media"] and found["2"]["risk_score"] == 0.4
+    assert found["1"]["has_adverse_media"] is None and found["1"]["adverse_media_last_checked"] is None
+    assert found["2"]["risk_score"] == 0.4 and found["2"]["adverse_media_last_checked"] is not None
     assert risk.attach(names, risk.analyse(names)).columns.count("corporate_name") == 1
 
 
@@ -198,7 +199,7 @@ def test_split_is_stable_and_complete(spark):
     assert [{r[0] for r in p.select("corporate_id").collect()} for p in again] == ids
 
 
-@pytest.mark.parametrize("selection", [None, "correlation"])
+@pytest.mark.parametrize("selection", [None, "correlation", "chi_square"])
 def test_training_with_nulls(spark, selection):
     cfg = features.FeatureConfig(selection=selection, select=3)
     ready = features.prepare(ml_rows(spark), cfg)
