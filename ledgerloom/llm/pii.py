@@ -161,31 +161,101 @@ def shaped(kind: str, text: str, start: int, stop: int) -> bool:
 
 
 def _rewritten(kind: str, own: str, rng: random.Random) -> tuple[str, bool]:
-    """Another form of a span of the rules, and whether it still is of its kind."""
+    """Another form of a span of the rules, its signs drawn one by one, and whether it still is of its kind."""
     digits = _DIGITS.sub("", own)
     if kind == "email":
         local, _, domain = own.partition("@")
-        return rng.choice([(f"{local}(at){domain}", True), (f"{local} [at] {domain.replace('.', ' [dot] ')}", True), (f"{local}(at){domain.replace('.', '(dot)')}", True), (f"{local[:1]}ü{local[1:]}ñ@{domain[:1]}é{domain[1:]}", True), (f"@{local}", False), (f"{local}@", False)])
+        at = rng.choice(["(at)", "[at]", " (at) ", " [at] "])
+        dot = rng.choice([".", ".", "(dot)", "[dot]", " (dot) ", " [dot] "])
+        odd = rng.choice("üñéößåç")
+        cut, edge = rng.choice([rng.randrange(len(local) + 1), len(local)]), rng.randrange(1, len(domain) + 1)
+        letters = rng.choice([f"{local[:cut]}{odd}{local[cut:]}@{domain}", f"{local}{odd}@{domain[:1]}{odd}{domain[1:]}", f"{local}@{domain[:edge]}{odd}{domain[edge:]}"])
+        return rng.choice([(local + at + domain.replace(".", dot), True), (local + at + domain, True), (letters, True), (letters, True), rng.choice([(f"@{local}", False), (f"{local}@", False)])])
     if kind == "ip":
         parts = own.split(".")
         wrong = [*parts[:3], str(rng.randrange(256, 1000))] if rng.random() < 0.5 else [*parts, str(rng.randrange(20))]
-        return rng.choice([("[.]".join(parts), True), ("(.)".join(parts), True), ("[dot]".join(parts), True), (".".join(wrong), False), (".".join(parts[:3]), False)])
+        return rng.choice([(rng.choice(["[.]", "(.)", "[dot]"]).join(parts), True)] * 3 + [(".".join(wrong), False), (".".join(parts[:3]), False)])
     if kind == "card":
-        groups = [digits[k : k + 4] for k in range(0, len(digits), 4)]
-        return rng.choice([(".".join(groups), True), ("/".join(groups), True), ("  ".join(groups), True), ("-".join(groups), True)])
+        size = rng.choice([4, 4, 4, 5, 6])
+        return rng.choice([".", "/", "-", " ", "  ", ". ", " -", "- ", "./"]).join(digits[k : k + size] for k in range(0, len(digits), size)), True
     area, middle, last = digits[-10:-7], digits[-7:-4], digits[-4:]
+    sign = lambda: rng.choice([" ", "-", ".", "/", " - ", ""])
+    first = rng.choice([area, area, area, f"0{area}", f"({area})", f"({area})", f"(0{area})", f"00{digits[:2]}{rng.choice([' ', '-', '/'])}{area}", f"1{rng.choice([' ', '-', '.'])}{area}"])
+    one = rng.choice([" ", "-", ".", "/", " - "]) if first[-1] != ")" else sign()
+    two = one if rng.random() < 0.5 else sign()
     date = f"{rng.randrange(1900, 2100)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
-    return rng.choice([(f"{area}-{middle}-{last}", True), (f"({area}) {middle}-{last}", True), (f"{area}.{middle}.{last}", True), (f"0{area} {middle}{last}", True), (f"{area} {middle} {last}", True), (f"00{digits[:2]} {area} {middle} {last}", True), (date, False), (f"{middle}-{last[:2]}", False), (f"{middle},{last[:3]}.{area[:2]}", False)])
+    wrong = rng.choice([date, f"{middle}-{last[:2]}", f"{middle},{last[:3]}.{area[:2]}"])
+    return (wrong, False) if rng.random() < 0.2 else (first + one + middle + two + last, True)
+
+
+def _made_up(kind: str, words: list[str], rng: random.Random) -> str:
+    """A span of the rules with random digits, and names from ``words``."""
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    name = lambda: re.sub("[^a-z]", "", rng.choice(words).lower())[:9] or "mail"
+    if kind == "email":
+        local = rng.choice([name(), name(), f"{name()}{rng.choice('._-')}{name()}", f"{name()}{rng.choice(['', '_'])}{num(rng.randrange(1, 4))}"])
+        end = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 6)))
+        return f"{local}@{name()}{rng.choice(['', '', num(1), '-' + num(1)])}.{rng.choice(['com', 'org', 'net', 'example.com', end, end, end])}"
+    if kind == "ip":
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    if kind == "card":
+        body = str(rng.randrange(3, 7)) + num(rng.choice([14, 14, 13, 15]))
+        return body + next(c for c in "0123456789" if luhn(body + c))
+    return f"+{rng.randrange(1, 99)} {rng.randrange(200, 999)} {num(3)} {num(4)}"
+
+
+def _decoy(words: list[str], rng: random.Random) -> str:
+    """Numbers and signs that are nothing: dates, versions, amounts, references, handles."""
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    return rng.choice([
+        f"{rng.randrange(1900, 2100)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}", f"{rng.randrange(1, 29)}/{rng.randrange(1, 13)}/{rng.randrange(1900, 2100)}", ".".join(str(rng.randrange(300)) for _ in range(5)),
+        ".".join([*(num(2) for _ in range(3)), str(rng.randrange(256, 999))]), num(rng.randrange(1, 9)), f"{num(3)}.{num(rng.randrange(2, 5))}", f"{num(2)},{num(3)}", f"{num(3)}-{num(2)}", f"@{rng.choice(words)}", f"{rng.choice(words)} {num(3)}", f"v{num(1)}.{num(1)}.{num(1)}", f"{num(2)}:{num(2)}",
+    ])
+
+
+def _carrier(text: str, rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
+    """A stretch of ``text`` between two words with spans and decoys put between its words, and where the spans are.
+
+    Every kind comes as often, in its own form and rewritten, whatever the corpus holds.
+    """
+    words = text[:4000].split()
+    start = rng.randrange(max(1, len(words) - 12))
+    own = [w for w in words[start : start + rng.randrange(4, 14)] if not _HINT.search(w)] or ["the"]
+    out, spans, left = "", [], rng.randrange(1, 3)
+    for k, word in enumerate(own):
+        out += word[:20] + " "
+        if left and (rng.random() < 0.3 or k == len(own) - 1):
+            left -= 1
+            if rng.random() < 0.7:
+                kind = rng.choice(KINDS)
+                made, is_one = (_made_up(kind, own, rng), True) if rng.random() < 0.2 else _rewritten(kind, _made_up(kind, own, rng), rng)
+                if is_one:
+                    spans.append((kind, len(out), len(out) + len(made)))
+            else:
+                made = _decoy(own, rng)
+            out += made + rng.choice([" ", " ", ", ", ". "])
+    return out, spans
+
+
+def _windows_of(text: str, spans, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    codes, tags, starts = symbols(text), _tags(len(text), spans), windows(text, TRAIN_WINDOW)
+    starts.sort(key=lambda s: not tags[s : s + TRAIN_WINDOW].any())  # stable: those with a span first
+    pad = lambda s: np.pad(tags[s : s + TRAIN_WINDOW], (0, max(0, s + TRAIN_WINDOW - len(text))))
+    return [(_cut(codes, s, TRAIN_WINDOW), pad(s)) for s in starts[:most]]
 
 
 def examples(text: str, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Windows (symbols, tags) to learn from: of the text with its spans, and of two texts with rewritten ones."""
-    rng, base, out = random.Random(f"{seed}:{len(text)}:{text[:64]}"), base_spans(text), []
+    """Windows (symbols, tags) to learn from: of the text with its spans, of two texts with rewritten ones, and of stretches with made-up ones.
+
+    They take turns, so that the first few windows of a document hold some of each.
+    """
+    rng, base = random.Random(f"{seed}:{len(text)}:{text[:64]}"), base_spans(text)
     apart, done = [], 0
     for s in base:  # spans of different kinds may overlap; the first one counts
         if s[1] >= done:
             apart.append(s)
             done = s[2]
+    sources = []
     for k in range(3 if apart else 1):
         pieces, spans, at, size = [], [], 0, 0
         for kind, a, b in apart:
@@ -195,12 +265,10 @@ def examples(text: str, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
             if is_one:
                 spans.append((kind, size, size + len(own)))
             size, at = size + len(own), b
-        now = "".join([*pieces, text[at:]])
-        codes, tags, starts = symbols(now), _tags(len(now), spans), windows(now, TRAIN_WINDOW)
-        starts.sort(key=lambda s: not tags[s : s + TRAIN_WINDOW].any())  # stable: those with a span first
-        for start in starts[: MAX_DOC_WINDOWS // 3]:
-            out.append((_cut(codes, start, TRAIN_WINDOW), np.pad(tags[start : start + TRAIN_WINDOW], (0, max(0, start + TRAIN_WINDOW - len(now))))))
-    return out
+        sources.append(_windows_of("".join([*pieces, text[at:]]), spans, MAX_DOC_WINDOWS // 3))
+    made = [w for _ in range(MAX_DOC_WINDOWS // 2) for w in _windows_of(*_carrier(text, rng), 2)]
+    turns = [made[:len(made) // 2], sources[0], made[len(made) // 2:], *sources[1:]]
+    return [own[k] for k in range(max(map(len, turns))) for own in turns if k < len(own)]
 
 
 def _trained(xs: list[np.ndarray], ys: list[np.ndarray], epochs: int) -> Tagger | None:
@@ -218,12 +286,12 @@ def fit(texts: list[str], epochs: int = 12) -> Tagger | None:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epochs: int = 12) -> Tagger | None:
-    """Fit on documents that come first by a hash of the id: ``MAX_TRAIN_DOCS`` that likely hold a span, and a third as many with a digit or at sign.
+    """Fit on documents that come first by a hash of the id: ``MAX_TRAIN_DOCS`` that likely hold a span, and a third as many of any kind.
 
     Executors cut the windows, so the driver gets ``MAX_TRAIN_WINDOWS`` windows and no text.
     """
     spread = F.pmod(F.xxhash64(id_col), F.lit(1 << 40))
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"), spread.alias("h")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= MAX_TRAIN_CHARS))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"), spread.alias("h")).where((F.length("text") > 0) & (F.length("text") <= MAX_TRAIN_CHARS))
     count = docs.count()
 
     def cut(batches):
@@ -237,7 +305,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", epoch
         share = min(1.0, per_row * most / max(count, 1))
         while True:  # a sample that turns out too thin is drawn again, wider
             picked = own.where(F.col("h") < int(share * (1 << 40))).orderBy("h", "id", "text").limit(most)
-            found = picked.mapInArrow(cut, "h long, k int, x binary, y binary").orderBy("h", "k", "x").limit(MAX_TRAIN_WINDOWS * 3 // 4 if per_row > 9 else MAX_TRAIN_WINDOWS // 4).collect()
+            found = picked.mapInArrow(cut, "h long, k int, x binary, y binary").orderBy("k", "h", "x").limit(MAX_TRAIN_WINDOWS * 3 // 4 if per_row > 9 else MAX_TRAIN_WINDOWS // 4).collect()
             if share == 1.0 or len({r["h"] for r in found}) * 2 > most or len(found) >= MAX_TRAIN_WINDOWS // 4:
                 return found
             share = min(1.0, share * 8)
