@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators import evaluation, features, quality, resolve, selection, sketches
+from ledgerloom.operators import evaluation, features, quality, resolve, risk, selection, sketches
 from ledgerloom.operators.incremental import Resolution
 from ledgerloom.plans.scratch import settle, shared_dir
 from ledgerloom.queries import DQ_RULES, ORACLES, QUERIES, company_source, entity_row, query, table
 from ledgerloom.sources.loader import split_rejects
 from ledgerloom.sources.registry import REGISTRY, Registry
+from ledgerloom.streaming.asking import ask_stream
 from ledgerloom.streaming.incremental import resolve_stream
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -154,3 +155,33 @@ def score_curves(spark, sf_dir):
 def score_calibration(spark, sf_dir):
     found = evaluation.calibration(_histogram(spark, sf_dir))
     return found.withColumn("mean_score", F.round("mean_score", 9))
+
+
+_ATTEMPTS = 4
+
+
+def _unsteady(record: dict) -> dict:
+    """A scorer that fails at times, by a rule of the id and the attempt."""
+    k, a = int(record["corporate_id"]), record["attempt"]
+    if (7 * k + 5 * a * a + k // 11) % 3 == 0 or k % 97 == 5:
+        raise OSError("no answer")
+    return {"has_adverse_media": k % 2 == 0, "summary": record["corporate_name"], "risk_score": (k % 10) / 10, "keywords_found": []}
+
+
+@query(f"""
+    WITH asked AS (SELECT client_id, name, list_min(list_filter(range(1, {_ATTEMPTS + 1}), lambda a: NOT ((7 * client_id + 5 * a * a + client_id // 11) % 3 = 0 OR client_id % 97 = 5))) AS good FROM clients WHERE client_id IS NOT NULL)
+    SELECT client_id::VARCHAR AS corporate_id, CASE WHEN good IS NULL THEN 'expired' ELSE 'found' END AS outcome, coalesce(good, {_ATTEMPTS})::INT AS attempts,
+           CASE WHEN good IS NOT NULL THEN client_id % 2 = 0 END AS has_adverse_media, CASE WHEN good IS NOT NULL THEN client_id % 10 / 10.0::DOUBLE END AS risk_score, good IS NOT NULL AS checked FROM asked""")
+def asked_again(spark, sf_dir):
+    """All clients asked about as a stream, by a scorer that fails at times: each ends found or expired after as many attempts as it needed."""
+    place = f"{shared_dir(spark)}/ledgerloom/asked-{uuid.uuid4().hex}"
+    clients = table(spark, sf_dir, "clients").where("client_id is not null").groupBy("client_id").agg(F.max("name").alias("name"))
+    first = clients.select(F.col("client_id").cast("string").alias("corporate_id"), F.col("name").alias("corporate_name"), F.lit("").alias("context"), F.lit("2024-06-01 00:00:00").cast("timestamp").alias("asked_at"))
+    first.write.parquet(f"{place}/in/0")
+    for k in range(1, 8):  # time goes on, with nobody to ask for
+        spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in first.columns[:3]], F.lit(f"2024-06-01 00:{k:02}:00").cast("timestamp").alias("asked_at")).coalesce(1).write.parquet(f"{place}/in/{k}")
+    requests = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in/*")
+    outcomes = ask_stream(requests, _unsteady, risk.RiskConfig(calls_per_minute=10_000_000, attempts=_ATTEMPTS))
+    outcomes.writeStream.format("parquet").option("path", f"{place}/out").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{place}/out")
+    return found.select("corporate_id", "outcome", "attempts", "has_adverse_media", "risk_score", F.col("adverse_media_last_checked").isNotNull().alias("checked"))

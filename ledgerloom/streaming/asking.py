@@ -40,7 +40,7 @@ class Asking(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         now = timerValues.getCurrentProcessingTimeInMs() if self.wall_clock else timerValues.getCurrentWatermarkInMs()
         for frame in rows:
-            for record in frame.drop(columns=["_lane"]).to_dict("records"):
+            for record in frame.drop(columns="_lane", errors="ignore").to_dict("records"):
                 asked = record.pop("asked_at")
                 if not self.wall_clock:
                     now = max(now, int(pd.Timestamp(asked).value // 1_000_000))
