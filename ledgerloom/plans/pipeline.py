@@ -178,6 +178,7 @@ class MLPipeline:
             ready = settle(features.prepare(features.valid_records(data), cfg.features))
             parts = features.split(ready, cfg.key, cfg.split, cfg.training.seed, cfg.features.target if cfg.stratify else None)
             counts |= {n: p.count() for n, p in zip(("train", "validation", "test"), parts, strict=True)}
+            self.tracker.log_dataset_info(parts[0], "train", cfg.features.target)
             stage = "train"
             with self.metrics.timer("model_training"):
                 model, summary = training.train(features.stages(parts[0], cfg.features), parts[0], cfg.training, parts[1] if counts["validation"] else None)

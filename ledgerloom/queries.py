@@ -250,7 +250,7 @@ def _entities(spark, sf_dir):
 def entity_row(e: DataFrame) -> DataFrame:
     """The columns of entities that are compared, lists as texts."""
     text = lambda c: F.nullif(F.array_join(c, ","), F.lit(""))
-    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"), "profit", F.col("fiscal_year").cast("long").alias("fiscal_year"), F.array_join("sources", ",").alias("sources"), F.array_join("blocking_keys", ",").alias("blocking_keys"), "industry_sector", F.array_join("top_suppliers", ",").alias("top_suppliers"))
+    return e.select("corporate_id", "country", "postal_code", (F.size("temp_id_S1_list") + F.size("temp_id_S2_list")).cast("long").alias("n_rows"), "revenue", text("temp_id_S1_list").alias("s1_ids"), text("temp_id_S2_list").alias("s2_ids"), F.col("corporate_name_clean").alias("name_clean"), "profit", F.col("fiscal_year").cast("long").alias("fiscal_year"), F.array_join("sources", ",").alias("sources"), F.array_join("blocking_keys", ",").alias("blocking_keys"), "industry_sector", *[F.array_join(c, ",").alias(c) for c in ("top_suppliers", "main_customers", "activity_places")])
 
 
 @query(_PRINTS + """
@@ -261,7 +261,9 @@ def entity_row(e: DataFrame) -> DataFrame:
            max(CASE WHEN id LIKE 'S2:%' THEN CAST(substr(id, 4) AS BIGINT) * 1.0 - 100 END) AS profit, max(CASE WHEN id LIKE 'S2:%' THEN 2020 + CAST(substr(id, 4) AS BIGINT) % 5 END) AS fiscal_year,
            array_to_string(list_sort(list_distinct(list(substr(id, 1, 2)))), ',') AS sources, array_to_string(list_sort(list_distinct(list(coalesce(country_clean, 'UNK') || '||' || substr(name_clean, 1, 3)))), ',') AS blocking_keys,
            min_by('sector' || CAST(substr(id, 4) AS BIGINT) % 5, id) AS industry_sector,
-           coalesce(array_to_string(list_sort(list_distinct(list('sup' || CAST(substr(id, 4) AS BIGINT) % 7) FILTER (id LIKE 'S1:%'))), ','), '') AS top_suppliers
+           coalesce(array_to_string(list_sort(list_distinct(list('sup' || CAST(substr(id, 4) AS BIGINT) % 7) FILTER (id LIKE 'S1:%'))), ','), '') AS top_suppliers,
+           coalesce(array_to_string(list_sort(list_distinct(list('cus' || CAST(substr(id, 4) AS BIGINT) % 11) FILTER (id LIKE 'S2:%'))), ','), '') AS main_customers,
+           coalesce(array_to_string(list_sort(list_distinct(list(country) FILTER (id LIKE 'S1:%'))), ','), '') AS activity_places
     FROM comp JOIN prints USING (component) JOIN nodes USING (id) GROUP BY corporate_id""")
 def harmonized_entities(spark, sf_dir):
     return entity_row(_entities(spark, sf_dir))
