@@ -184,9 +184,29 @@ class Resolution:
             own.append(rows.join(owners.select(F.col("id").alias(f"temp_id_{side}")), f"temp_id_{side}", "left_semi").drop("load", "key"))
         entities = self._write(merge_sources(own[0], own[1], owners), "entities", number)
         retired = self._write(touched.join(owners.select("corporate_id"), "corporate_id", "left_anti"), "retired", number)
-        self.spark.range(1).select(F.lit(number).alias("load_number")).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/done/load={number}")
+        self._finish(number)
         return Delta(number, entities, retired)
 
+    def _finish(self, number: int) -> None:
+        self.spark.range(1).select(F.lit(number).alias("load_number")).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/done/load={number}")
+
+    def folded(self, folder: str) -> Resolution:
+        """The same state in another folder, as one load of the last one's number: without replaced rows and outdated labels, ids and entities.
+
+        The old folder stays as it is, so a reader or a run that breaks off loses nothing; later loads go to the new one.
+        """
+        loads, other = self.loads(), Resolution(self.spark, folder, self.cfg)
+        last = loads[-1]
+        for side in SIDES:
+            other._write(self.rows(side, loads).drop("load"), f"rows_{side}", last)
+        for name in ("gone", "retired"):
+            other._write(self._table(name, loads).where("false").drop("load"), name, last)
+        other._write(self._latest(self._table("labels", loads), "key", "label").where("label is not null"), "labels", last)
+        other._write(self._latest(self._table("ids", loads), "id", "corporate_id"), "ids", last)
+        other._write(self.entities(), "entities", last)
+        other._finish(last)
+        return other
+
     def entities(self) -> DataFrame:
         """All entities after the loads so far: of each id the last load's row, without retired ones."""
         loads = self.loads()

@@ -72,9 +72,13 @@ def test_replaced_rows_undo_their_matches_and_a_load_may_run_again(spark, tmp_pa
         state.load(1, spark.createDataFrame(new_one, ONE), spark.createDataFrame(new_two, TWO), keys())
     rows = lambda old, new: list({r[0]: r for r in [*old, *new]}.values())
     back = [one[k] for k in (0, 3, 5, 9, 10)]  # old keys come again: no label of theirs has survived
-    state.load(2, spark.createDataFrame(back, ONE), spark.createDataFrame([], TWO), keys())
-    assert told(state.entities()) == at_once(spark, one, rows(two, new_two))
-    assert state.loads() == [0, 1, 2]
+    folded = state.folded(f"file://{tmp_path}/folded")
+    assert folded.loads() == [1] and told(folded.entities()) == told(state.entities())
+    want = at_once(spark, one, rows(two, new_two))
+    for each in (state, folded):
+        each.load(2, spark.createDataFrame(back, ONE), spark.createDataFrame([], TWO), keys())
+        assert told(each.entities()) == want
+    assert state.loads() == [0, 1, 2] and folded.loads() == [1, 2]
     with pytest.raises(ValueError, match="share an id"):
         state.load(3, spark.createDataFrame([one[0], one[0]], ONE), spark.createDataFrame([], TWO), keys())
 
