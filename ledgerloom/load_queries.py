@@ -79,7 +79,7 @@ def chi_square_features(spark, sf_dir):
 @query(ORACLES["dq_report"])
 def dq_report_observed(spark, sf_dir):
     """The same rules as ``dq_report``, counted while the rows are written; only the exact distinct count reads the table, one column of it."""
-    rows, seen, _ = quality.observed(table(spark, sf_dir, "customer"), DQ_RULES, f"customer-{uuid.uuid4().hex}")
+    rows, seen, _ = quality.observed(table(quality.apart(spark), sf_dir, "customer"), DQ_RULES, f"customer-{uuid.uuid4().hex}")
     written = settle(rows)
     found = quality.observed_report(seen, DQ_RULES, rows.columns, written)
     told = spark.createDataFrame([(r["field"], r["kind"], r["rows"], r["errors"]) for r in found], "field string, kind string, rows long, errors long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("not_null", "min_length", "max_length", "numeric", "positive", "range", "pattern", "unique")
@@ -80,10 +80,23 @@ def decision(rule_report: DataFrame, error_threshold: float = 0.05) -> DataFrame
     return total.select("checks", "errors", rate.alias("error_rate"), F.coalesce(rate <= error_threshold, F.lit(False)).alias("passed"))
 
 
+def apart(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, for frames that are observed.
+
+    An ``Observation`` leaves its manager in the frame's session, and some fitted models ship their session
+    with their code; with such a manager in it Spark 4.1 can't serialize them. So no session does both.
+    """
+    other = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            other.conf.set(k, v)
+    return other
+
+
 def observed(df: DataFrame, rules: list[Rule], name: str = "quality") -> tuple[DataFrame, Observation, list[Rule]]:
     """``df`` with all rules counted while it runs, what they count into, and the rules that this leaves out.
 
-    No scan of its own: the counts come with whatever writes or reads the frame. An exact distinct count can't be
+    ``df`` comes from a session made by ``apart``. No scan of its own: the counts come with whatever writes or reads the frame. An exact distinct count can't be
     observed, so exact ``unique`` rules are left to ``report`` on the table that was written; approximate ones are counted here.
     """
     own = [r for r in rules if r.field in df.columns]

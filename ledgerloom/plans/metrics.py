@@ -7,9 +7,6 @@ import time
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
 
 class Metrics:
     """Wall-clock timers by name (a context manager, or start and stop) and recorded values."""
@@ -37,17 +34,10 @@ class Metrics:
     def record_metric(self, name: str, value) -> None:
         self.values[name] = value
 
-    def observe(self, df: DataFrame, name: str, *more) -> DataFrame:
-        """Row counts gathered while ``df`` runs; read them with ``observed`` after an action."""
-        seen = Observation(name)
-        self.values[name] = seen
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *more)
-
     def export_metrics_to_dict(self) -> dict:
         """Total duration is that of the outermost timers named ``total_*``, else the sum."""
         totals = [v for k, v in self.durations.items() if k.startswith("total_")]
-        values = {k: v.get if isinstance(v, Observation) else v for k, v in self.values.items()}
-        return {"durations": dict(self.durations), "metrics": values, "total_duration": max(totals) if totals else sum(self.durations.values())}
+        return {"durations": dict(self.durations), "metrics": dict(self.values), "total_duration": max(totals) if totals else sum(self.durations.values())}
 
     def save_metrics_to_file(self, path: str) -> None:
         Path(path).parent.mkdir(parents=True, exist_ok=True)

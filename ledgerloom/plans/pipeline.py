@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import features, resolve, risk, training
-from ledgerloom.operators.quality import Rule, judged, observed, observed_report
+from ledgerloom.operators.quality import Rule, apart, judged, observed, observed_report
 from ledgerloom.operators.tracking import Tracker
 from ledgerloom.plans.metrics import Checkpoints, Metrics
 from ledgerloom.plans.scratch import settle, shared_dir
@@ -55,9 +55,10 @@ class IngestionPipeline:
     def _loaded(self, name: str, source: SourceConfig, want, rules: list[Rule]) -> tuple[DataFrame, list[dict]]:
         """A source's table and its report: the rules are counted while the table is written."""
         seen: list = []
+        session = apart(self.spark)
 
         def build() -> DataFrame:
-            df, observation, _ = observed(load_source(self.spark, source, want), rules, f"{name}-quality") if rules else (load_source(self.spark, source, want), None, [])
+            df, observation, _ = observed(load_source(session, source, want), rules, f"{name}-quality") if rules else (load_source(session, source, want), None, [])
             seen.append(observation)
             return df
 
@@ -70,7 +71,7 @@ class IngestionPipeline:
             # A table of an earlier run is counted as it is: its rules may be others than these.
             observation = seen[0] if seen else None
             if observation is None:
-                counted, observation, _ = observed(table, rules, f"{name}-again")
+                counted, observation, _ = observed(session.read.parquet(self.stages.path(name)), rules, f"{name}-again")
                 counted.write.format("noop").mode("overwrite").save()
             return self.spark.createDataFrame(observed_report(observation, rules, table.columns, table), _REPORT)
 

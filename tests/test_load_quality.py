@@ -23,7 +23,7 @@ RULES = [Rule("a", "not_null"), Rule("a", "unique"), Rule("b", "range", low=0, h
 
 
 def test_rules_counted_while_the_rows_are_written(spark, tmp_path):
-    df = spark.createDataFrame([("x1", 1.0), ("x1", 9.0), (None, None), ("y", -1.0)], "a string, b double")
+    df = quality.apart(spark).createDataFrame([("x1", 1.0), ("x1", 9.0), (None, None), ("y", -1.0)], "a string, b double")
     counted, seen, left = quality.observed(df, RULES, "t1")
     counted.write.parquet(f"{tmp_path}/t")
     written = spark.read.parquet(f"{tmp_path}/t")
