@@ -713,11 +713,11 @@ def _scripted(record: dict):
     return f'```json\n{{"has_adverse_media": {str(k % 2 == 0).lower()}, "summary": "s{k}", "risk_score": {k % 5 * 0.5 - 0.5}, "keywords_found": ["fraud", "k{k % 4}"]}}\n```'
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS corporate_id, c_name AS corporate_name, CASE WHEN known THEN c_custkey % 2 = 0 ELSE false END AS has_adverse_media, CASE WHEN known THEN 's' || c_custkey END AS adverse_media_summary,
-    CASE WHEN known THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, (c_custkey % 5) * 0.5::DOUBLE - 0.5::DOUBLE)) ELSE 0.0::DOUBLE END AS risk_score, CASE WHEN known THEN 'fraud,k' || c_custkey % 4 ELSE '' END AS keywords_found, true AS checked
-    FROM (SELECT *, c_custkey % 7 <> 0 AND c_custkey % 3 <> 0 AS known FROM customer)""")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS corporate_id, c_name AS corporate_name, CASE WHEN known THEN c_custkey % 2 = 0 WHEN answered THEN false END AS has_adverse_media, CASE WHEN known THEN 's' || c_custkey END AS adverse_media_summary,
+    CASE WHEN known THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, (c_custkey % 5) * 0.5::DOUBLE - 0.5::DOUBLE)) WHEN answered THEN 0.0::DOUBLE END AS risk_score, CASE WHEN known THEN 'fraud,k' || c_custkey % 4 WHEN answered THEN '' END AS keywords_found, answered AS checked
+    FROM (SELECT *, c_custkey % 7 <> 0 AS answered, c_custkey % 7 <> 0 AND c_custkey % 3 <> 0 AS known FROM customer)""")
 def risk_findings(spark, sf_dir):
-    """Findings of every customer by a scorer that sometimes fails: a row's failure is its own."""
+    """Findings of every customer by a scorer that sometimes fails: a row's failure is its own, and no finding."""
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("corporate_id"), F.col("c_name").alias("corporate_name"), F.lit("").alias("context"))
     found = risk.analyse(rows, _scripted, risk.RiskConfig(calls_per_minute=10**9, parallelism=8, attempts=1))
     return found.select("corporate_id", "corporate_name", "has_adverse_media", "adverse_media_summary", "risk_score", F.array_join("keywords_found", ",").alias("keywords_found"), F.col("adverse_media_last_checked").isNotNull().alias("checked"))
