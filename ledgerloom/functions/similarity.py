@@ -216,7 +216,8 @@ def _udf(kernel):
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array(kernel(a, b), pa.float64())
 
-    return run
+    # Spark would compute a deterministic one again for each filter that it moves below it.
+    return run.asNondeterministic()
 
 
 def jaro_winkler_col(a: Column, b: Column) -> Column:
