@@ -148,7 +148,9 @@ def blocking_keys(spark, sf_dir):
 
 @query("WITH " + SOURCES + " SELECT country_s1 AS country, count(*) AS n_pairs FROM scored WHERE score >= 0.6 GROUP BY 1")
 def matches_by_country(spark, sf_dir):
-    return _matches(spark, sf_dir).groupBy(F.col("country_s1").alias("country")).agg(F.count(F.lit(1)).alias("n_pairs"))
+    """Distinct values are matched; a match counts for the rows behind it on either side."""
+    matched, _, _ = resolve.matched_keys(*_both(spark, sf_dir))
+    return matched.groupBy(F.col("country_s1").alias("country")).agg(F.sum(F.col("n_s1") * F.col("n_s2")).alias("n_pairs"))
 
 
 def _pairs(spark, sf_dir):
