@@ -157,9 +157,10 @@ def _pairs(spark, sf_dir):
     return resolve.candidate_pairs(prepared(spark, sf_dir, "S1"), prepared(spark, sf_dir, "S2"))
 
 
-def _matches(spark, sf_dir):
-    pairs = resolve.matching_candidates(prepared(spark, sf_dir, "S1"), prepared(spark, sf_dir, "S2"))
-    return resolve.score_pairs(pairs).where("score >= 0.6")
+def _name_pairs(spark, sf_dir):
+    """(name_s1, name_s2): distinct names that share a block."""
+    names = lambda df: df.select("blocking_key", F.col("corporate_name_clean").alias("name"))
+    return resolve.value_pairs(*map(names, _both(spark, sf_dir)), "name")
 
 
 @query("WITH " + SOURCES + " SELECT id_s1, id_s2, name_s1, name_s2, post_s1, post_s2, country_s1, country_s2 FROM pairs")
@@ -188,7 +189,7 @@ def token_sort_score(spark, sf_dir):
 
 @query("WITH " + SOURCES + " SELECT id_s1, id_s2, round(score, 6) AS score FROM scored WHERE score >= 0.6")
 def weighted_match(spark, sf_dir):
-    return _matches(spark, sf_dir).select("id_s1", "id_s2", F.round("score", 6).alias("score"))
+    return resolve.matched_rows(*_both(spark, sf_dir)).select("id_s1", "id_s2", F.round("score", 6).alias("score"))
 
 
 _ADDRESS = r"regexp_replace(array_to_string(list_slice(string_split(text, ' '), 4, 7), ' '), '[^\x00-\x7F]', '', 'g')"
