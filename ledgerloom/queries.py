@@ -170,7 +170,7 @@ def candidate_pairs(spark, sf_dir):
 
 @query("WITH " + SOURCES + " SELECT DISTINCT name_s1, name_s2, round(CASE WHEN name_s1 = '' OR name_s2 = '' THEN 0.0::DOUBLE ELSE jaro_winkler_similarity(name_s1, name_s2) END, 6) AS jw FROM pairs")
 def jaro_winkler_score(spark, sf_dir):
-    names = _pairs(spark, sf_dir).select("name_s1", "name_s2").distinct()
+    names = _name_pairs(spark, sf_dir)
     return names.select("name_s1", "name_s2", F.round(jaro_winkler_col(F.col("name_s1"), F.col("name_s2")), 6).alias("jw"))
 
 
@@ -183,7 +183,7 @@ _TOKEN_SORT = "CASE WHEN x = '' AND y = '' OR x = '' OR y = '' THEN 0.0::DOUBLE
 
 @query("WITH " + SOURCES + f", n AS (SELECT DISTINCT name_s1, name_s2, {_TOKENS.format(c='name_s1')} AS x, {_TOKENS.format(c='name_s2')} AS y FROM pairs) SELECT name_s1, name_s2, {_TOKEN_SORT} AS token_sort FROM n")
 def token_sort_score(spark, sf_dir):
-    names = _pairs(spark, sf_dir).select("name_s1", "name_s2").distinct()
+    names = _name_pairs(spark, sf_dir)
     return names.select("name_s1", "name_s2", token_sort_col(F.col("name_s1"), F.col("name_s2")).alias("token_sort"))
 
 
