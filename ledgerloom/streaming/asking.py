@@ -99,13 +99,14 @@ class Asking(StatefulProcessor):
 def ask_stream(requests: DataFrame, scorer: Scorer, cfg: RiskConfig = RiskConfig(), clock: str = "eventTime", delay: str = "0 seconds", lanes: int | None = None) -> DataFrame:
     """``OUTCOME`` rows of a stream of (corporate_id, corporate_name, context, asked_at); a null id only moves the time on.
 
-    A company that waits already is not asked twice. The scorer gets the record with the number of the ``attempt``.
+    Requests may be ``delay`` older than the newest of earlier batches; those that are still older are lost. A company that waits already is not asked twice. The scorer gets the record with the number of the ``attempt``.
     """
     spark = requests.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STORE)
     lanes = max(1, min(lanes or cfg.parallelism or int(spark.conf.get("spark.sql.shuffle.partitions")), cfg.calls_per_minute))
     rows = requests.select("corporate_id", "corporate_name", "context", "asked_at", F.pmod(F.xxhash64("corporate_id"), F.lit(lanes)).alias("_lane"))
     if clock == "eventTime":
-        rows = rows.withWatermark("asked_at", delay)
+        # Spark drops rows at the watermark itself too: requests of one time may come in several batches.
+        rows = rows.withWatermark("asked_at", f"{delay} 1 millisecond")
     asking = Asking(scorer, cfg, cfg.calls_per_minute // lanes, clock == "processingTime")
     return rows.groupBy("_lane").transformWithStateInPandas(asking, OUTCOME, "append", clock)

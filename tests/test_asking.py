@@ -70,3 +70,13 @@ def test_failures_come_back_and_the_budget_holds(spark, tmp_path, lanes):
         assert (r["risk_score"] == 0.25) == (r["adverse_media_last_checked"] is not None) == known and (r["has_adverse_media"] is None) != known
     by_minute = Counter(r["adverse_media_last_checked"].minute for r in got if r["outcome"] == "found")
     assert max(by_minute.values()) <= 9
+
+
+def test_requests_of_one_time_in_many_files(spark, tmp_path):
+    """Each file is a batch: those after the second hold the time that the watermark has reached already."""
+    asked = Asked(spark, tmp_path, RiskConfig(calls_per_minute=1000, attempts=2, first_wait=2.0), 2)
+    for k in range(5):
+        asked.write(0, range(5 * k, 5 * k + 5))
+    for minute in range(1, 5):
+        asked.write(minute)
+    assert {r["corporate_id"]: (r["outcome"], r["attempts"]) for r in asked.run()} == plain(range(25), 2)
