@@ -21,22 +21,23 @@ __all__ = ["ORACLES", "QUERIES"]
 
 @query(ORACLES["harmonized_entities"])
 def incremental_resolution(spark, sf_dir):
-    """Both sources as files in three parts, streamed a file of each at a time; what the registry holds at the end equals one resolution of all rows.
+    """Both sources in three parts of as many files as they need, streamed about a part of each at a time; what the registry holds at the end equals one resolution of all rows.
 
     The first files hold other postal codes for every fifth row, so later files also replace rows and undo matches.
     """
     place = f"{shared_dir(spark)}/ledgerloom/resolve-{uuid.uuid4().hex}"
-    schemas = []
+    schemas, most = [], 1
     for side in ("S1", "S2"):
-        rows = company_source(spark, sf_dir, side)
+        rows = settle(company_source(spark, sf_dir, side))
         part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
         early = rows.where((part == 0) | (F.col("doc_id") % 5 == 0)).withColumn("postal_code", F.when((F.col("doc_id") % 5 == 0) & (part != 0), F.lit("00")).otherwise(F.col("postal_code")))
         for k, df in enumerate((early, rows.where(part == 1), rows.where(part == 2))):
-            df.coalesce(1).write.parquet(f"{place}/{side}/{k}")
+            df.write.parquet(f"{place}/{side}/{k}")
+            most = max(most, len(spark.read.schema(rows.schema).parquet(f"{place}/{side}/{k}").inputFiles()))
         schemas.append(rows.schema)
     registry = Registry(spark, f"{place}/registry/companies", REGISTRY, "corporate_id", None)
     resolution = Resolution(spark, f"{place}/state")
-    resolve_stream(spark, (f"{place}/S1/*", f"{place}/S2/*"), tuple(schemas), resolution, f"{place}/checkpoint", ("doc_id", "doc_id"), registry, files_per_batch=1)
+    resolve_stream(spark, (f"{place}/S1/*", f"{place}/S2/*"), tuple(schemas), resolution, f"{place}/checkpoint", ("doc_id", "doc_id"), registry, files_per_batch=most)
     return entity_row(registry.at())
 
 
