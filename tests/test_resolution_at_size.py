@@ -1,4 +1,4 @@
-"""Resolution whose work must not outgrow the sources."""
+"""Resolution whose work, and what it sends through the driver, must not outgrow the sources."""
 
 import random
 
@@ -6,8 +6,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import queries
 from ledgerloom.operators import components, resolve
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def sides(spark, rows):
     schema = "k long, corporate_name_S1 string, address string, country string, postal_code string"
@@ -15,6 +18,34 @@ def sides(spark, rows):
     return [resolve.prepare(df, s, F.col("k")) for df, s in zip(made, ("S1", "S2"), strict=True)]
 
 
+@pytest.fixture
+def seen(monkeypatch):
+    """Plans of the tables that resolution writes on its way."""
+    plans, settle = [], resolve.settle
+
+    def watched(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df, *more)
+
+    monkeypatch.setattr(resolve, "settle", watched)
+    monkeypatch.setattr(components, "settle", watched)
+    return plans
+
+
+def plain_pairs(one, two, block="blocking_key", sizes=None):
+    """Without tiles, whose list of large blocks is broadcast and much smaller than the rows."""
+    two = two.withColumnRenamed(block, "_other")
+    return one.join(two.hint("merge"), one[block] == two["_other"]).drop(block, "_other")
+
+
+@pytest.mark.parametrize("name", ["harmonized_entities", "entity_counts", "entity_fingerprint", "components_of_matches"])
+def test_no_table_of_the_sources_goes_through_the_driver(spark, monkeypatch, seen, name):
+    monkeypatch.setattr(resolve, "block_pairs", plain_pairs)
+    found = queries.QUERIES[name](spark, SMALL)
+    seen.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(seen) > 5 and not [p for p in seen if "Broadcast" in p]
+
+
 def test_equal_postal_codes_meet_in_even_tiles(spark):
     rng = random.Random(5)
     rows = [[(k, "the " + "".join(rng.choice("abcdef") for _ in range(8)), None, "DE", "1") for k in range(600)] for _ in range(2)]
