@@ -1,11 +1,13 @@
-"""String similarity over whole Arrow batches, bit-parallel in numpy, and a native upper bound that saves most calls.
+"""String similarity over whole Arrow batches or grids of texts, bit-parallel in numpy, and a native upper bound that saves most calls.
 
-``jaro_winkler`` and ``token_sort_ratio`` say what is computed, for one pair; the batch kernels give the same numbers.
+``jaro_winkler`` and ``token_sort_ratio`` say what is computed, for one pair; the batch and grid kernels give the same numbers.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 from functools import lru_cache
 
 import numpy as np
@@ -80,6 +82,8 @@ def token_sort_ratio(a: str | None, b: str | None) -> float:
 WORD = 64
 #: Pairs compared at once, so that their bit tables stay in a core's cache.
 _BLOCK = 1 << 13
+#: Cells of a grid computed at once.
+_CELLS = 1 << 14
 
 
 class Texts:
@@ -165,7 +169,7 @@ def common_words(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -
     return nx - np.bitwise_count(row).astype(np.int64)
 
 
-def _distinct(column: pa.Array) -> tuple[np.ndarray, list[str]]:
+def distinct(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     """Of each row the number of its text, -1 for null; the texts."""
     coded = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).dictionary_encode()
     return pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
@@ -188,7 +192,7 @@ def _in_words(plain, kernel, one: list[str], two: list[str], i: np.ndarray, j: n
 
 def jaro_winkler_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     """``jaro_winkler`` of all pairs of a batch."""
-    (i, one), (j, two) = _distinct(a), _distinct(b)
+    (i, one), (j, two) = distinct(a), distinct(b)
     out = np.zeros(len(i))
     sizes = [np.append(np.fromiter(map(len, t), np.int64, len(t)), 0) for t in (one, two)]
     both = np.flatnonzero((sizes[0][i] > 0) & (sizes[1][j] > 0))
@@ -198,7 +202,7 @@ def jaro_winkler_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 def token_sort_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     """``token_sort_ratio`` of all pairs of a batch; the tokens of each distinct text are sorted once."""
-    (i, one), (j, two) = _distinct(a), _distinct(b)
+    (i, one), (j, two) = distinct(a), distinct(b)
     there = [np.append(np.fromiter((bool(t) for t in own), bool, len(own)), False) for own in (one, two)]
     one, two = ([sorted_tokens(s) for s in own] for own in (one, two))
     out = np.zeros(len(i))
@@ -211,6 +215,135 @@ def token_sort_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
+def _columns(size: np.ndarray) -> Iterator[tuple[type | None, np.ndarray]]:
+    """(word, texts) of a grid's columns by the least word that holds their characters; None for texts longer than any."""
+    for word, least, most in ((np.uint32, 1, 32), (np.uint64, 33, WORD), (None, WORD + 1, np.inf)):
+        if len(own := np.flatnonzero((size >= least) & (size <= most))):
+            yield word, own
+
+
+def _places(alphabet: np.ndarray, rows: np.ndarray, word: type) -> np.ndarray:
+    """Of each character of the alphabet, and last of none, its places in each text as bits."""
+    at = np.minimum(np.searchsorted(alphabet, rows), len(alphabet) - 1)
+    at[alphabet[at] != rows] = len(alphabet)
+    out, every = np.zeros((len(alphabet) + 1, len(rows)), word), np.arange(len(rows))
+    for k in range(rows.shape[1]):
+        out[at[:, k], every] |= word(1 << k)
+    out[-1] = 0
+    return out
+
+
+def _jaro_winkler_cells(chars: np.ndarray, na: np.ndarray, places: np.ndarray, full: np.ndarray, nb: np.ndarray, windows: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """``jaro_winkler`` of texts, given by their characters' rows of ``places`` and the number ``of`` their windows, with the texts of ``places``."""
+    free = np.repeat(full[None], len(chars), axis=0)
+    one = slice(of[0], of[0] + 1) if of[0] == of[-1] else of
+    hits, firsts = [], []
+    for k, c in enumerate(chars.T):
+        hit = places[c]
+        first = hit & free
+        first &= windows[k, one]
+        first &= np.negative(first)
+        free ^= first
+        hits.append(hit)
+        firsts.append(first)
+    left = free ^ full
+    m = np.bitwise_count(left)
+    wrong = np.zeros(left.shape, np.uint8)
+    for hit, first in zip(hits, firsts, strict=True):
+        taken = first != 0
+        lowest = np.negative(left)
+        lowest &= left
+        hit &= lowest
+        wrong += ((hit == 0) & taken).view(np.uint8)
+        lowest &= np.negative(taken.astype(left.dtype))
+        left ^= lowest
+    with np.errstate(divide="ignore", invalid="ignore"):
+        score = (m / na[:, None] + m / nb + (m - (wrong >> 1)) / m.astype(np.float64)) / 3
+    score[m == 0] = 0.0
+    run = np.ones(left.shape, left.dtype)
+    same = np.zeros(left.shape, left.dtype)
+    for k, c in enumerate(chars.T[:4]):
+        run &= places[c] >> left.dtype.type(k)
+        same += run
+    return np.where(score > 0.7, score + same * 0.1 * (1 - score), score)
+
+
+def jaro_winkler_grid(one: list[str], two: list[str]) -> np.ndarray:
+    """``jaro_winkler`` of each text of ``one``, a row, with each of ``two``, a column."""
+    out = np.zeros((len(one), len(two)))
+    a, b = Texts(one), Texts(two)
+    of_a = np.argsort(a.size, kind="stable")
+    of_a = of_a[a.size[of_a] > 0]
+    for word, own in _columns(b.size) if len(of_a) else ():
+        if word is None:
+            out[:, own] = [[jaro_winkler(x, two[j]) for j in own.tolist()] for x in one]
+            continue
+        alphabet = np.unique(a.flat)
+        rows, nb = b.rows(own)
+        places, full = _places(alphabet, rows, word), _low(nb).astype(word)
+        step = max(1, _CELLS // len(own))
+        for k in range(0, len(of_a), step):
+            some = of_a[k : k + step]
+            chars, na = a.rows(some)
+            at = np.where(np.arange(chars.shape[1]) < na[:, None], np.searchsorted(alphabet, chars), len(alphabet))
+            lengths, of = np.unique(na, return_inverse=True)
+            reach = np.maximum(0, np.maximum(lengths[:, None], nb) // 2 - 1)
+            place = np.arange(chars.shape[1])[:, None, None]
+            windows = (_low(place + reach + 1) & ~_low(place - reach)).astype(word)
+            out[np.ix_(some, own)] = _jaro_winkler_cells(at, na, places, full, nb, windows, of)
+    return out
+
+
+def _common_grid(one: list[str], two: list[str]) -> np.ndarray:
+    """``_common`` of each text of ``one`` with each of ``two``."""
+    out = np.zeros((len(one), len(two)), np.int64)
+    a, b = Texts(one), Texts(two)
+    by_size = np.argsort(a.size, kind="stable")
+    by_size = by_size[a.size[by_size] > 0]
+    for word, own in _columns(b.size) if len(by_size) else ():
+        if word is None:
+            out[:, own] = [[_common(x, two[j]) for j in own.tolist()] for x in one]
+            continue
+        alphabet = np.unique(a.flat)
+        rows, nb = b.rows(own)
+        places, full = _places(alphabet, rows, word), _low(nb).astype(word)
+        step = max(1, _CELLS // len(own))
+        for k in range(0, len(by_size), step):
+            some = by_size[k : k + step]
+            chars, size = a.rows(some)
+            at = np.where(np.arange(chars.shape[1]) < size[:, None], np.searchsorted(alphabet, chars), len(alphabet))
+            row = np.repeat(full[None], len(some), axis=0)
+            for c in at.T:
+                hit = places[c]
+                hit &= row
+                more = row + hit
+                row ^= hit
+                row |= more
+            out[np.ix_(some, own)] = nb - np.bitwise_count(row & full)
+    return out
+
+
+def token_sort_grid(one: list[str], two: list[str]) -> np.ndarray:
+    """``token_sort_ratio`` of each text of ``one``, a row, with each of ``two``, a column."""
+    x, y = ([sorted_tokens(s) for s in own] for own in (one, two))
+    common = _common_grid(x, y)
+    total = np.add.outer(*(np.fromiter(map(len, own), np.int64, len(own)) for own in (x, y)))
+    return np.round(100 * 2 * common / np.maximum(total, 1)) / 100
+
+
+def round_half_up(x: np.ndarray, digits: int) -> np.ndarray:
+    """As Spark's ``round``: halves of the printed number go up; only what lies next to a half is looked at one by one."""
+    scaled = x * 10.0**digits
+    whole = np.floor(scaled + 0.5)
+    out = whole / 10.0**digits
+    near = np.flatnonzero(np.abs(scaled + 0.5 - np.rint(scaled + 0.5)) < 1e-6)
+    if len(near):
+        values, at = np.unique(x[near], return_inverse=True)
+        unit = Decimal(1).scaleb(-digits)
+        out[near] = np.array([float(Decimal(repr(v)).quantize(unit, ROUND_HALF_UP)) for v in values.tolist()])[at]
+    return out
+
+
 def _udf(kernel):
     @arrow_udf("double")
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
