@@ -6,12 +6,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import queries
 from ledgerloom.functions import similarity
 from ledgerloom.operators import resolve
 
+SMALL = "/root/testdata/sf0.001"
 ONE = "k long, corporate_name_S1 string, address string, country string, postal_code string"
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def sides(spark, seed, n, addresses):
     rng = random.Random(seed)
     names = ["Acme Trading", "Acme Tradings", "Acmee Tradings", "acm", "Globl Tech", None, "", "acme " + "x" * 70]
@@ -59,3 +65,19 @@ def test_rounding_is_that_of_spark(spark):
     rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", F.round("x", 6).alias("y")).collect()
     x, y = (np.array([r[c] for r in rows]) for c in ("x", "y"))
     assert similarity.round_half_up(x, 6).tolist() == y.tolist()
+
+
+def test_scored_values_are_distinct_pairs_of_any_block(spark):
+    rng = random.Random(9)
+    made = [spark.createDataFrame([(rng.choice([*"pqrst", None]), rng.choice(["ab", "abc", "ba", "", None, "acb", "b c", "c b a"])) for _ in range(90)], "blocking_key string, name string") for _ in range(2)]
+    pairs = made[0].join(made[1].withColumnRenamed("name", "b"), "blocking_key").select("name", "b").distinct().collect()
+    for grid, plain in ((similarity.jaro_winkler_grid, similarity.jaro_winkler), (similarity.token_sort_grid, similarity.token_sort_ratio)):
+        got = resolve.value_pairs(*made, "name", score=grid)
+        key = lambda r: tuple((x is None, x or "") for x in r[:2])
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(((a, b, plain(a, b)) for a, b in pairs), key=key)
+
+
+@pytest.mark.parametrize("name", ["token_sort_score"])
+def test_scores_send_no_pair_to_a_worker(spark, name):
+    got = plan(queries.QUERIES[name](spark, SMALL))
+    assert "EvalPython" not in got and got.count("MapInArrow") == 1
