@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.similarity import jaro_winkler_col, token_sort_grid
+from ledgerloom.functions.similarity import jaro_winkler_grid, token_sort_grid
 from ledgerloom.functions.text import blocking_key, clean_country, clean_postal, clean_text, parse_string_array, rows_as_json, sanitize
 from ledgerloom.operators import features, resolve, risk, training
 from ledgerloom.operators.components import connected_components
@@ -153,7 +153,7 @@ def matches_by_country(spark, sf_dir):
     return matched.groupBy(F.col("country_s1").alias("country")).agg(F.sum(F.col("n_s1") * F.col("n_s2")).alias("n_pairs"))
 
 
-def _name_pairs(spark, sf_dir, score=None, digits=None):
+def _name_pairs(spark, sf_dir, score, digits=None):
     """(name_s1, name_s2, score): distinct names that share a block."""
     names = (prepared(spark, sf_dir, side).select("blocking_key", F.col("corporate_name_clean").alias("name")) for side in ("S1", "S2"))
     return resolve.value_pairs(*names, "name", score=score, digits=digits)
@@ -166,8 +166,7 @@ def candidate_pairs(spark, sf_dir):
 
 @query("WITH " + SOURCES + " SELECT DISTINCT name_s1, name_s2, round(CASE WHEN name_s1 = '' OR name_s2 = '' THEN 0.0::DOUBLE ELSE jaro_winkler_similarity(name_s1, name_s2) END, 6) AS jw FROM pairs")
 def jaro_winkler_score(spark, sf_dir):
-    names = _name_pairs(spark, sf_dir)
-    return names.select("name_s1", "name_s2", F.round(jaro_winkler_col(F.col("name_s1"), F.col("name_s2")), 6).alias("jw"))
+    return _name_pairs(spark, sf_dir, jaro_winkler_grid, 6).withColumnRenamed("score", "jw")
 
 
 #: Longest common subsequence of two texts: a row of lengths for each character of x.

@@ -77,7 +77,7 @@ def test_scored_values_are_distinct_pairs_of_any_block(spark):
         assert sorted(map(tuple, got.collect()), key=key) == sorted(((a, b, plain(a, b)) for a, b in pairs), key=key)
 
 
-@pytest.mark.parametrize("name", ["token_sort_score"])
+@pytest.mark.parametrize("name", ["token_sort_score", "jaro_winkler_score"])
 def test_scores_send_no_pair_to_a_worker(spark, name):
     got = plan(queries.QUERIES[name](spark, SMALL))
     assert "EvalPython" not in got and got.count("MapInArrow") == 1
