@@ -81,3 +81,7 @@ def test_scored_values_are_distinct_pairs_of_any_block(spark):
 def test_scores_send_no_pair_to_a_worker(spark, name):
     got = plan(queries.QUERIES[name](spark, SMALL))
     assert "EvalPython" not in got and got.count("MapInArrow") == 1
+
+
+def test_candidate_pairs_read_each_text_once(spark):
+    assert "documents.parquet" not in plan(queries.QUERIES["candidate_pairs"](spark, SMALL))
